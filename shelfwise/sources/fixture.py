@@ -32,6 +32,11 @@ def size_label(category: Column, size_code: Column) -> Column:
     return F.when(category == "Footwear", (F.lit(38) + size_code).cast("string")).otherwise(alpha)
 
 
+# Fixture scenario keys (which style plays the viral product, and when it spikes).
+VIRAL_STYLE = "Brand#12-LARGE"
+VIRAL_TRIGGER_WEEK = DEFAULT.as_of_week - 10
+
+
 class Fixture:
     """Lazy views of the retail schema over one scale-factor folder."""
 
@@ -277,9 +282,9 @@ class Fixture:
     @cached_property
     def weather_actual(self) -> DataFrame:
         """Region × week grid (J16): deterministic deviation (week·7 + regionkey·3) % 11 − 5."""
-        r = self.dim_region.select("region_code", "r_regionkey")
-        w = self.dim_week.select("week_id")
-        return r.crossJoin(w).select(
+        r = self.dim_region.select("region_code", "r_regionkey",
+                                   F.explode(F.sequence(F.lit(1), F.lit(self.sc.n_weeks))).alias("week_id"))
+        return r.select(
             "region_code", "week_id",
             (((F.col("week_id") * 7 + F.col("r_regionkey") * 3) % 11) - 5).cast("float").alias("avg_temp_vs_normal_c"))
 
@@ -309,7 +314,15 @@ def _attach_engine_views():
             "location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id", "week_id",
             "on_hand_units", "weeks_of_supply")
 
-    for fn in (weekly, assortment, engine, inventory):
+    def engagement(self) -> DataFrame:
+        from ..operators.supply import digital_engagement
+        return digital_engagement(self.sales, VIRAL_STYLE, VIRAL_TRIGGER_WEEK)
+
+    def shipment_events(self) -> DataFrame:
+        from ..operators.supply import shipment_events
+        return shipment_events(self.po_lines)
+
+    for fn in (weekly, assortment, engine, inventory, engagement, shipment_events):
         prop = cached_property(fn)
         prop.__set_name__(Fixture, fn.__name__)
         setattr(Fixture, fn.__name__, prop)
