@@ -2,6 +2,6 @@
 
 
 def all_queries():
-    from . import q_analysis, q_decisions, q_marts  # noqa: F401
+    from . import q_analysis, q_catalog, q_decisions, q_marts  # noqa: F401
     from .registry import ORACLE, QUERIES
     return QUERIES, ORACLE
