@@ -35,7 +35,7 @@ def initcap_word(c) -> Column:
 
 def money(c) -> Column:
     """Exact two-decimal money: decimal arithmetic rounds half-up identically on every engine."""
-    return F.round(col(c).cast("decimal(20,4)"), 2).cast("decimal(18,2)")
+    return F.round(col(c).cast("decimal(18,4)"), 2).cast("decimal(12,2)")
 
 
 def all_of(preds: list[Column]) -> Column:

@@ -26,7 +26,7 @@ def weekly_demand(sales: DataFrame, n_partitions: int | None = None) -> DataFram
     every later listing aggregate, join and window reuses.
     """
     g = (sales.groupBy("location_id", "region_code", "sku_id", "style_id", "week_id")
-         .agg(F.sum("units").alias("units"), F.sum("revenue_dec").alias("revenue_dec")))
+         .agg(F.sum("units").alias("units"), F.sum("revenue_cents").alias("revenue_cents")))
     return g.repartition(n_partitions, *LISTING_KEYS) if n_partitions else g.repartition(*LISTING_KEYS)
 
 
@@ -122,9 +122,9 @@ def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None =
     plan = plan.withColumn("freeze_week", freeze if freeze is not None else F.lit(NO_FREEZE))
     dense = explode_weeks(plan)
     demand = weekly.select("location_id", "sku_id", "week_id",
-                           F.col("units").alias("demand_units_raw"), F.col("revenue_dec").alias("revenue_raw"))
+                           F.col("units").alias("demand_units_raw"), F.col("revenue_cents").alias("revenue_raw"))
     dense = (dense.join(demand, ["location_id", "sku_id", "week_id"], "left")
              .withColumn("demand_units", F.coalesce(F.col("demand_units_raw"), F.lit(0)).cast("long"))
-             .withColumn("revenue_dec", F.coalesce(F.col("revenue_raw"), F.lit(0).cast("decimal(28,2)")))
+             .withColumn("revenue_cents", F.coalesce(F.col("revenue_raw"), F.lit(0).cast("long")))
              .drop("demand_units_raw", "revenue_raw"))
     return sell_through(dense)

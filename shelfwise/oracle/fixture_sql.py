@@ -150,7 +150,8 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, l.l_shipdate,
        CAST(l.l_quantity AS INTEGER) AS units,
        l.l_discount AS markdown_pct,
        {money(money('ps.p_retailprice') + ' * ' + _disc)} AS unit_price_dec,
-       {money(money('l.l_extendedprice') + ' * ' + _disc)} AS revenue_dec
+       {money(money('l.l_extendedprice') + ' * ' + _disc)} AS revenue_dec,
+       CAST({money(money('l.l_extendedprice') + ' * ' + _disc)} * 100 AS BIGINT) AS revenue_cents
 FROM lineitem l
 JOIN fx_part_sku ps ON l.l_partkey = ps.p_partkey
 JOIN fx_supplier_region sr ON l.l_suppkey = sr.s_suppkey"""
@@ -165,7 +166,7 @@ SELECT s.*, o.o_custkey AS customer_id FROM fx_sales s JOIN orders o ON o.o_orde
 CTES["fx_returns"] = f"""
 SELECT 'RET-' || order_id AS return_line_id, l_orderkey, l_linenumber, l_partkey, location_id, channel, sku_id,
        style_id, size, category, week_id, l_shipdate + INTERVAL 7 DAY AS return_date, units AS units_returned,
-       {case('(l_orderkey + l_linenumber) % 8', dict(enumerate(RETURN_REASONS)))} AS reason_code, revenue_dec
+       {case('(l_orderkey + l_linenumber) % 8', dict(enumerate(RETURN_REASONS)))} AS reason_code, revenue_cents
 FROM fx_sales WHERE l_returnflag = 'R'"""
 
 CTES["fx_return_reviews"] = """
@@ -194,7 +195,7 @@ FROM fx_dim_region r CROSS JOIN fx_dim_week w"""
 
 # ---------------------------------------------------------------- demand engine
 CTES["fx_weekly"] = """
-SELECT location_id, region_code, sku_id, style_id, week_id, SUM(units) AS units, SUM(revenue_dec) AS revenue_dec
+SELECT location_id, region_code, sku_id, style_id, week_id, SUM(units) AS units, SUM(revenue_cents) AS revenue_cents
 FROM fx_sales GROUP BY 1, 2, 3, 4, 5"""
 
 CTES["fx_assortment"] = f"""
@@ -217,7 +218,7 @@ FROM (
     FROM (
       SELECT *, LEAST(CAST(cum_demand AS DOUBLE), s_t) AS realized_cum_sales
       FROM (
-        SELECT d.*, COALESCE(w.units, 0) AS demand_units, COALESCE(w.revenue_dec, 0) AS revenue_dec,
+        SELECT d.*, COALESCE(w.units, 0) AS demand_units, COALESCE(w.revenue_cents, 0) AS revenue_cents,
                LEAST(d.initial_alloc + d.replenish_rate * GREATEST(LEAST(d.week_id, d.freeze_week - 1) - d.launch_week, 0),
                      d.supply_cap) AS s_t,
                SUM(COALESCE(w.units, 0)) OVER (PARTITION BY d.location_id, d.sku_id ORDER BY d.week_id

@@ -61,6 +61,9 @@ EVENT_SEQUENCE_DISRUPTED = ["Booked", "Departed-Origin", "Customs-Hold"]
 # Decision triage: severity rank by decision type.
 SEVERITY_RANK = {"Supply Risk": 0, "Cohort Opportunity": 1, "Overstock": 2, "Stockout": 3, "Returns": 4}
 
+# Share of the bulk catalogue a store of each tier lists.
+STORE_TIER_COVERAGE = {"Flagship": 0.12, "A": 0.06, "B": 0.03, "C": 0.015}
+
 TAX_RATE = 0.08
 HIGH_TIERS = ["Gold", "Platinum", "Private Client"]
 STOCKOUT_WARNING_ON_HAND = 5

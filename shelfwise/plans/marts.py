@@ -18,7 +18,7 @@ def weekly_demand_style_region(sales: DataFrame, dim_week: DataFrame) -> DataFra
     return (sales.join(w, "week_id")
             .groupBy("style_id", "region_code", "week_id", "week_start_date", "fiscal_year", "fiscal_season")
             .agg(F.sum("units").alias("units"),
-                 F.sum("revenue_dec").cast("double").alias("gross_revenue"),
+                 (F.sum("revenue_cents").cast("double") / 100.0).alias("gross_revenue"),
                  F.countDistinct("location_id").alias("n_locations")))
 
 
@@ -29,12 +29,12 @@ def weekly_demand_store_sku(inventory: DataFrame, weekly: DataFrame) -> DataFram
     left join cannot fan out. Both inputs come out of the engine partitioned by
     (location_id, sku_id), so this join adds no exchange.
     """
-    s = weekly.select("location_id", "sku_id", "week_id", F.col("units").alias("_u"), F.col("revenue_dec").alias("_r"))
+    s = weekly.select("location_id", "sku_id", "week_id", F.col("units").alias("_u"), F.col("revenue_cents").alias("_r"))
     return (inventory.join(s, ["location_id", "sku_id", "week_id"], "left")
             .select("location_id", "location_type", "region_code", "sku_id", "week_id", "on_hand_units",
                     "weeks_of_supply",
                     F.coalesce(F.col("_u"), F.lit(0)).cast("long").alias("units_sold"),
-                    F.coalesce(F.col("_r").cast("double"), F.lit(0.0)).alias("gross_revenue")))
+                    F.coalesce(F.col("_r").cast("double") / 100.0, F.lit(0.0)).alias("gross_revenue")))
 
 
 def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: DataFrame, as_of_week: int) -> DataFrame:
@@ -101,7 +101,7 @@ def customer_cohort_scorecard(sales_with_customer: DataFrame, dim_customer: Data
               .groupBy("customer_id")
               .agg(F.count(F.lit(1)).alias("n_orders"),
                    F.sum("units").alias("total_units"),
-                   F.sum("revenue_dec").alias("total_revenue"),
+                   F.sum("revenue_cents").alias("total_revenue"),
                    F.sum(F.when(F.col("style_id").startswith(capsule_prefix), F.col("units")).otherwise(0))
                     .alias("capsule_units")))
     c = dim_customer.select("customer_id", "home_region", "loyalty_tier", "acquisition_campaign_id")
@@ -111,7 +111,7 @@ def customer_cohort_scorecard(sales_with_customer: DataFrame, dim_customer: Data
         F.coalesce(F.col("acquisition_campaign_id") == cohort_campaign_id, F.lit(False)).alias("is_milan_cohort"),
         n.alias("n_orders"),
         F.coalesce(F.col("total_units"), F.lit(0)).alias("total_units"),
-        F.coalesce(F.col("total_revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(F.col("total_revenue").cast("double") / 100.0, F.lit(0.0)).alias("total_revenue"),
         F.coalesce(F.col("capsule_units"), F.lit(0)).alias("capsule_units"),
         (n >= 2).alias("is_repeat_purchaser"),
     )

@@ -186,7 +186,8 @@ class Fixture:
     def supplier_region(self) -> DataFrame:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         nr = self.nation_region.select(F.col("n_nationkey").alias("s_nationkey"), "region_code")
-        return s.join(nr, "s_nationkey").select("s_suppkey", "region_code")
+        # broadcast while supplier is small; past the bound it is joined by shuffle on l_suppkey
+        return checked_broadcast(s.join(nr, "s_nationkey").select("s_suppkey", "region_code"), max_rows=1_000_000)
 
     @cached_property
     def sales_base(self) -> DataFrame:
@@ -194,7 +195,8 @@ class Fixture:
         li = self.table("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-        ps = self.part_sku
+        # part is broadcast while it is small; past the bound it is joined by shuffle on l_partkey
+        ps = checked_broadcast(self.part_sku.drop("p_name"), max_rows=1_000_000)
         j = (li.join(ps, li.l_partkey == ps.p_partkey)
              .join(self.supplier_region, li.l_suppkey == F.col("s_suppkey")))
         disc = F.col("l_discount").cast("decimal(4,2)")
@@ -209,7 +211,7 @@ class Fixture:
             F.col("l_discount").alias("markdown_pct"),
             money(money(F.col("p_retailprice")) * (F.lit(1) - disc)).alias("unit_price_dec"),
             money(money(F.col("l_extendedprice")) * (F.lit(1) - disc)).alias("revenue_dec"),
-        )
+        ).withColumn("revenue_cents", (F.col("revenue_dec") * F.lit(100).cast("decimal(3,0)")).cast("long"))
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -235,7 +237,7 @@ class Fixture:
             (F.col("l_shipdate") + F.expr("INTERVAL 7 DAYS")).alias("return_date"),
             F.col("units").alias("units_returned"),
             reason.alias("reason_code"),
-            "revenue_dec",
+            "revenue_cents",
         )
 
     @cached_property
