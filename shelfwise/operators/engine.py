@@ -78,8 +78,9 @@ def explode_weeks(listings: DataFrame) -> DataFrame:
 def sell_through(dense: DataFrame) -> DataFrame:
     """E7 + E9 + E10 + E12 on a dense (listing, week) frame.
 
-    Needs columns: demand_units, initial_alloc, replenish_rate, supply_cap,
-    launch_week, freeze_week (NO_FREEZE when none). Adds s_t, cum_demand,
+    Needs columns: demand_units and either a given supply schedule ``s_t`` or
+    initial_alloc, replenish_rate, supply_cap, launch_week, freeze_week
+    (NO_FREEZE when none) to build it (E5 + E7). Adds s_t, cum_demand,
     realized_cum_sales, realized_sales, on_hand, on_hand_units,
     weeks_of_supply, unmet_cum_demand.
     """
@@ -88,8 +89,9 @@ def sell_through(dense: DataFrame) -> DataFrame:
     last4 = w.rowsBetween(-3, Window.currentRow)
     growth = F.greatest(F.least(F.col("week_id"), F.col("freeze_week") - 1) - F.col("launch_week"), F.lit(0))
     s_t = F.least(F.col("initial_alloc") + F.col("replenish_rate") * growth, F.col("supply_cap"))
+    if "s_t" not in dense.columns:
+        dense = dense.withColumn("s_t", s_t)
     out = (dense
-           .withColumn("s_t", s_t)
            .withColumn("cum_demand", F.sum("demand_units").over(cum))
            .withColumn("realized_cum_sales", F.least(F.col("cum_demand").cast("double"), F.col("s_t")))
            .withColumn("realized_sales",

@@ -168,3 +168,37 @@ def q_e13(spark, sf_dir):
     members = attr.pool_members(cust, pools, fx.sc.cohort_region, REPEAT_LIFT, CAPSULE_LIFT)
     out = attr.attribute(lines, attr.cumulative_intervals(members))
     return out.select("order_id", "l_orderkey", "l_linenumber", "region_code", "is_capsule", "customer_id")
+
+
+# ------------------------------------------------------------------ propensity
+@register("l1_propensity_target",
+          f"""SELECT customer_id, n_orders, CAST(n_orders >= (SELECT MEDIAN(n_orders) FROM gold_m6
+                                                          WHERE home_region = {lit(SC.cohort_region)}) AS INTEGER)
+                     AS is_high_frequency
+              FROM gold_m6 WHERE home_region = {lit(SC.cohort_region)}""")
+def q_l1(spark, sf_dir):
+    """L1 + A16: binary frequency target against the exact median."""
+    from . import propensity as pr
+    from .q_marts import cohort
+    return pr.with_target(cohort(Fixture(spark, sf_dir)), SC.cohort_region).select(
+        "customer_id", "n_orders", "is_high_frequency")
+
+
+@register("l4_top_propensity_clients")
+def q_l4(spark, sf_dir):
+    """L2-L4: logistic-regression propensity, top 37 clients (rows-only check: iterative fit)."""
+    from . import propensity as pr
+    from .q_marts import cohort
+    data = pr.with_target(cohort(Fixture(spark, sf_dir)), SC.cohort_region)
+    return pr.rank_clients(data, pr.fit_propensity(data))
+
+
+@register("m36_outreach_revenue")
+def q_m36(spark, sf_dir):
+    """Expected revenue of advisor outreach to the ranked clients (rows-only: depends on the fit)."""
+    from . import propensity as pr
+    from .q_marts import cohort
+    fx = Fixture(spark, sf_dir)
+    data = pr.with_target(cohort(fx), SC.cohort_region)
+    top = pr.rank_clients(data, pr.fit_propensity(data))
+    return pr.outreach_revenue(top, fx.sales, SC.cohort_region)

@@ -51,6 +51,10 @@ def read_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Write a table folder; ``partition_by`` lets later as-of filters prune folders."""
+    if partition_by:
+        # AQE rebalance: rows of a partition value meet in few tasks (few files per folder), while
+        # skewed values are split and tiny ones coalesced (no single-task week at scale)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
