@@ -129,6 +129,13 @@ def first_n_text(names: Column, n: int = 5) -> Column:
     return F.when(total > n, F.concat(head, F.lit(" (+"), (total - n).cast("string"), F.lit(" more)"))).otherwise(head)
 
 
+def cumulative_product(x, partition_by: list[str], order_by: str) -> Column:
+    """Running product of (1 + x) per partition as exp(sum(ln(1 + x))); needs x > -1."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*partition_by).orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
+    return F.exp(F.sum(F.log1p(col(x))).over(w))
+
+
 def zero_padded_id(prefix: str, n, width: int = 4) -> Column:
     """'DEC-0001' style ids."""
     return F.format_string(f"{prefix}%0{width}d", col(n))

@@ -105,12 +105,22 @@ def sell_through(dense: DataFrame) -> DataFrame:
     return out.drop("trailing4")
 
 
+def sku_expansion(styles: DataFrame, colours: Column, sizes: Column) -> DataFrame:
+    """E23 + F13 + F14: colours × sizes per style, with a colour code, SKU code and size type."""
+    e = (styles.withColumn("color_name", F.explode(colours)).withColumn("size", F.explode(sizes)))
+    code = F.upper(F.substring("color_name", 1, 3))
+    return e.select("style_id", "color_name", "size",
+                    F.concat_ws("-", "style_id", code, F.regexp_replace("size", " ", "")).alias("sku_code"),
+                    F.when(F.col("size") == "One Size", F.lit("One Size"))
+                     .when(F.col("size").rlike("^[0-9]+$"), F.lit("Numeric")).otherwise(F.lit("Alpha")).alias("size_type"))
+
+
 def markdown(weeks_since_launch: Column) -> Column:
     """0 % before week 17 of life, 20 % before week 31, else 40 %."""
     return ladder(weeks_since_launch, MARKDOWN_LADDER, MARKDOWN_TAIL)
 
 
-def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None = None) -> DataFrame:
+def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None = None, plan_fn=None) -> DataFrame:
     """Fixture demand engine: listings from sales, cap = total demand, initial .55 cap.
 
     Returns the dense (location, sku, week) frame with demand, revenue and the
@@ -122,6 +132,8 @@ def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None =
     plan = supply_plan(listings, F.col("total_units"))
     plan = plan.join(dim_style.select("style_id", "launch_week"), "style_id", "left")
     plan = plan.withColumn("freeze_week", freeze if freeze is not None else F.lit(NO_FREEZE))
+    if plan_fn is not None:  # what-if edits of the supply plan (E6), per listing, before the explode
+        plan = plan_fn(plan)
     dense = explode_weeks(plan)
     demand = weekly.select("location_id", "sku_id", "week_id",
                            F.col("units").alias("demand_units_raw"), F.col("revenue_cents").alias("revenue_raw"))

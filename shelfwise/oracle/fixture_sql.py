@@ -204,7 +204,15 @@ SELECT location_id, 'Store' AS location_type, region_code, sku_id, style_id,
        starts_with(style_id, {lit(SC.capsule_prefix)}) AS is_core_flag
 FROM fx_weekly GROUP BY 1, 2, 3, 4, 5"""
 
-CTES["fx_engine"] = f"""
+ENGINE_PLAN = f"""            SELECT a.location_id, a.region_code, a.sku_id, a.style_id, a.assortment_start_week, a.assortment_end_week,
+                   a.total_units, CAST(a.total_units AS DOUBLE) AS supply_cap,
+                   {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE) AS initial_alloc,
+                   (CAST(a.total_units AS DOUBLE) - {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE))
+                     / GREATEST(a.assortment_end_week - a.assortment_start_week + 1, 1) AS replenish_rate,
+                   st.launch_week, 1000000 AS freeze_week
+            FROM fx_assortment a LEFT JOIN fx_dim_style st ON st.style_id = a.style_id"""
+
+_ENGINE_TEMPLATE = """
 SELECT *, CAST(ROUND(on_hand) AS INTEGER) AS on_hand_units,
        LEAST(COALESCE(on_hand / NULLIF(trailing4, 0), 52.0), 52.0) AS weeks_of_supply,
        cum_demand - realized_cum_sales AS unmet_cum_demand
@@ -226,13 +234,7 @@ FROM (
         FROM (
           SELECT p.*, UNNEST(generate_series(p.assortment_start_week, p.assortment_end_week)) AS week_id
           FROM (
-            SELECT a.location_id, a.region_code, a.sku_id, a.style_id, a.assortment_start_week, a.assortment_end_week,
-                   a.total_units, CAST(a.total_units AS DOUBLE) AS supply_cap,
-                   {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE) AS initial_alloc,
-                   (CAST(a.total_units AS DOUBLE) - {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE))
-                     / GREATEST(a.assortment_end_week - a.assortment_start_week + 1, 1) AS replenish_rate,
-                   st.launch_week, 1000000 AS freeze_week
-            FROM fx_assortment a LEFT JOIN fx_dim_style st ON st.style_id = a.style_id) p
+{plan}) p
         ) d
         LEFT JOIN fx_weekly w ON w.location_id = d.location_id AND w.sku_id = d.sku_id AND w.week_id = d.week_id
       )
@@ -240,6 +242,15 @@ FROM (
   )
 )"""
 
+
+
+def engine_sql(plan: str | None = None) -> str:
+    """The dense engine as SQL over a supply-plan subquery (default: the fixture plan)."""
+    return _ENGINE_TEMPLATE.replace("{plan}", plan or ENGINE_PLAN)
+
+
+CTES["fx_engine"] = engine_sql()
+
 CTES["fx_inventory"] = """
 SELECT location_id, 'Store' AS location_type, region_code, sku_id, week_id, on_hand_units, weeks_of_supply
 FROM fx_engine"""

@@ -2,6 +2,6 @@
 
 
 def all_queries():
-    from . import q_analysis, q_catalog, q_decisions, q_extras, q_marts, q_quality, q_stream  # noqa: F401
+    from . import q_analysis, q_catalog, q_decisions, q_extras, q_marts, q_more, q_quality, q_stream  # noqa: F401
     from .registry import ORACLE, QUERIES
     return QUERIES, ORACLE

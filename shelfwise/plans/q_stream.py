@@ -90,3 +90,13 @@ def q_t8(spark, sf_dir):
 def q_t9(spark, sf_dir):
     """T9 + F18 + F29: stock alerts per status with the first five store names."""
     return pos.stock_alerts(pos.hot_item_panel(live(spark, sf_dir)))
+
+
+@register("t2_recent_ticks",
+          """SELECT time_bucket(INTERVAL 1 hour, CAST(ts AS TIMESTAMP)) AS tick_start,
+                    CAST(SUM(1 + event_id % 3) AS BIGINT) AS units, SUM(value) AS revenue
+             FROM events WHERE event_type = 'purchase' GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
+          round_cols=("revenue",))
+def q_t2_recent(spark, sf_dir):
+    """The last 30 ticks of the live ticker (ordered top-k over the published tick table)."""
+    return jobs.run_units_per_tick(spark, sf_dir, GLOB).orderBy(F.col("tick_start").desc()).limit(30)
