@@ -120,7 +120,8 @@ def markdown(weeks_since_launch: Column) -> Column:
     return ladder(weeks_since_launch, MARKDOWN_LADDER, MARKDOWN_TAIL)
 
 
-def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None = None, plan_fn=None) -> DataFrame:
+def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None = None, plan_fn=None,
+               until_week: int | None = None) -> DataFrame:
     """Fixture demand engine: listings from sales, cap = total demand, initial .55 cap.
 
     Returns the dense (location, sku, week) frame with demand, revenue and the
@@ -134,6 +135,10 @@ def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None =
     plan = plan.withColumn("freeze_week", freeze if freeze is not None else F.lit(NO_FREEZE))
     if plan_fn is not None:  # what-if edits of the supply plan (E6), per listing, before the explode
         plan = plan_fn(plan)
+    if until_week is not None:
+        # every window looks backwards only, so weeks past ``until_week`` never change earlier rows
+        plan = plan.withColumn("assortment_end_week", F.least("assortment_end_week", F.lit(until_week))) \
+                   .where(F.col("assortment_start_week") <= until_week)
     dense = explode_weeks(plan)
     demand = weekly.select("location_id", "sku_id", "week_id",
                            F.col("units").alias("demand_units_raw"), F.col("revenue_cents").alias("revenue_raw"))

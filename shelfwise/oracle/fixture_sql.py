@@ -139,7 +139,6 @@ FROM customer c JOIN fx_nation_region nr ON nr.n_nationkey = c.c_nationkey"""
 CTES["fx_supplier_region"] = """
 SELECT s.s_suppkey, nr.region_code FROM supplier s JOIN fx_nation_region nr ON nr.n_nationkey = s.s_nationkey"""
 
-_disc = "(1 - CAST(l.l_discount AS DECIMAL(4,2)))"
 CTES["fx_sales_base"] = f"""
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, l.l_shipdate,
        CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
@@ -149,15 +148,16 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, l.l_shipdate,
        {week_of('l.l_shipdate')} AS week_id,
        CAST(l.l_quantity AS INTEGER) AS units,
        l.l_discount AS markdown_pct,
-       {money(money('ps.p_retailprice') + ' * ' + _disc)} AS unit_price_dec,
-       {money(money('l.l_extendedprice') + ' * ' + _disc)} AS revenue_dec,
-       CAST({money(money('l.l_extendedprice') + ' * ' + _disc)} * 100 AS BIGINT) AS revenue_cents
+       (CAST(ROUND(ps.p_retailprice * 100) AS BIGINT) * (100 - CAST(ROUND(l.l_discount * 100) AS BIGINT)) + 50) // 100
+         AS unit_price_cents,
+       (CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) * (100 - CAST(ROUND(l.l_discount * 100) AS BIGINT)) + 50) // 100
+         AS revenue_cents
 FROM lineitem l
 JOIN fx_part_sku ps ON l.l_partkey = ps.p_partkey
 JOIN fx_supplier_region sr ON l.l_suppkey = sr.s_suppkey"""
 
 CTES["fx_sales"] = """
-SELECT *, CAST(unit_price_dec AS DOUBLE) AS unit_price, CAST(revenue_dec AS DOUBLE) AS gross_revenue
+SELECT *, unit_price_cents / 100.0 AS unit_price, revenue_cents / 100.0 AS gross_revenue
 FROM fx_sales_base WHERE units > 0"""
 
 CTES["fx_sales_cust"] = """

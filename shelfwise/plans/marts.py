@@ -40,20 +40,30 @@ def weekly_demand_store_sku(inventory: DataFrame, weekly: DataFrame) -> DataFram
 def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: DataFrame, as_of_week: int) -> DataFrame:
     """M3: as-of snapshot with trailing 8-week velocity, projected demand, overstock and stockout days.
 
-    The trailing window reads only weeks as_of-7..as_of (a pushed-down range
-    filter), averaging the rows that exist; listings with none get velocity 0.
+    One pass over the weeks as_of-7..as_of (a pushed-down range filter; on a
+    week-partitioned M2 it prunes folders): the trailing average over the rows
+    that exist and the as-of row's values come out of one aggregate per
+    listing, so the inventory frame is read once. The result ends in one hash
+    exchange on the listing key, which every consumer of the signals in the
+    same plan (rules, supply risk, roll-ups) reuses instead of recomputing.
     """
-    trail = (m2.where(F.col("week_id").between(as_of_week - 7, as_of_week))
-             .groupBy("location_id", "sku_id")
-             .agg(F.avg("units_sold").alias("trailing_avg")))
-    snap = m2.where(F.col("week_id") == as_of_week)
+    at = F.col("week_id") == as_of_week
+    w = (m2.where(F.col("week_id").between(as_of_week - 7, as_of_week))
+         .groupBy("location_id", "sku_id")
+         .agg(F.avg("units_sold").alias("trailing_avg"),
+              F.max(at).alias("has_snap"),
+              F.max(F.when(at, F.col("location_type"))).alias("location_type"),
+              F.max(F.when(at, F.col("region_code"))).alias("region_code"),
+              F.max(F.when(at, F.col("on_hand_units"))).alias("on_hand_units"),
+              F.max(F.when(at, F.col("weeks_of_supply"))).alias("weeks_of_supply"))
+         .where(F.col("has_snap")))
     sku = dim_sku.select("sku_id", "style_id", "color_name", "size", "current_retail_price")
     sty = dim_style.select("style_id", "style_name", "category", "exit_week_uncapped")
-    j = snap.join(sku, "sku_id").join(sty, "style_id").join(trail, ["location_id", "sku_id"], "left")
+    j = w.join(sku, "sku_id").join(sty, "style_id")
     v = F.coalesce(F.col("trailing_avg"), F.lit(0.0))
     remaining = F.greatest(F.col("exit_week_uncapped") - F.lit(as_of_week), F.lit(1))
     projected = v * remaining
-    return j.select(
+    out = j.select(
         "location_id", "location_type", "region_code", "sku_id", "style_id", "style_name", "category",
         "color_name", "size", "current_retail_price", "on_hand_units", "weeks_of_supply",
         v.alias("trailing_avg_weekly_sales"),
@@ -64,6 +74,7 @@ def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: Da
                / (F.col("trailing_avg") * remaining)).alias("overstock_pct"),
         F.when(v > 0, (F.col("on_hand_units") / F.col("trailing_avg")) * 7).alias("stockout_est_days"),
     )
+    return out.repartition("location_id", "sku_id")
 
 
 def returns_scorecard(sales: DataFrame, returns: DataFrame, dim_sku: DataFrame, dim_style: DataFrame,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..oracle.fixture_sql import AS_OF, CTES, lit
 from ..params import DEFAULT as SC
 from ..sources.fixture import Fixture
+from ..operators import engine as eng
 from . import marts
 from .registry import register
 
@@ -14,7 +15,12 @@ def gold(fx: Fixture):
     """The gold marts of one fixture, built lazily and shared by the analyses."""
     if getattr(fx, "_gold", None) is None:
         m2 = marts.weekly_demand_store_sku(fx.inventory, fx.weekly)
-        m3 = marts.inventory_imbalance_signals(m2, fx.dim_sku, fx.dim_style, fx.sc.as_of_week)
+        # the signals need weeks up to the as-of week only: the same engine, truncated there
+        inv_asof = eng.run_engine(fx.weekly, fx.dim_style, until_week=fx.sc.as_of_week).select(
+            "location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id", "week_id",
+            "on_hand_units", "weeks_of_supply")
+        m2_asof = marts.weekly_demand_store_sku(inv_asof, fx.weekly)
+        m3 = marts.inventory_imbalance_signals(m2_asof, fx.dim_sku, fx.dim_style, fx.sc.as_of_week)
         fx._gold = {
             "m2": m2,
             "m3": m3,
