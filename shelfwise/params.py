@@ -72,6 +72,11 @@ MARKDOWN_LADDER = [(17, 0.0), (31, 0.20)]  # weeks since launch < bound -> markd
 MARKDOWN_TAIL = 0.40
 FULL_SCALE_CUSTOMERS = 500_000
 
+# Currency rates: base rate to USD per currency, and the band the weekly random walk is clipped to
+# (base × (1 ± FX_BAND)). USD stays at 1.0.
+FX_BASE_RATE_TO_USD = {"USD": 1.0, "CAD": 0.74, "EUR": 1.08, "GBP": 1.26, "JPY": 0.0067, "CNY": 0.138}
+FX_BAND = 0.15
+
 # ---------------------------------------------------------------------------
 # Fixture mapping of the TPC-H-shaped test tables (see FIXTURES.md)
 # ---------------------------------------------------------------------------

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..oracle.fixture_sql import AS_OF, CTES, ENGINE_PLAN, N_WEEKS, case, engine_sql, lit, week_of
 from ..operators import engine as eng
+from ..operators import fx as fxo
+from ..operators.broadcast import bounded_broadcast
 from ..operators.supply import demand_rate, location_weight
-from ..params import CATEGORY_HOLIDAY_FACTOR, SIZE_LABELS, TIER_WEIGHT
+from ..params import CATEGORY_HOLIDAY_FACTOR, FX_BAND, FX_BASE_RATE_TO_USD, SIZE_LABELS, TIER_WEIGHT
 from ..sources.fixture import VIRAL_STYLE, VIRAL_TRIGGER_WEEK, Fixture
 from .registry import register
 
@@ -153,3 +155,46 @@ def q_e23(spark, sf_dir):
     sizes = F.when(F.col("category") == "Footwear", F.array(*[F.lit(str(38 + i)) for i in range(5)])) \
              .otherwise(F.array(*[F.lit(s) for s in SIZE_LABELS]))
     return eng.sku_expansion(st, F.col("colours"), sizes)
+
+
+_cur_rows = ", ".join(f"({lit(c)}, {i}, CAST({r!r} AS DOUBLE))" for i, (c, r) in enumerate(FX_BASE_RATE_TO_USD.items()))
+
+
+@register("e24_revenue_usd",
+          f"""WITH cur(currency_code, currency_no, base_rate) AS (VALUES {_cur_rows}),
+             walk AS (
+               SELECT c.currency_code, w.week_id, c.base_rate,
+                      c.base_rate * EXP(SUM(LN(1 + CASE WHEN c.base_rate = 1.0 THEN 0.0
+                                         ELSE CAST((w.week_id * 5 + c.currency_no * 7) % 9 - 4 AS DOUBLE) / 1000.0 END))
+                        OVER (PARTITION BY c.currency_code ORDER BY w.week_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS raw_rate
+               FROM fx_dim_week w CROSS JOIN cur c),
+             rates AS (
+               SELECT currency_code, week_id,
+                      ROUND(LEAST(GREATEST(raw_rate, base_rate * (1 - {FX_BAND})), base_rate * (1 + {FX_BAND})), 8)
+                        AS rate_to_usd
+               FROM walk),
+             rev AS (
+               SELECT s.region_code, r.currency_code, s.week_id, SUM(s.revenue_cents) AS revenue_cents
+               FROM fx_sales s JOIN fx_dim_region r ON r.region_code = s.region_code
+               GROUP BY 1, 2, 3)
+             SELECT rev.region_code, rev.currency_code, rev.week_id,
+                    CAST(rev.revenue_cents AS BIGINT) / 100.0 AS revenue_local, rt.rate_to_usd,
+                    CAST(rev.revenue_cents AS BIGINT) / 100.0 * rt.rate_to_usd AS revenue_usd
+             FROM rev LEFT JOIN rates rt ON rt.currency_code = rev.currency_code AND rt.week_id = rev.week_id""",
+          round_cols=("revenue_usd",))
+def q_e24(spark, sf_dir):
+    """W6 + E24: weekly revenue per region in its currency, converted to USD by the currency × week rate
+    of a clipped random walk (cumulative product). Currencies without a rate keep their row with a NULL
+    USD amount."""
+    fx = Fixture(spark, sf_dir)
+    # calendar × literal currency list: bounded by construction
+    rates = fxo.rate_walk(fx.dim_week.select("week_id"), FX_BASE_RATE_TO_USD, FX_BAND) \
+               .withColumn("rate_to_usd", F.round("rate_to_usd", 8))
+    # pre-aggregate map-side to region × week before anything else touches the rows
+    rev = fx.sales.groupBy("region_code", "week_id").agg(F.sum("revenue_cents").alias("revenue_cents"))
+    rev = rev.join(bounded_broadcast(fx.dim_region.select("region_code", "currency_code")), "region_code")
+    rev = rev.select("region_code", "currency_code", "week_id", (F.col("revenue_cents") / 100.0).alias("revenue_local"))
+    out = fxo.to_usd(rev, "revenue_local", bounded_broadcast(rates))
+    return out.select("region_code", "currency_code", "week_id", "revenue_local", "rate_to_usd",
+                      F.col("revenue_local_usd").alias("revenue_usd"))

@@ -48,3 +48,17 @@ def test_cumulative_product_rates_and_conversion(spark):
     sales = spark.createDataFrame([("EUR", 2, 10.0), ("JPY", 2, 5.0)], "currency_code string, week_id int, amount double")
     out = {r.currency_code: r.amount_usd for r in fxo.to_usd(sales, "amount", fxo.rates_from_changes(changes, base)).collect()}
     assert math.isclose(out["EUR"], 22.0) and out["JPY"] is None
+
+
+def test_rate_walk_clips_to_band_and_keeps_base_currency_flat(spark):
+    weeks = spark.range(1, 201).select(F.col("id").cast("int").alias("week_id"))
+    # a constant +5 % weekly shock must hit the +15 % ceiling after three weeks and stay there
+    rates = fxo.rate_walk(weeks, {"USD": 1.0, "EUR": 2.0}, 0.15, shock=lambda w, c: F.lit(0.05))
+    got = {(r.currency_code, r.week_id): r.rate_to_usd for r in rates.collect()}
+    assert len(got) == 400
+    assert all(got[("USD", w)] == 1.0 for w in range(1, 201))
+    assert math.isclose(got[("EUR", 1)], 2.0 * 1.05) and math.isclose(got[("EUR", 2)], 2.0 * 1.05 ** 2)
+    assert math.isclose(got[("EUR", 3)], 2.3) and math.isclose(got[("EUR", 200)], 2.3)
+    # the fixture shock stays within ±4 per mille
+    s = weeks.select(fxo.weekly_shock(F.col("week_id"), F.lit(3)).alias("s")).agg(F.min("s"), F.max("s")).first()
+    assert s[0] == -0.004 and s[1] == 0.004
