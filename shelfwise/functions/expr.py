@@ -55,6 +55,13 @@ def contains_any(c, fragments) -> Column:
     return any_of([c.contains(f) for f in fragments])
 
 
+def exact_sum(c, scale: int = 9) -> Column:
+    """Sum of per-row doubles as fixed-point decimals: every row is rounded to ``scale`` places first, so
+    the total is exact and does not depend on partitioning or summation order (a double sum can land on
+    either side of a rounding tie). Returns a decimal; round or cast it where it is reported."""
+    return F.sum(col(c).cast(f"decimal(20,{scale})"))
+
+
 def safe_div(num, den) -> Column:
     """NULL instead of an error (ANSI) or inf when the divisor is 0 or NULL."""
     return F.try_divide(col(num), F.nullif(col(den), F.lit(0)))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import contains_any, safe_div, zero_padded_id
+from ..functions.expr import contains_any, exact_sum, safe_div, zero_padded_id
 from ..params import SEVERITY_RANK, Scenario
 
 QUEUE_SCHEMA = T.StructType([
@@ -116,14 +116,18 @@ def returns_rule(scorecard: DataFrame, sc: Scenario) -> DataFrame:
                            F.lit("% to "), whole_number(F.col("recent") * 100), F.lit("%.")))
 
 
+def revenue_at_risk(risk: DataFrame) -> Column:
+    """Three weeks of trailing sales at current price, summed exactly (see ``exact_sum``); a decimal."""
+    return exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price"))
+
+
 def supply_risk_rule(risk: DataFrame, sc: Scenario) -> DataFrame:
     """Revenue at risk over 3 weeks across all delayed-PO exposure; one row when over the threshold.
 
     The reference names the first DC of an unordered frame; ours names the
     lowest dc_id (N11).
     """
-    total = risk.agg(F.sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("total"),
-                     F.min("dc_id").alias("dc_id"))
+    total = risk.agg(revenue_at_risk(risk).cast("double").alias("total"), F.min("dc_id").alias("dc_id"))
     total = total.where(F.col("total") >= sc.thresholds["revenue_at_risk_min"])
     name = F.concat(F.col("dc_id"), F.lit(" delayed supplier shipment"))
     return _typed(total, 3, [], 4, "Supply Risk", F.lit(None), F.lit(None), name, F.round("total", 0),

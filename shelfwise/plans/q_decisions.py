@@ -79,7 +79,8 @@ SELECT 3, NULL, NULL, NULL, NULL, 4, 'Supply Risk', NULL, NULL, dc_id || ' delay
        ROUND(total, 0), 'revenue at risk (USD, 3wk window)',
        dc_id || ' delay may expose $' || format('{{:,}}', CAST(ROUND_EVEN(total, 0) AS BIGINT))
          || ' of revenue over the next three weeks.'
-FROM (SELECT SUM(trailing_avg_weekly_sales * 3 * current_retail_price) AS total, MIN(dc_id) AS dc_id FROM gold_m5)
+FROM (SELECT CAST(SUM(CAST(trailing_avg_weekly_sales * 3 * current_retail_price AS DECIMAL(20,9))) AS DOUBLE)
+             AS total, MIN(dc_id) AS dc_id FROM gold_m5)
 WHERE total >= {TH['revenue_at_risk_min']!r}
 UNION ALL
 SELECT 4, NULL, NULL, NULL, NULL, 5, 'Cohort Opportunity', {lit(SC.cohort_region)}, NULL, 'Campaign cohort',
@@ -174,3 +175,31 @@ def q_drill(spark, sf_dir):
     return dq.drill_down(queue(fx), gold(fx)["m3"]).select(
         "decision_id", "region_code", "style_id", "location_id", "sku_id", "on_hand_units", "weeks_of_supply",
         "trailing_avg_weekly_sales", F.col("rank").cast("long").alias("rank"))
+
+
+@register("m8_stockout_rule",
+          """SELECT decision_type, region_code, style_id, style_name, CAST(metric_value AS DOUBLE) AS metric_value,
+                    metric_label, headline
+             FROM dq_rules WHERE rule = 2""")
+def q_stockout_rule(spark, sf_dir):
+    """M8: region × style rows expected to stock out within the day threshold, over the materiality floors."""
+    fx = Fixture(spark, sf_dir)
+    rules = dq.overstock_stockout_rules(gold(fx)["m3"], fx.sc)
+    return rules.where(F.col("rule") == 2).select(
+        "decision_type", "region_code", "style_id", "style_name", "metric_value", "metric_label", "headline")
+
+
+@register("m10_revenue_at_risk",
+          f"""SELECT CAST(ROUND(total, 2) AS DOUBLE) AS revenue_at_risk, dc_id, CAST(n AS BIGINT) AS n_exposed_rows,
+                     COALESCE(total >= {TH['revenue_at_risk_min']!r}, FALSE) AS over_threshold
+              FROM (SELECT SUM(CAST(trailing_avg_weekly_sales * 3 * current_retail_price AS DECIMAL(20,9))) AS total,
+                           MIN(dc_id) AS dc_id, COUNT(*) AS n FROM gold_m5)""")
+def q_revenue_at_risk(spark, sf_dir):
+    """M10 input: three-week revenue at risk over all delayed-PO exposure (A17 + A19) and whether it
+    reaches the rule threshold; always one row (the rule itself adds a queue row only when it does)."""
+    fx = Fixture(spark, sf_dir)
+    risk = gold(fx)["m5"]
+    t = risk.agg(dq.revenue_at_risk(risk).alias("total"), F.min("dc_id").alias("dc_id"),
+                 F.count(F.lit(1)).alias("n_exposed_rows"))
+    return t.select(F.round("total", 2).cast("double").alias("revenue_at_risk"), "dc_id", "n_exposed_rows",
+                    F.coalesce(F.col("total") >= TH["revenue_at_risk_min"], F.lit(False)).alias("over_threshold"))
