@@ -77,6 +77,17 @@ FULL_SCALE_CUSTOMERS = 500_000
 FX_BASE_RATE_TO_USD = {"USD": 1.0, "CAD": 0.74, "EUR": 1.08, "GBP": 1.26, "JPY": 0.0067, "CNY": 0.138}
 FX_BAND = 0.15
 
+# Soft row-count bands of the full-scale build, per fact table: [low, high].
+ROW_COUNT_BANDS_FULL = {
+    "fact_sales_line": (3_000_000, 9_000_000),
+    "fact_inventory_position": (8_000_000, 16_000_000),
+    "fact_returns_line": (600_000, 2_000_000),
+    "fact_purchase_order_line": (2_000, 10_000),
+    "fact_shipment_event": (8_000, 35_000),
+    "fact_campaign_exposure": (300_000, 800_000),
+    "fact_digital_engagement": (300_000, 1_200_000),
+}
+
 # ---------------------------------------------------------------------------
 # Fixture mapping of the TPC-H-shaped test tables (see FIXTURES.md)
 # ---------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..oracle.fixture_sql import lit
 from ..params import DEFAULT as SC
-from ..params import HIGH_TIERS
+from ..params import HIGH_TIERS, ROW_COUNT_BANDS_FULL
 from ..sources.fixture import Fixture
 from . import decisions as dq
 from . import quality as qa
@@ -117,3 +117,28 @@ def q_s14(spark, sf_dir):
     """Row count per fixture table (one distributed count each, unioned)."""
     fx = Fixture(spark, sf_dir)
     return qa.table_counts({t[3:]: getattr(fx, t[3:]) for t in _COUNTED})
+
+
+# fact table of the reference -> fixture view that stands for it (the campaign exposure fact has no
+# fixture view: its band is not checked)
+_BANDED = {"fact_sales_line": "fx_sales", "fact_inventory_position": "fx_inventory", "fact_returns_line": "fx_returns",
+           "fact_purchase_order_line": "fx_po_lines", "fact_shipment_event": "fx_shipment_events",
+           "fact_digital_engagement": "fx_engagement"}
+
+
+def _band_sql(table: str, view: str) -> str:
+    lo, hi = ROW_COUNT_BANDS_FULL[table]
+    return (f"SELECT {lit(table + ' rows in full-scale band')} AS \"check\", 'warn' AS level, CAST(n AS DOUBLE) AS observed, "
+            f"CAST({float(lo)!r} AS DOUBLE) AS bound, COALESCE(n BETWEEN {lo} AND {hi}, FALSE) AS ok, "
+            f"CAST({float(hi)!r} AS DOUBLE) AS upper_bound FROM (SELECT COUNT(*) AS n FROM {view})")
+
+
+@register("v2_row_count_bands", "\nUNION ALL\n".join(_band_sql(t, v) for t, v in _BANDED.items()))
+def q_v2(spark, sf_dir):
+    """V2: soft warnings when a fact's row count leaves the band the full-scale build should land in
+    (one distributed count per fact; ``ok`` is false for every fact at the small test scales)."""
+    fx = Fixture(spark, sf_dir)
+    rows = [qa.row_count_band(getattr(fx, v[3:]), f"{t} rows in full-scale band", *ROW_COUNT_BANDS_FULL[t])
+            .withColumn("upper_bound", F.lit(float(ROW_COUNT_BANDS_FULL[t][1])))
+            for t, v in _BANDED.items()]
+    return qa.report(rows)
