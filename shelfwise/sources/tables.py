@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GIVEN_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -18,9 +19,27 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
+# inferred schema per (local path, modification time): a re-read of an unchanged table skips the
+# footer-reading job of schema inference; the file listing itself is always fresh
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
+def _schema_key(path: str) -> tuple[str, int] | None:
+    if "://" in path or not os.path.exists(path):
+        return None
+    return os.path.realpath(path), os.stat(path).st_mtime_ns
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """S3: read one table; projection and filters are pushed into the parquet scan by Catalyst."""
-    return spark.read.parquet(table_path(root, name))
+    path = table_path(root, name)
+    key = _schema_key(path)
+    if key is not None and key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if key is not None:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def read_glob(spark: SparkSession, pattern: str) -> DataFrame:
