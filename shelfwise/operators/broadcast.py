@@ -1,12 +1,11 @@
 """Broadcast only behind a size check.
 
-A dimension is broadcast when a bounded count proves it small; otherwise the
-join is left to Catalyst/AQE (sort-merge or shuffled hash join), which is the
+A dimension is broadcast when a bounded count (of the dimension or of a base
+table that bounds its row count) proves it small; otherwise the join is left to Catalyst/AQE (sort-merge or shuffled hash join), which is the
 path that still works when the "dimension" is as large as a fact.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +13,20 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Persist ``df``, count at most ``max_rows + 1`` rows, broadcast only if it fits.
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only when a count of at most ``max_rows + 1`` rows proves it fits.
 
-    The count reads the persisted data, so the dimension is built once and the
-    check costs one pass over an already small result.
+    ``bound`` is a cheaper frame with at least as many rows as ``df`` (the base table a dimension is a
+    projection or a key-preserving join of, or its key aggregate): counting it proves the bound without
+    computing ``df`` (e.g. without the fact scan a dimension's date range needs). Without ``bound``
+    ``df`` itself is counted.
+
+    ``df`` is not persisted: it stays an ordinary subtree of every plan that uses it, so identical
+    copies inside one plan canonicalise alike and their exchanges are reused (a cached relation whose
+    own plan is adaptive defeats that reuse, and every copy of the fact lineage above it re-scans).
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
+    probe = bound if bound is not None else df
+    n = probe.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -91,17 +91,19 @@ def sell_through(dense: DataFrame) -> DataFrame:
     s_t = F.least(F.col("initial_alloc") + F.col("replenish_rate") * growth, F.col("supply_cap"))
     if "s_t" not in dense.columns:
         dense = dense.withColumn("s_t", s_t)
+    # one projection per dependency level (each withColumn call re-analyses the whole window plan)
     out = (dense
            .withColumn("cum_demand", F.sum("demand_units").over(cum))
            .withColumn("realized_cum_sales", F.least(F.col("cum_demand").cast("double"), F.col("s_t")))
-           .withColumn("realized_sales",
-                       F.round(F.greatest(F.col("realized_cum_sales")
-                                          - F.lag("realized_cum_sales", 1, 0.0).over(w), F.lit(0.0))).cast("int"))
-           .withColumn("on_hand", F.greatest(F.col("s_t") - F.col("realized_cum_sales"), F.lit(0.0)))
-           .withColumn("on_hand_units", F.round("on_hand").cast("int"))
-           .withColumn("trailing4", F.avg("realized_sales").over(last4))
-           .withColumn("weeks_of_supply", F.least(F.coalesce(safe_div("on_hand", "trailing4"), F.lit(52.0)), F.lit(52.0)))
-           .withColumn("unmet_cum_demand", F.col("cum_demand") - F.col("realized_cum_sales")))
+           .withColumns({
+               "realized_sales": F.round(F.greatest(F.col("realized_cum_sales")
+                                                    - F.lag("realized_cum_sales", 1, 0.0).over(w), F.lit(0.0))).cast("int"),
+               "on_hand": F.greatest(F.col("s_t") - F.col("realized_cum_sales"), F.lit(0.0))})
+           .withColumns({"on_hand_units": F.round("on_hand").cast("int"),
+                         "trailing4": F.avg("realized_sales").over(last4)})
+           .withColumns({
+               "weeks_of_supply": F.least(F.coalesce(safe_div("on_hand", "trailing4"), F.lit(52.0)), F.lit(52.0)),
+               "unmet_cum_demand": F.col("cum_demand") - F.col("realized_cum_sales")}))
     return out.drop("trailing4")
 
 

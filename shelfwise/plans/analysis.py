@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import safe_div
+from ..functions.expr import exact_sum, safe_div
 
 
 # ------------------------------------------------------------------ one-row combination
@@ -204,7 +204,8 @@ def portfolio_rollup(signals: DataFrame, style_names: list[str] | None = None) -
     if style_names:
         s = s.where(F.col("style_name").isin(style_names))
     g = s.groupBy("region_code", "style_id", "style_name").agg(
-        F.sum("on_hand_units").alias("on_hand"), F.sum("projected_remaining_demand").alias("proj_demand"))
+        F.sum("on_hand_units").alias("on_hand"),
+        exact_sum("projected_remaining_demand").cast("double").alias("proj_demand"))
     return g.withColumn("overstock_pct", safe_div(F.col("on_hand") - F.col("proj_demand"), F.col("proj_demand")) * 100)
 
 
@@ -220,7 +221,9 @@ def transfer_decisions(portfolio: DataFrame, dim_sku: DataFrame) -> DataFrame:
     shortage = (p.where(F.col("on_hand") < F.col("proj_demand")).groupBy("style_id")
                 .agg(F.min_by(F.struct("region_code", "proj_demand"),
                               F.struct(F.col("on_hand") - F.col("proj_demand"), F.col("region_code"))).alias("d")))
-    price = dim_sku.groupBy("style_id").agg(F.avg("current_retail_price").alias("avg_price"))
+    # prices carry cents: their exact sum over the count gives the same mean on every partitioning
+    price = dim_sku.groupBy("style_id").agg(
+        (exact_sum("current_retail_price", 2).cast("double") / F.count(F.lit(1))).alias("avg_price"))
     e = surplus.join(shortage, "style_id").join(price, "style_id").select(
         "style_id", F.col("s.region_code").alias("from_region"), F.col("d.region_code").alias("to_region"),
         F.col("s.on_hand").alias("surplus_on_hand"), F.col("avg_price"),
@@ -257,17 +260,21 @@ def capsule_affinity(scorecard: DataFrame, region: str) -> DataFrame:
 def executive_rollup(signals: DataFrame, risk: DataFrame, returns: DataFrame, dim_sku: DataFrame, as_of_week: int,
                      recovery_rate: float = 0.55) -> DataFrame:
     """Four exposures as one row, plus total and expected recovery."""
+    # every part is an exact fixed-point sum (exact_sum), so it does not depend on partitioning
     over = signals.where(F.col("overstock_pct") > 0.2).agg(
-        F.sum(F.greatest(F.col("overstock_units"), F.lit(0.0)) * F.col("current_retail_price") * 0.35).alias("overstock_cost"))
+        exact_sum(F.greatest(F.col("overstock_units"), F.lit(0.0)) * F.col("current_retail_price") * 0.35)
+        .alias("overstock_cost"))
     stock = signals.where(F.col("stockout_est_days") < 14).agg(
-        F.sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("stockout_cost"))
-    sup = risk.agg(F.sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("supply_risk_cost"))
+        exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("stockout_cost"))
+    sup = risk.agg(exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price"))
+                   .alias("supply_risk_cost"))
     ret = (returns.where(F.col("week_id") >= as_of_week - 12)
            .join(dim_sku.select("sku_id", "current_retail_price"), "sku_id")
-           .agg(F.sum(F.col("units_returned") * 0.5 * F.col("current_retail_price")).alias("returns_cost")))
+           .agg(exact_sum(F.col("units_returned") * 0.5 * F.col("current_retail_price")).alias("returns_cost")))
     parts = ["overstock_cost", "stockout_cost", "supply_risk_cost", "returns_cost"]
     row = scalars(dict(zip(parts, [over, stock, sup, ret])))
     # cents and below are kept (4 places) so the total and recovery are stable sums of the parts
-    row = row.select(*[F.round(F.coalesce(F.col(c), F.lit(0.0)), 4).alias(c) for c in parts])
+    row = row.select(*[F.round(F.coalesce(F.col(c), F.lit(0).cast("decimal(20,9)")), 4).cast("double").alias(c)
+                       for c in parts])
     total = sum((F.col(c) for c in parts[1:]), F.col(parts[0]))
     return row.withColumn("total_exposure", total).withColumn("total_recovery", F.col("total_exposure") * recovery_rate)

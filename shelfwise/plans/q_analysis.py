@@ -64,7 +64,7 @@ FROM gold_m5 GROUP BY 1"""
 
 CTES["an_portfolio"] = """
 SELECT region_code, style_id, style_name, CAST(SUM(on_hand_units) AS BIGINT) AS on_hand,
-       SUM(projected_remaining_demand) AS proj_demand
+       CAST(SUM(CAST(projected_remaining_demand AS DECIMAL(20,9))) AS DOUBLE) AS proj_demand
 FROM gold_m3 WHERE location_type = 'Store' GROUP BY 1, 2, 3"""
 
 
@@ -304,7 +304,8 @@ def q_m31(spark, sf_dir):
                     JOIN (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY style_id
                                   ORDER BY on_hand - proj_demand, region_code) AS rn
                                   FROM an_portfolio WHERE on_hand < proj_demand) WHERE rn = 1) d ON d.style_id = s.style_id
-                    JOIN (SELECT style_id, AVG(current_retail_price) AS avg_price FROM fx_dim_sku GROUP BY 1) pr
+                    JOIN (SELECT style_id, CAST(SUM(CAST(current_retail_price AS DECIMAL(20,2))) AS DOUBLE) / COUNT(*)
+                                 AS avg_price FROM fx_dim_sku GROUP BY 1) pr
                       ON pr.style_id = s.style_id)""",
           round_cols=("expected_revenue", "cost"))
 def q_m32(spark, sf_dir):
@@ -339,14 +340,15 @@ def q_m35(spark, sf_dir):
           f"""SELECT *, overstock_cost + stockout_cost + supply_risk_cost + returns_cost AS total_exposure,
                      (overstock_cost + stockout_cost + supply_risk_cost + returns_cost) * 0.55 AS total_recovery
               FROM (SELECT
-                ROUND(COALESCE((SELECT SUM(GREATEST(overstock_units, 0) * current_retail_price * 0.35) FROM gold_m3
-                          WHERE overstock_pct > 0.2), 0.0), 4) AS overstock_cost,
-                ROUND(COALESCE((SELECT SUM(trailing_avg_weekly_sales * 3 * current_retail_price) FROM gold_m3
-                          WHERE stockout_est_days < 14), 0.0), 4) AS stockout_cost,
-                ROUND(COALESCE((SELECT SUM(trailing_avg_weekly_sales * 3 * current_retail_price) FROM gold_m5), 0.0), 4)
-                  AS supply_risk_cost,
-                ROUND(COALESCE((SELECT SUM(r.units_returned * 0.5 * k.current_retail_price) FROM fx_returns r
-                          JOIN fx_dim_sku k ON k.sku_id = r.sku_id WHERE r.week_id >= {AS_OF - 12}), 0.0), 4) AS returns_cost)""",
+                CAST(ROUND(COALESCE((SELECT SUM(CAST(GREATEST(overstock_units, 0) * current_retail_price * 0.35 AS DECIMAL(20,9)))
+                          FROM gold_m3 WHERE overstock_pct > 0.2), 0), 4) AS DOUBLE) AS overstock_cost,
+                CAST(ROUND(COALESCE((SELECT SUM(CAST(trailing_avg_weekly_sales * 3 * current_retail_price AS DECIMAL(20,9)))
+                          FROM gold_m3 WHERE stockout_est_days < 14), 0), 4) AS DOUBLE) AS stockout_cost,
+                CAST(ROUND(COALESCE((SELECT SUM(CAST(trailing_avg_weekly_sales * 3 * current_retail_price AS DECIMAL(20,9)))
+                          FROM gold_m5), 0), 4) AS DOUBLE) AS supply_risk_cost,
+                CAST(ROUND(COALESCE((SELECT SUM(CAST(r.units_returned * 0.5 * k.current_retail_price AS DECIMAL(20,9)))
+                          FROM fx_returns r JOIN fx_dim_sku k ON k.sku_id = r.sku_id WHERE r.week_id >= {AS_OF - 12}), 0), 4)
+                  AS DOUBLE) AS returns_cost)""",
           round_cols=("total_exposure", "total_recovery"))
 def q_m37(spark, sf_dir):
     """Executive exposure roll-up (four aggregates combined into one row)."""

@@ -147,7 +147,7 @@ class Fixture:
             F.col("min_price").alias("base_retail_price_usd"),
             cal.week_of(F.col("launch_date"), self.sc).alias("launch_week"),
             cal.week_of(F.col("planned_exit_date"), self.sc, clip_upper=False).alias("exit_week_uncapped"),
-        ), max_rows=100_000)
+        ), max_rows=100_000, bound=styles)  # one row per style of ``part``: the left join keeps that count
 
     @cached_property
     def dim_sku(self) -> DataFrame:
@@ -164,7 +164,7 @@ class Fixture:
             F.when(F.col("size").rlike("^[0-9]+$"), F.lit("Numeric")).otherwise(F.lit("Alpha")).alias("size_type"),
             "current_retail_price",
             F.coalesce(F.col("exit_week_uncapped") + 6 >= F.lit(self.sc.as_of_week), F.lit(False)).alias("active_flag"),
-        ), max_rows=100_000)
+        ), max_rows=100_000, bound=skus)  # one row per SKU of ``part``: the left join to styles keeps that count
 
     # ------------------------------------------------------------------ customers
     @cached_property
@@ -192,7 +192,9 @@ class Fixture:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         nr = self.nation_region.select(F.col("n_nationkey").alias("s_nationkey"), "region_code")
         # broadcast while supplier is small; past the bound it is joined by shuffle on l_suppkey
-        return checked_broadcast(s.join(nr, "s_nationkey").select("s_suppkey", "region_code"), max_rows=1_000_000)
+        # at most one region per supplier: the supplier table bounds the row count
+        return checked_broadcast(s.join(nr, "s_nationkey").select("s_suppkey", "region_code"), max_rows=1_000_000,
+                                 bound=s)
 
     @cached_property
     def sales_base(self) -> DataFrame:
@@ -201,7 +203,7 @@ class Fixture:
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
         # part is broadcast while it is small; past the bound it is joined by shuffle on l_partkey
-        ps = checked_broadcast(self.part_sku.drop("p_name"), max_rows=1_000_000)
+        ps = checked_broadcast(self.part_sku.drop("p_name"), max_rows=1_000_000, bound=self.table("part"))
         j = (li.join(ps, li.l_partkey == ps.p_partkey)
              .join(self.supplier_region, li.l_suppkey == F.col("s_suppkey")))
         # money in integer cents: (cents × (100 − discount %) + 50) div 100 is exact half-up rounding,
