@@ -61,8 +61,9 @@ def regional_exposure(signals: DataFrame, category: str, regions: list[str]) ->
     s = signals.where(F.col("region_code").isin(regions) & (F.col("category") == category)
                       & (F.col("location_type") == "Store"))
     g = s.groupBy("region_code").agg(F.sum("on_hand_units").alias("on_hand"),
-                                     F.sum("projected_remaining_demand").alias("proj_demand"),
-                                     F.sum(F.col("on_hand_units") * F.col("current_retail_price")).alias("inventory_value_at_risk"))
+                                     exact_sum("projected_remaining_demand").cast("double").alias("proj_demand"),
+                                     exact_sum(F.col("on_hand_units") * F.col("current_retail_price"), 2).cast("double")
+                                     .alias("inventory_value_at_risk"))
     return g.withColumn("overstock_pct", safe_div(F.col("on_hand") - F.col("proj_demand"), F.col("proj_demand")) * 100)
 
 
@@ -160,7 +161,8 @@ def revenue_at_risk_by_region(risk: DataFrame) -> DataFrame:
     """M27."""
     return (risk.groupBy("region_code")
             .agg(F.sum("on_hand_units").alias("on_hand"), F.avg("weeks_of_supply").alias("avg_weeks_of_supply"),
-                 F.sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("revenue_at_risk_3wk"))
+                 exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).cast("double")
+                 .alias("revenue_at_risk_3wk"))
             .orderBy(F.col("revenue_at_risk_3wk").desc()))
 
 

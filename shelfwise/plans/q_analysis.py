@@ -52,14 +52,15 @@ FROM (SELECT *, UNNEST(range(0, len(seq))) AS i
             FROM fx_po_lines))""" % (_seq(EVENT_SEQUENCE_DISRUPTED), _seq(EVENT_SEQUENCE_NORMAL))
 
 CTES["an_exposure"] = f"""
-SELECT region_code, CAST(SUM(on_hand_units) AS BIGINT) AS on_hand, SUM(projected_remaining_demand) AS proj_demand,
-       SUM(on_hand_units * current_retail_price) AS inventory_value_at_risk
+SELECT region_code, CAST(SUM(on_hand_units) AS BIGINT) AS on_hand,
+       CAST(SUM(CAST(projected_remaining_demand AS DECIMAL(20,9))) AS DOUBLE) AS proj_demand,
+       CAST(SUM(CAST(on_hand_units * current_retail_price AS DECIMAL(20,2))) AS DOUBLE) AS inventory_value_at_risk
 FROM gold_m3 WHERE region_code IN {_in(SHOCK_REGIONS)} AND category = {lit(CATEGORY)} AND location_type = 'Store'
 GROUP BY 1"""
 
 CTES["an_risk_region"] = """
 SELECT region_code, CAST(SUM(on_hand_units) AS BIGINT) AS on_hand, AVG(weeks_of_supply) AS avg_weeks_of_supply,
-       SUM(trailing_avg_weekly_sales * 3 * current_retail_price) AS revenue_at_risk_3wk
+       CAST(SUM(CAST(trailing_avg_weekly_sales * 3 * current_retail_price AS DECIMAL(20,9))) AS DOUBLE) AS revenue_at_risk_3wk
 FROM gold_m5 GROUP BY 1"""
 
 CTES["an_portfolio"] = """
