@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import HIGH_TIERS
+from ..operators.broadcast import bounded_broadcast, checked_broadcast
 from .fixture import Fixture
 from .tables import GIVEN_TABLES, read_table, table_path, write_table
 
@@ -107,8 +108,11 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], root: str, fx:
     create_layer(spark, "gold", f"{root}/gold")
     sc = fx.sc
     sales = silver["fact_sales_line"]
-    dim_sku, dim_style, dim_week = (F.broadcast(silver["dim_sku"]), F.broadcast(silver["dim_style"]),
-                                    F.broadcast(silver["dim_week"]))
+    # the calendar has n_weeks rows by construction; styles and SKUs grow with the catalog, so they are
+    # broadcast only when a bounded count of the written silver table proves them small
+    dim_sku = checked_broadcast(silver["dim_sku"], max_rows=100_000)
+    dim_style = checked_broadcast(silver["dim_style"], max_rows=100_000)
+    dim_week = bounded_broadcast(silver["dim_week"])
     weekly = eng.weekly_demand(sales)
     engine = eng.run_engine(weekly, dim_style)
     inventory = engine.select("location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id",
