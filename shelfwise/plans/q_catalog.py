@@ -184,3 +184,14 @@ def q_c5(spark, sf_dir):
 def q_c7(spark, sf_dir):
     """C6 + C7: cart subtotal, 8 % tax and total per cart."""
     return cat.cart_totals(_carts(spark, sf_dir))
+
+
+@register("f16_style_hero_colour")
+def q_f16(spark, sf_dir):
+    """A5 + F16: every style's colours (sorted, distinct, ', '-joined) and the colour that represents it in
+    the storefront grid, picked by CRC32 of the style id (stable per style, spread across the palette).
+    Rows-only: the SQL engine of the check has no CRC32; tested against zlib on a small fixture."""
+    skus = Fixture(spark, sf_dir).dim_sku
+    colours = skus.groupBy("style_id").agg(
+        F.array_join(F.array_sort(F.collect_set("color_name")), ", ").alias("colors"))
+    return colours.select("style_id", "colors", cat.pick_colour(F.col("colors"), F.col("style_id")).alias("hero_colour"))

@@ -62,3 +62,16 @@ def test_rate_walk_clips_to_band_and_keeps_base_currency_flat(spark):
     # the fixture shock stays within ±4 per mille
     s = weeks.select(fxo.weekly_shock(F.col("week_id"), F.lit(3)).alias("s")).agg(F.min("s"), F.max("s")).first()
     assert s[0] == -0.004 and s[1] == 0.004
+
+
+def test_hero_colour_query_matches_crc32_pick(spark):
+    import zlib
+    from shelfwise.plans import all_queries
+    q, o = all_queries()
+    assert "f16_style_hero_colour" not in o
+    rows = q["f16_style_hero_colour"](spark, SF_SMALL).collect()
+    assert len(rows) == Fixture(spark, SF_SMALL).dim_style.count()
+    for r in rows:
+        options = [c for c in r.colors.split(", ") if c]
+        assert options == sorted(set(options))
+        assert r.hero_colour == options[zlib.crc32(r.style_id.encode()) % len(options)]
