@@ -240,16 +240,7 @@ class Fixture:
     @cached_property
     def returns(self) -> DataFrame:
         """fact_returns_line: sales lines flagged R; reason by a fixed rule on the line key."""
-        reason = case_map((F.col("l_orderkey") + F.col("l_linenumber")) % 8, dict(enumerate(RETURN_REASONS)), None)
-        return self.sales.where(F.col("l_returnflag") == "R").select(
-            F.concat(F.lit("RET-"), F.col("order_id")).alias("return_line_id"),
-            "l_orderkey", "l_linenumber", "l_partkey",
-            "location_id", "channel", "sku_id", "style_id", "size", "category", "week_id",
-            (F.col("l_shipdate") + F.expr("INTERVAL 7 DAYS")).alias("return_date"),
-            F.col("units").alias("units_returned"),
-            reason.alias("reason_code"),
-            "revenue_cents",
-        )
+        return returns_from_sales(self.sales)
 
     @cached_property
     def return_reviews(self) -> DataFrame:
@@ -302,6 +293,21 @@ class Fixture:
             (((F.col("week_id") * 7 + F.col("r_regionkey") * 3) % 11) - 5).cast("float").alias("avg_temp_vs_normal_c"))
 
 
+def returns_from_sales(sales: DataFrame) -> DataFrame:
+    """fact_returns_line from any sales frame with the line keys, return flag and ship date (the fixture's
+    view, or the written silver sales table): lines flagged R, reason by a fixed rule on the line key."""
+    reason = case_map((F.col("l_orderkey") + F.col("l_linenumber")) % 8, dict(enumerate(RETURN_REASONS)), None)
+    return sales.where(F.col("l_returnflag") == "R").select(
+        F.concat(F.lit("RET-"), F.col("order_id")).alias("return_line_id"),
+        "l_orderkey", "l_linenumber", "l_partkey",
+        "location_id", "channel", "sku_id", "style_id", "size", "category", "week_id",
+        (F.col("l_shipdate") + F.expr("INTERVAL 7 DAYS")).alias("return_date"),
+        F.col("units").alias("units_returned"),
+        reason.alias("reason_code"),
+        "revenue_cents",
+    )
+
+
 def fixture(spark: SparkSession, sf_dir: str, sc: Scenario = DEFAULT) -> Fixture:
     return Fixture(spark, sf_dir, sc)
 
