@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, lines
+from . import bpe, chat, decontam, lines, simhash, warc
 from .common import long_id
 
 QUERIES: dict = {}
@@ -63,6 +63,48 @@ def op8(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query("op2_simhash_near_dedup")
+def op2(spark, sf_dir):
+    out = simhash.simhash_components(_docs(spark, sf_dir))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query("op3_chat_formatting", sql=r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS body, replace(replace(role, '\', '\\'), '<|', '<\|') AS r,
+             coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), '^') AS before FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(length(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(r) + length(body) + length('<|im_start|>') + 1 + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+       bool_and((before, role) IN (('^', 'system'), ('^', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')))
+         AND max(role) <> 'system' AS valid
+FROM e GROUP BY conv_id""".replace("\\\\", "\\"))
+def op3(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(turns.unionByName(chat.probe(spark))))
+
+
+@_query("op4_byte_level_bpe")
+def op4(spark, sf_dir):
+    import public_tokenizers
+    return bpe.encode_documents(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query("op7_warc_index_merge", sql="""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)""")
+def op7(spark, sf_dir):
+    out = warc.archive(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
