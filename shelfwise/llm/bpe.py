@@ -36,10 +36,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def _class_of(prop: str, last: int) -> str:
-    """Ranges of all code points up to ``last`` with a Unicode property, as the inside of a character class."""
-    import regex
-    text = "".join(chr(i) if not 0xD800 <= i < 0xE000 else "\0" for i in range(last + 1))
-    points = [m.start() for m in regex.finditer(prop, text)]
+    """Ranges of all code points up to ``last`` with a Unicode property, as the inside of a character class.
+
+    The tokenizer library's own Unicode version counts, so it is asked which code points match."""
+    import tiktoken
+    every = "".join(chr(i) for i in range(last + 1) if not 0xD800 <= i < 0xE000)
+    probe = tiktoken.Encoding("probe", pat_str=prop, mergeable_ranks={BYTES[i]: i for i in range(256)}, special_tokens={})
+    points = list(map(ord, bytes(probe.encode_ordinary(every)).decode()))
     cuts = [i for i in range(1, len(points)) if points[i] != points[i - 1] + 1]
     return "".join(f"\\U{points[a]:08x}-\\U{points[b - 1]:08x}" for a, b in zip([0, *cuts], [*cuts, len(points)]))
 
@@ -47,7 +50,7 @@ def _class_of(prop: str, last: int) -> str:
 def compile_pattern(pattern: str, last: int = sys.maxunicode) -> re.Pattern:
     """The split pattern for texts of code points up to ``last``, with its Unicode classes spelt out for the
     standard library's engine (which is the faster the fewer ranges a class has)."""
-    white = _class_of(r"\p{White_Space}", last)
+    white = _class_of(r"\s", last)
     for name in ("L", "N"):
         inside = _class_of(rf"\p{{{name}}}", last)
         pattern = re.sub(rf"(\[[^\]]*)\\p\{{{name}\}}", lambda m: m[1] + inside, pattern).replace(rf"\p{{{name}}}", f"[{inside}]")

@@ -175,7 +175,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, filter_
     bits = filter_bits >> SEGMENT_BITS
     bc = spark.sparkContext.broadcast(twice_seen(slim, min_chars, filter_bits))
     held = staged(slim.mapInArrow(_suspect_rows(bc, bits, min_chars), "key binary, doc_id long").distinct(), "line-suspects")
-    common = held.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep")).where(F.col("n") >= min_docs)
+    # written first, so that the join reads two plain exchanges, which Spark can split at a hot line
+    common = staged(held.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
+                    .where(F.col("n") >= min_docs).select("key", "keep"), "line-common")
     drops = (held.join(common, "key").where(F.col("doc_id") != F.col("keep"))
              .groupBy("doc_id").agg(F.collect_list("key").alias("drop")))
     # own names inside, so that extra columns may be called anything

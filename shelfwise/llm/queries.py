@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, chat, decontam, lines, simhash, warc
+from . import ann, bpe, chat, decontam, lines, pii, quality, simhash, toxicity, warc
 from .common import long_id
 
 QUERIES: dict = {}
@@ -105,6 +105,39 @@ def op7(spark, sf_dir):
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+QUALITY_FOLD, TOXICITY_FOLD = (3, 1), (5, 0)
+
+
+def held_out(parts: int, part: int):
+    """Rows kept from learning: crc32 of the doc_id as text has remainder ``part`` modulo ``parts``."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
+@_query("op5_quality_classifier")
+def op5(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"), ~held_out(*QUALITY_FOLD))
+    return quality.score_documents(docs, model).select("doc_id", held_out(*QUALITY_FOLD).alias("held_out"), "score", "predicted")
+
+
+@_query("op10_toxicity")
+def op10(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), ~held_out(*TOXICITY_FOLD))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out(*TOXICITY_FOLD).alias("held_out"), "score", "predicted")
+
+
+@_query("op1_pii")
+def op1(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return pii.find_pii(docs, pii.train(docs))
+
+
+@_query("op9_ann_learned_partitions")
+def op9(spark, sf_dir):
+    return ann.search(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
