@@ -227,7 +227,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, parts: int = PAR
     prepare(spark)
     rows = usable(embeddings)
     sample = rows.dropDuplicates(["v"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).select("v").toPandas()
-    x = np.array(sample["v"].tolist(), float).reshape(len(sample), -1)
+    x = np.array(sample["v"].tolist(), float).reshape(len(sample), -1 if len(sample) else 1)
     unseen = min(HELD_OUT, len(x) // 8)
     router = fit(x[unseen:], parts)
     n = min(probes or calibrate(router, x[:unseen], x[unseen:], k, recall), router.w2.shape[1]) if router else 1
