@@ -25,8 +25,9 @@ MEMBERS_PER_VALUE_BUCKET = 8
 
 
 def unit_draw(orderkey: Column, linenumber: Column) -> Column:
-    """Deterministic draw in [0, 1) from the line key (integer arithmetic, identical on every engine)."""
-    return ((orderkey * 2654435761 + linenumber * 40503) % 1000003).cast("double") / 1000003.0
+    """Deterministic draw in [0, 1) from the line key: 52 bits of its MD5, exact in a double on every engine."""
+    digest = F.md5(F.concat_ws("-", orderkey.cast("string"), linenumber.cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
 
 
 def pool_members(customers: DataFrame, pools: DataFrame, cohort_region: str, repeat_lift: float,

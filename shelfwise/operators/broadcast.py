@@ -1,33 +1,23 @@
 """Broadcast only behind a size check.
 
-A dimension is broadcast when a bounded count (of the dimension or of a base
-table that bounds its row count) proves it small; otherwise the join is left to Catalyst/AQE (sort-merge or shuffled hash join), which is the
-path that still works when the "dimension" is as large as a fact.
+Written dimensions need no hint: Catalyst knows their file size and broadcasts
+them under its own threshold, and AQE does the same for shuffled inputs. A hint
+is given only where Catalyst cannot see the bound, and only if the files behind
+the frame are small; otherwise the join is left to Catalyst and AQE, which still
+work when the "dimension" is as large as a fact.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows; a dimension past this size is joined by shuffle instead
-DEFAULT_MAX_ROWS = 200_000
+# bytes of parquet behind a frame; decoded columns are a few times larger
+MAX_BYTES = 16 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when a count of at most ``max_rows + 1`` rows proves it fits.
-
-    ``bound`` is a cheaper frame with at least as many rows as ``df`` (the base table a dimension is a
-    projection or a key-preserving join of, or its key aggregate): counting it proves the bound without
-    computing ``df`` (e.g. without the fact scan a dimension's date range needs). Without ``bound``
-    ``df`` itself is counted.
-
-    ``df`` is not persisted: it stays an ordinary subtree of every plan that uses it, so identical
-    copies inside one plan canonicalise alike and their exchanges are reused (a cached relation whose
-    own plan is adaptive defeats that reuse, and every copy of the fact lineage above it re-scans).
-    """
-    probe = bound if bound is not None else df
-    n = probe.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def checked_broadcast(df: DataFrame, source_bytes: int, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Broadcast ``df``, a projection or key-preserving join of a table of ``source_bytes``, if that is small."""
+    return F.broadcast(df) if source_bytes <= max_bytes else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

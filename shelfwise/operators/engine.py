@@ -25,14 +25,14 @@ def weekly_demand(sales: DataFrame, n_partitions: int | None = None) -> DataFram
     shuffle; the explicit (location_id, sku_id) repartition is the one exchange
     every later listing aggregate, join and window reuses.
     """
-    g = (sales.groupBy("location_id", "region_code", "sku_id", "style_id", "week_id")
+    g = (sales.groupBy("location_id", "location_type", "region_code", "sku_id", "style_id", "week_id")
          .agg(F.sum("units").alias("units"), F.sum("revenue_cents").alias("revenue_cents")))
     return g.repartition(n_partitions, *LISTING_KEYS) if n_partitions else g.repartition(*LISTING_KEYS)
 
 
 def listing_windows(weekly: DataFrame) -> DataFrame:
     """store_sku_assortment of the fixture: first and last sale week and total units per listing."""
-    return (weekly.groupBy("location_id", "region_code", "sku_id", "style_id")
+    return (weekly.groupBy("location_id", "location_type", "region_code", "sku_id", "style_id")
             .agg(F.min("week_id").alias("assortment_start_week"),
                  F.max("week_id").alias("assortment_end_week"),
                  F.sum("units").alias("total_units")))

@@ -2,8 +2,8 @@
 
 The reference draws from a seeded random generator; here the draw is an
 ordering by ``md5(key || seed)``, which is reproducible on every engine and
-needs no driver-side state. Every pick is a window per group (or one window
-over a catalog-bounded frame), so the work stays distributed.
+needs no driver-side state. Picks are top-n sorts or ranks by slice of a group,
+so the work stays distributed.
 """
 from __future__ import annotations
 
@@ -27,12 +27,19 @@ def stratified_pick(listings: DataFrame, group_col: str, key_cols: list[str], co
 
     ``coverage`` is a column (e.g. a tier lookup) evaluated per row of the group.
     """
-    w = Window.partitionBy(group_col)
-    ordered = Window.partitionBy(group_col).orderBy(hash_key(key_cols, seed), *key_cols)
     candidates = listings if forced is None else listings.where(~forced)
-    picked = (candidates.withColumn("_n", F.greatest(F.floor(F.count(F.lit(1)).over(w) * coverage), F.lit(1)))
-              .withColumn("_rank", F.row_number().over(ordered))
-              .where(F.col("_rank") <= F.col("_n")).drop("_n", "_rank"))
+    # a group is ranked in slices by the first hex digits of the hash, so no task holds a whole group: a row's
+    # rank is the size of the slices before its own (at most 256 per group) plus its rank inside its slice
+    sliced = candidates.withColumn("_h", hash_key(key_cols, seed)).withColumn("_slice", F.substring("_h", 1, 2))
+    sizes = sliced.groupBy(group_col, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    per_group = Window.partitionBy(group_col)
+    offsets = sizes.select(
+        group_col, "_slice", F.sum("_size").over(per_group).alias("_total"),
+        F.coalesce(F.sum("_size").over(per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group_col, "_slice").orderBy("_h", *key_cols)
+    picked = (sliced.withColumn("_place", F.row_number().over(inside)).join(offsets, [group_col, "_slice"])
+              .where(F.col("_before") + F.col("_place") <= F.greatest(F.floor(F.col("_total") * coverage), F.lit(1)))
+              .select(*listings.columns))
     if forced is None:
         return picked
     return picked.unionByName(listings.where(forced))
@@ -41,9 +48,10 @@ def stratified_pick(listings: DataFrame, group_col: str, key_cols: list[str], co
 def disjoint_slices(df: DataFrame, key_cols: list[str], sizes: dict[str, int], seed: int = 42) -> DataFrame:
     """Label consecutive hash-ordered slices (first n, next m, ...); rows past the last slice are dropped.
 
-    One global ordering: use on catalog-bounded frames (styles, stores).
+    A top-n in hash order leaves as many rows as the slices hold; only those are ranked.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.orderBy(hash_key(key_cols, seed), *key_cols)))
+    first = df.orderBy(hash_key(key_cols, seed), *key_cols).limit(sum(sizes.values()))
+    ranked = first.withColumn("_rank", F.row_number().over(Window.orderBy(hash_key(key_cols, seed), *key_cols)))
     label, lo = None, 0
     for name, n in sizes.items():
         cond = F.col("_rank").between(lo + 1, lo + n)

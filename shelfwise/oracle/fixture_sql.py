@@ -65,9 +65,9 @@ FROM region r LEFT JOIN (SELECT n_regionkey, MIN(n_name) AS country FROM nation
   ON fn.n_regionkey = r.r_regionkey"""
 
 CTES["fx_dim_store"] = f"""
-SELECT region_code AS store_id, region_name || ' Store' AS store_name, region_code, country AS city, climate_zone,
-       {case('r_regionkey % 4', dict(enumerate(STORE_TIERS)))} AS store_tier, primary_dc_id, currency_code
-FROM fx_dim_region"""
+SELECT n.n_name AS store_id, {initcap('n.n_name')} || ' Store' AS store_name, r.region_code, {initcap('n.n_name')} AS city,
+       r.climate_zone, {case('n.n_nationkey % 4', dict(enumerate(STORE_TIERS)))} AS store_tier, r.primary_dc_id, r.currency_code
+FROM nation n JOIN fx_dim_region r ON r.r_regionkey = n.n_regionkey"""
 
 CTES["fx_dim_week"] = f"""
 SELECT week_id, week_start_date, week_start_date + 6 AS week_end_date,
@@ -93,11 +93,8 @@ SELECT p_partkey, p_brand || '-' || p_type AS style_id,
 FROM part"""
 
 CTES["fx_style_life"] = """
-SELECT p.p_brand || '-' || p.p_type AS style_id,
-       CAST(MIN(pp.first_ship) AS DATE) AS launch_date, CAST(MAX(pp.last_ship) AS DATE) AS planned_exit_date
-FROM (SELECT l_partkey, MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship FROM lineitem GROUP BY 1) pp
-JOIN part p ON pp.l_partkey = p.p_partkey
-GROUP BY 1"""
+SELECT style_id, CAST(MIN(l_shipdate) AS DATE) AS launch_date, CAST(MAX(l_shipdate) AS DATE) AS planned_exit_date
+FROM fx_sales_base GROUP BY 1"""
 
 _brand_no = "CAST(substr(s.p_brand, 7, 10) AS INTEGER)"
 CTES["fx_dim_style"] = f"""
@@ -137,12 +134,13 @@ SELECT c.c_custkey AS customer_id,
 FROM customer c JOIN fx_nation_region nr ON nr.n_nationkey = c.c_nationkey"""
 
 CTES["fx_supplier_region"] = """
-SELECT s.s_suppkey, nr.region_code FROM supplier s JOIN fx_nation_region nr ON nr.n_nationkey = s.s_nationkey"""
+SELECT s.s_suppkey, nr.n_name, nr.region_code FROM supplier s JOIN fx_nation_region nr ON nr.n_nationkey = s.s_nationkey"""
 
 CTES["fx_sales_base"] = f"""
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, l.l_shipdate,
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_shipdate, ps.p_retailprice,
        CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
-       sr.region_code AS location_id,
+       CASE WHEN l.l_linestatus = 'F' THEN sr.n_name ELSE 'ECOM-' || sr.region_code END AS location_id,
+       CASE WHEN l.l_linestatus = 'F' THEN 'Store' ELSE 'Ecommerce' END AS location_type,
        CASE WHEN l.l_linestatus = 'F' THEN 'Store' ELSE 'Ecommerce' END AS channel,
        sr.region_code, ps.sku_id, ps.style_id, ps.category, ps.size,
        {week_of('l.l_shipdate')} AS week_id,
@@ -164,8 +162,8 @@ CTES["fx_sales_cust"] = """
 SELECT s.*, o.o_custkey AS customer_id FROM fx_sales s JOIN orders o ON o.o_orderkey = s.l_orderkey"""
 
 CTES["fx_returns"] = f"""
-SELECT 'RET-' || order_id AS return_line_id, l_orderkey, l_linenumber, l_partkey, location_id, channel, sku_id,
-       style_id, size, category, week_id, l_shipdate + INTERVAL 7 DAY AS return_date, units AS units_returned,
+SELECT 'RET-' || order_id AS return_line_id, l_orderkey, l_linenumber, l_partkey, location_id, location_type,
+       region_code, channel, sku_id, style_id, size, category, week_id, l_shipdate + INTERVAL 7 DAY AS return_date, units AS units_returned,
        {case('(l_orderkey + l_linenumber) % 8', dict(enumerate(RETURN_REASONS)))} AS reason_code, revenue_cents
 FROM fx_sales WHERE l_returnflag = 'R'"""
 
@@ -175,19 +173,15 @@ SELECT r.*, d.text AS review_text FROM fx_returns r LEFT JOIN documents d ON d.d
 CTES["fx_po_lines"] = f"""
 SELECT 'PO-' || CAST(li.l_orderkey AS VARCHAR) AS po_id,
        'PO-' || CAST(li.l_orderkey AS VARCHAR) || '-L' || CAST(li.l_linenumber AS VARCHAR) AS po_line_id,
-       li.l_suppkey AS supplier_id, 'DC-' || replace(sr.region_code, ' ', '') AS dc_id, ps.style_id, o.order_date,
+       li.l_suppkey AS supplier_id, 'DC-' || replace(li.region_code, ' ', '') AS dc_id, li.style_id, o.order_date,
        o.order_date + 30 AS original_expected_receipt_date,
        CASE WHEN li.ship_date > o.order_date + 30 THEN li.ship_date ELSE o.order_date + 30 END AS revised_expected_receipt_date,
        CASE WHEN NOT (li.ship_date > o.order_date + 30) AND li.ship_date <= {AS_OF_DATE} THEN li.ship_date END AS actual_receipt_date,
-       CAST(li.l_quantity AS INTEGER) AS units_ordered,
-       CAST({money(money('ps.p_retailprice') + ' * CAST(0.4 AS DECIMAL(2,1))')} AS DOUBLE) AS unit_cost,
+       li.units AS units_ordered,
+       CAST({money(money('li.p_retailprice') + ' * CAST(0.4 AS DECIMAL(2,1))')} AS DOUBLE) AS unit_cost,
        li.ship_date > o.order_date + 30 AS is_delayed
-FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(l_shipdate AS DATE) AS ship_date FROM lineitem) li
-JOIN (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders
-      WHERE {week_of('o_orderdate')} BETWEEN {AS_OF - 11} AND {AS_OF}) o ON li.l_orderkey = o.o_orderkey
-JOIN fx_part_sku ps ON ps.p_partkey = li.l_partkey
-JOIN fx_supplier_region sr ON sr.s_suppkey = li.l_suppkey
-WHERE li.ship_date BETWEEN o.order_date AND o.order_date + 90"""
+FROM (SELECT *, CAST(l_shipdate AS DATE) AS ship_date FROM fx_sales_base) li
+JOIN (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders) o ON li.l_orderkey = o.o_orderkey"""
 
 CTES["fx_weather_actual"] = """
 SELECT r.region_code, w.week_id, CAST(((w.week_id * 7 + r.r_regionkey * 3) % 11) - 5 AS FLOAT) AS avg_temp_vs_normal_c
@@ -195,16 +189,16 @@ FROM fx_dim_region r CROSS JOIN fx_dim_week w"""
 
 # ---------------------------------------------------------------- demand engine
 CTES["fx_weekly"] = """
-SELECT location_id, region_code, sku_id, style_id, week_id, SUM(units) AS units, SUM(revenue_cents) AS revenue_cents
-FROM fx_sales GROUP BY 1, 2, 3, 4, 5"""
+SELECT location_id, location_type, region_code, sku_id, style_id, week_id, SUM(units) AS units, SUM(revenue_cents) AS revenue_cents
+FROM fx_sales GROUP BY ALL"""
 
 CTES["fx_assortment"] = f"""
-SELECT location_id, 'Store' AS location_type, region_code, sku_id, style_id,
+SELECT location_id, location_type, region_code, sku_id, style_id,
        MIN(week_id) AS assortment_start_week, MAX(week_id) AS assortment_end_week, SUM(units) AS total_units,
        starts_with(style_id, {lit(SC.capsule_prefix)}) AS is_core_flag
 FROM fx_weekly GROUP BY 1, 2, 3, 4, 5"""
 
-ENGINE_PLAN = f"""            SELECT a.location_id, a.region_code, a.sku_id, a.style_id, a.assortment_start_week, a.assortment_end_week,
+ENGINE_PLAN = f"""            SELECT a.location_id, a.location_type, a.region_code, a.sku_id, a.style_id, a.assortment_start_week, a.assortment_end_week,
                    a.total_units, CAST(a.total_units AS DOUBLE) AS supply_cap,
                    {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE) AS initial_alloc,
                    (CAST(a.total_units AS DOUBLE) - {INITIAL_ALLOC_FRACTION!r} * CAST(a.total_units AS DOUBLE))
@@ -252,7 +246,7 @@ def engine_sql(plan: str | None = None) -> str:
 CTES["fx_engine"] = engine_sql()
 
 CTES["fx_inventory"] = """
-SELECT location_id, 'Store' AS location_type, region_code, sku_id, week_id, on_hand_units, weeks_of_supply
+SELECT location_id, location_type, region_code, sku_id, week_id, on_hand_units, weeks_of_supply
 FROM fx_engine"""
 
 
@@ -271,6 +265,19 @@ def with_fixture(body: str, extra: dict[str, str] | None = None) -> str:
             continue
         needed.add(name)
         frontier |= _refs(CTES[name]) - needed
-    parts = [f"{n} AS ({CTES[n]}\n)" for n in CTES if n in needed]
+    ordered: list[str] = []
+
+    def place(name: str) -> None:
+        """A CTE after those it reads."""
+        for other in sorted(_refs(CTES[name]) - {name}):
+            if other not in ordered:
+                place(other)
+        if name not in ordered:
+            ordered.append(name)
+
+    for name in CTES:
+        if name in needed:
+            place(name)
+    parts = [f"{n} AS ({CTES[n]}\n)" for n in ordered]
     parts += [f"{n} AS ({sql}\n)" for n, sql in extra.items()]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body

@@ -110,38 +110,28 @@ COLOR_FAMILY = {"Blue": "Blue", "Red": "Red"}          # every other colour word
 
 @dataclass(frozen=True)
 class Scenario:
-    """Parameters of one planning run (dates, scale, rule floors)."""
+    """Parameters of one planning run: its calendar (required), rule floors and campaign keys.
 
-    fiscal_start: dt.date = dt.date(1995, 1, 2)       # a Monday
-    as_of_date: dt.date = dt.date(2001, 6, 4)         # a Monday -> week 336
-    n_weeks: int = 357
+    The rule floors scale with the number of customers, which is counted from the data.
+    """
+
+    fiscal_start: dt.date                             # a Monday
+    as_of_date: dt.date
+    n_weeks: int
     cohort_campaign_id: str = "CMP-1"
     cohort_region: str = "EUROPE"
     cohort_segment: str = "BUILDING"
     capsule_prefix: str = "Brand#1"                  # style prefix of the capsule collection
     flagship_styles: tuple = ("Brand#1 ", "Brand#2 ")  # name fragments that mark flagship styles
-    n_customers: int = 1_500
-    thresholds: dict = field(default_factory=lambda: dict(THRESHOLDS, cohort_lift_min=0.9))
+    thresholds: dict = field(default_factory=lambda: dict(THRESHOLDS))
 
     @property
     def as_of_week(self) -> int:
         return (self.as_of_date - self.fiscal_start).days // 7 + 1
 
-    @property
-    def scale_ratio(self) -> float:
-        return self.n_customers / FULL_SCALE_CUSTOMERS
-
-    @property
-    def min_remaining_demand(self) -> float:
-        return max(15 * self.scale_ratio, 3)
-
-    @property
-    def min_recent_units(self) -> float:
-        return max(15 * self.scale_ratio, 3)
-
-    @property
-    def min_weekly_rate(self) -> float:
-        return max(2.0 * self.scale_ratio, 0.5)
 
+# rule floors: (value at full scale, least value); scaled by customers / FULL_SCALE_CUSTOMERS
+FLOORS = {"min_remaining_demand": (15.0, 3.0), "min_recent_units": (15.0, 3.0), "min_weekly_rate": (2.0, 0.5)}
 
-DEFAULT = Scenario()
+# the registered queries plan over the test tables: the calendar of their ship dates, as of week 336
+DEFAULT = Scenario(fiscal_start=dt.date(1995, 1, 2), as_of_date=dt.date(2001, 6, 4), n_weeks=357)

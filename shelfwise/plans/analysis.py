@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import exact_sum, safe_div
+from .decisions import revenue_at_risk
 
 
 # ------------------------------------------------------------------ one-row combination
@@ -157,18 +158,19 @@ def delayed_po_timeline(po_lines: DataFrame, dim_style: DataFrame, events: DataF
                     "revised_expected_receipt_date", "actual_receipt_date", "event_seq", "event_type", "event_date"))
 
 
-def revenue_at_risk_by_region(risk: DataFrame) -> DataFrame:
-    """M27."""
-    return (risk.groupBy("region_code")
-            .agg(F.sum("on_hand_units").alias("on_hand"), F.avg("weeks_of_supply").alias("avg_weeks_of_supply"),
-                 exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).cast("double")
-                 .alias("revenue_at_risk_3wk"))
+def revenue_at_risk_by_region(exposed: DataFrame) -> DataFrame:
+    """M27 over ``marts.exposed_signals``: every sum weighs a row by its number of PO terms."""
+    n = F.col("n_terms")
+    return (exposed.groupBy("region_code")
+            .agg(F.sum(F.col("on_hand_units") * n).alias("on_hand"),
+                 (F.sum(F.col("weeks_of_supply") * n) / F.sum(F.when(F.col("weeks_of_supply").isNotNull(), n))).alias("avg_weeks_of_supply"),
+                 revenue_at_risk().cast("double").alias("revenue_at_risk_3wk"))
             .orderBy(F.col("revenue_at_risk_3wk").desc()))
 
 
-def vip_exposure(dim_customer: DataFrame, risk: DataFrame, tiers: list[str]) -> DataFrame:
+def vip_exposure(dim_customer: DataFrame, exposed: DataFrame, tiers: list[str]) -> DataFrame:
     """Distinct high-tier customers living in an exposed region (semi join)."""
-    regions = risk.select(F.col("region_code").alias("home_region")).distinct()
+    regions = exposed.select(F.col("region_code").alias("home_region")).distinct()
     return (dim_customer.where(F.col("loyalty_tier").isin(tiers)).join(regions, "home_region", "left_semi")
             .groupBy("loyalty_tier").agg(F.countDistinct("customer_id").alias("n_customers")))
 
@@ -243,38 +245,37 @@ def transfer_decisions(portfolio: DataFrame, dim_sku: DataFrame) -> DataFrame:
 def weighted_cohort_lift(scorecard: DataFrame, region: str, tiers: list[str]) -> DataFrame:
     """Per-tier averages re-weighted by tier size, then cohort / control."""
     c = scorecard.where((F.col("home_region") == region) & F.col("loyalty_tier").isin(tiers))
-    per_tier = c.groupBy("is_milan_cohort", "loyalty_tier").agg(F.count(F.lit(1)).alias("n"),
+    per_tier = c.groupBy("is_cohort", "loyalty_tier").agg(F.count(F.lit(1)).alias("n"),
                                                                 F.avg("n_orders").alias("avg_orders"))
-    s = per_tier.groupBy("is_milan_cohort").agg((F.sum(F.col("avg_orders") * F.col("n")) / F.sum("n")).alias("avg_orders"),
+    s = per_tier.groupBy("is_cohort").agg((F.sum(F.col("avg_orders") * F.col("n")) / F.sum("n")).alias("avg_orders"),
                                                 F.sum("n").alias("n"))
-    lift = safe_div(F.max(F.when(F.col("is_milan_cohort"), F.col("avg_orders"))).over(Window.partitionBy()),
-                    F.max(F.when(~F.col("is_milan_cohort"), F.col("avg_orders"))).over(Window.partitionBy()))
+    lift = safe_div(F.max(F.when(F.col("is_cohort"), F.col("avg_orders"))).over(Window.partitionBy()),
+                    F.max(F.when(~F.col("is_cohort"), F.col("avg_orders"))).over(Window.partitionBy()))
     return s.withColumn("lift", lift)  # s has at most two rows (cohort / control)
 
 
 def capsule_affinity(scorecard: DataFrame, region: str) -> DataFrame:
     """M35."""
-    return (scorecard.where(F.col("home_region") == region).groupBy("is_milan_cohort")
+    return (scorecard.where(F.col("home_region") == region).groupBy("is_cohort")
             .agg(F.avg("capsule_units").alias("avg_capsule_units")))
 
 
 # ------------------------------------------------------------------ executive roll-up (notebook 08)
-def executive_rollup(signals: DataFrame, risk: DataFrame, returns: DataFrame, dim_sku: DataFrame, as_of_week: int,
+def executive_rollup(signals: DataFrame, exposed: DataFrame, returns: DataFrame, dim_sku: DataFrame, as_of_week: int,
                      recovery_rate: float = 0.55) -> DataFrame:
     """Four exposures as one row, plus total and expected recovery."""
     # every part is an exact fixed-point sum (exact_sum), so it does not depend on partitioning
-    over = signals.where(F.col("overstock_pct") > 0.2).agg(
-        exact_sum(F.greatest(F.col("overstock_units"), F.lit(0.0)) * F.col("current_retail_price") * 0.35)
-        .alias("overstock_cost"))
-    stock = signals.where(F.col("stockout_est_days") < 14).agg(
-        exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).alias("stockout_cost"))
-    sup = risk.agg(exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price"))
-                   .alias("supply_risk_cost"))
+    price = F.col("current_retail_price")
+    sig = signals.agg(
+        exact_sum(F.when(F.col("overstock_pct") > 0.2, F.greatest(F.col("overstock_units"), F.lit(0.0)) * price * 0.35)).alias("overstock_cost"),
+        exact_sum(F.when(F.col("stockout_est_days") < 14, F.col("trailing_avg_weekly_sales") * 3 * price)).alias("stockout_cost"))
+    sup = exposed.agg(revenue_at_risk().alias("supply_risk_cost"))
     ret = (returns.where(F.col("week_id") >= as_of_week - 12)
            .join(dim_sku.select("sku_id", "current_retail_price"), "sku_id")
            .agg(exact_sum(F.col("units_returned") * 0.5 * F.col("current_retail_price")).alias("returns_cost")))
     parts = ["overstock_cost", "stockout_cost", "supply_risk_cost", "returns_cost"]
-    row = scalars(dict(zip(parts, [over, stock, sup, ret])))
+    # three one-row frames, of different columns each, stacked and folded into one row
+    row = sig.unionByName(sup, allowMissingColumns=True).unionByName(ret, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in parts])
     # cents and below are kept (4 places) so the total and recovery are stable sums of the parts
     row = row.select(*[F.round(F.coalesce(F.col(c), F.lit(0).cast("decimal(20,9)")), 4).cast("double").alias(c)
                        for c in parts])

@@ -8,7 +8,7 @@ view cart and checkout.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +59,17 @@ def get_complementary_items(t: Tables, style_id: str, limit: int = 2) -> DataFra
     return cat.complementary_items(t.dim_sku, t.dim_style, t.signals, style_id, limit)
 
 
-def add_to_cart(t: Tables, cart_id: int) -> DataFrame:
+def add_to_cart(t: Tables, cart_id: int, sku_id: str, quantity: int = 1) -> Tables:
+    """The tables with ``quantity`` units of a SKU added to a cart; see ``cart_contents`` for its priced lines.
+
+    An unknown SKU gives a line that no catalog row prices, so it does not appear; quantities below 1 are refused.
+    """
+    if quantity < 1:
+        raise ValueError("quantity must be at least 1")
+    return replace(t, cart_events=cat.add_event(t.cart_events, cart_id, sku_id, quantity))
+
+
+def cart_contents(t: Tables, cart_id: int) -> DataFrame:
     """Priced lines of one cart (removes cancel earlier adds), with a warning when quantity exceeds stock."""
     lines = cat.cart_lines(t.cart_events.where(F.col("cart_id") == cart_id))
     return cat.price_lines(lines, t.dim_sku, t.dim_style, cat.availability(t.dim_sku, t.signals))
@@ -67,10 +77,10 @@ def add_to_cart(t: Tables, cart_id: int) -> DataFrame:
 
 def view_cart(t: Tables, cart_id: int) -> DataFrame:
     """Item count, units and subtotal of one cart."""
-    return cat.cart_totals(add_to_cart(t, cart_id)).select("cart_id", "n_items", "n_units", "subtotal")
+    return cat.cart_totals(cart_contents(t, cart_id)).select("cart_id", "n_items", "n_units", "subtotal")
 
 
 def checkout(t: Tables, cart_id: int) -> DataFrame:
-    """Subtotal, 8 % tax and total of one cart, plus its JSON order lines."""
-    priced = add_to_cart(t, cart_id)
+    """Subtotal, 8 % tax and total of one cart, as one JSON order document."""
+    priced = cart_contents(t, cart_id)
     return cat.order_documents(priced, cat.cart_totals(priced))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import all_of, money, size_rank
+from ..operators.numbering import number_rows
 from ..params import COMPLEMENTARY_CATEGORIES, TAX_RATE
 
 
@@ -143,8 +144,8 @@ def pick_colour(colors: Column, key: Column) -> Column:
 
 # ------------------------------------------------------------------ event-sourced carts
 def numbered_skus(dim_sku: DataFrame) -> DataFrame:
-    """SKUs numbered 0..n-1 by sku_id (the catalog is bounded: one small window)."""
-    return dim_sku.select("sku_id", (F.row_number().over(Window.orderBy("sku_id")) - 1).alias("sku_no"))
+    """SKUs numbered 0..n-1 by sku_id, over range partitions."""
+    return number_rows(dim_sku.select("sku_id"), [F.col("sku_id")]).select("sku_id", (F.col("n") - 1).alias("sku_no"))
 
 
 def cart_events(events: DataFrame, dim_sku: DataFrame) -> DataFrame:
@@ -159,7 +160,7 @@ def cart_events(events: DataFrame, dim_sku: DataFrame) -> DataFrame:
     n_skus = dim_sku.select(F.count(F.lit(1))).scalar()  # uncorrelated scalar subquery (J8)
     e = e.where(F.col("k").isNotNull())
     return (e.withColumn("sku_no", F.pmod(F.col("k"), n_skus))
-            .join(F.broadcast(n.select("sku_id", "sku_no")), "sku_no")
+            .join(n, "sku_no")
             .select("cart_id", "event_id", "ts", "action", "sku_id", "quantity"))
 
 
@@ -172,6 +173,14 @@ def cart_lines(cart_ev: DataFrame) -> DataFrame:
     return adds.join(removes, ["cart_id", "sku_id", "n"], "left_anti").drop("n", "action")
 
 
+def add_event(cart_ev: DataFrame, cart_id: int, sku_id: str, quantity: int) -> DataFrame:
+    """The cart log with one more 'add' of ``quantity`` units, after all events so far."""
+    last = cart_ev.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("last"))
+    added = last.select(F.lit(cart_id).cast("long").alias("cart_id"), (F.col("last") + 1).alias("event_id"), F.current_timestamp().alias("ts"),
+                        F.lit("add").alias("action"), F.lit(sku_id).alias("sku_id"), F.lit(quantity).cast("int").alias("quantity"))
+    return cart_ev.unionByName(added)
+
+
 def price_lines(lines: DataFrame, dim_sku: DataFrame, dim_style: DataFrame, avail: DataFrame) -> DataFrame:
     """Price each cart line (line_total = round(price × qty, 2)) and warn when qty exceeds network on-hand."""
     sku = dim_sku.select("sku_id", "style_id", "color_name", "size", "current_retail_price")
@@ -197,18 +206,18 @@ def cart_totals(priced: DataFrame, tax_rate: float = TAX_RATE) -> DataFrame:
 
 
 def order_documents(priced: DataFrame, totals: DataFrame) -> DataFrame:
-    """S12 + F26: JSON order lines: each cart line as a document carrying its order id and totals.
+    """S12 + F26: one nested JSON document per checkout: its items in event order, subtotal, tax and total.
 
-    Lines are not collected per cart (a cart has no size bound); a reader
-    groups them by ``order_id``.
+    A document holds the whole order of one cart, so its items are gathered per cart (partially aggregated
+    before the shuffle); the document itself is what bounds that group.
     """
     item = F.struct("event_id", "sku_id", "style_name", "color_name", "size", "current_retail_price", "quantity",
                     F.col("line_total").cast("double").alias("line_total"))
-    j = priced.join(totals, "cart_id")
+    items = priced.groupBy("cart_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    j = items.join(totals.select("cart_id", "subtotal", "tax", "total"), "cart_id")
     order_id = F.concat(F.lit("ORD-"), F.upper(F.substring(F.sha2(F.col("cart_id").cast("string"), 256), 1, 8)))
-    return j.select(order_id.alias("order_id"),
-                    F.to_json(F.struct(order_id.alias("order_id"), item.alias("item"), "subtotal", "tax", "total"))
-                    .alias("document"))
+    return j.select("cart_id", order_id.alias("order_id"), F.size("items").cast("long").alias("n_items"),
+                    F.to_json(F.struct(order_id.alias("order_id"), "items", "subtotal", "tax", "total")).alias("document"))
 
 
 def write_orders(docs: DataFrame, path: str) -> None:

@@ -1,9 +1,8 @@
 """Rules-derived decision queue (M7-M14) and approvals.
 
 Each rule is a DataFrame of typed decision rows; the queue is their union in
-rule order, numbered DEC-0001... The queue is bounded (one row per region ×
-style, style × size, plus two programme rows), so the global numbering
-window runs on a small frame; the marts it reads are never collected.
+rule order, numbered DEC-0001... over range partitions; the marts it reads are
+never collected.
 """
 from __future__ import annotations
 
@@ -11,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import contains_any, exact_sum, safe_div, zero_padded_id
-from ..params import SEVERITY_RANK, Scenario
+from ..functions.expr import contains_any, safe_div, zero_padded_id
+from ..operators.numbering import number_rows
+from ..params import FLOORS, FULL_SCALE_CUSTOMERS, SEVERITY_RANK, Scenario
 
 QUEUE_SCHEMA = T.StructType([
     T.StructField("decision_id", T.StringType()),
@@ -65,11 +65,17 @@ def region_rollup(signals: DataFrame) -> DataFrame:
              .withColumn("stockout_est_days", safe_div("on_hand_units", "trailing_avg_weekly_sales") * 7))
 
 
-def overstock_stockout_rules(signals: DataFrame, sc: Scenario) -> DataFrame:
+def materiality_floors(customers: DataFrame) -> dict[str, Column]:
+    """Rule floors scaled by the number of customers in the data (a scalar subquery), with least values."""
+    n = customers.select(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    return {k: F.greatest(F.lit(full) * n / F.lit(float(FULL_SCALE_CUSTOMERS)), F.lit(least)) for k, (full, least) in FLOORS.items()}
+
+
+def overstock_stockout_rules(signals: DataFrame, sc: Scenario, floors: dict[str, Column]) -> DataFrame:
     """M7 + M8: region × style rows over the materiality floors."""
     th = sc.thresholds
-    r = region_rollup(signals).where((F.col("projected_remaining_demand") >= sc.min_remaining_demand)
-                                     & (F.col("trailing_avg_weekly_sales") >= sc.min_weekly_rate))
+    r = region_rollup(signals).where((F.col("projected_remaining_demand") >= floors["min_remaining_demand"])
+                                     & (F.col("trailing_avg_weekly_sales") >= floors["min_weekly_rate"]))
     keys = [F.col("region_code"), F.col("style_id"), F.col("style_name"), F.col("category")]
     pct = F.col("overstock_pct")
     days = F.col("stockout_est_days")
@@ -102,11 +108,11 @@ def return_rate_shift(scorecard: DataFrame, as_of_week: int) -> DataFrame:
                  F.min_by("style_name", "week_id").alias("style_name")))
 
 
-def returns_rule(scorecard: DataFrame, sc: Scenario) -> DataFrame:
+def returns_rule(scorecard: DataFrame, sc: Scenario, floors: dict[str, Column]) -> DataFrame:
     """M9: recent return rate at least ``return_rate_delta_min`` above the style-size's own baseline."""
     s = return_rate_shift(scorecard, sc.as_of_week)
     delta = F.col("recent") - F.col("baseline")
-    s = s.where((F.coalesce(F.col("recent_units"), F.lit(0)) >= sc.min_recent_units)
+    s = s.where((F.coalesce(F.col("recent_units"), F.lit(0)) >= floors["min_recent_units"])
                 & F.col("baseline").isNotNull() & F.col("recent").isNotNull()
                 & (delta >= sc.thresholds["return_rate_delta_min"]))
     label = F.concat(F.col("style_name"), F.lit(" ("), F.col("size"), F.lit(")"))
@@ -116,18 +122,20 @@ def returns_rule(scorecard: DataFrame, sc: Scenario) -> DataFrame:
                            F.lit("% to "), whole_number(F.col("recent") * 100), F.lit("%.")))
 
 
-def revenue_at_risk(risk: DataFrame) -> Column:
-    """Three weeks of trailing sales at current price, summed exactly (see ``exact_sum``); a decimal."""
-    return exact_sum(F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price"))
+def revenue_at_risk() -> Column:
+    """A17 over ``marts.exposed_signals``: three weeks of trailing sales at current price for each of the PO
+    terms, summed exactly (as ``exact_sum`` over the fanned-out M5 would); a decimal."""
+    return F.sum((F.col("trailing_avg_weekly_sales") * 3 * F.col("current_retail_price")).cast("decimal(20,9)")
+                 * F.col("n_terms").cast("decimal(10,0)"))
 
 
-def supply_risk_rule(risk: DataFrame, sc: Scenario) -> DataFrame:
+def supply_risk_rule(exposed: DataFrame, sc: Scenario) -> DataFrame:
     """Revenue at risk over 3 weeks across all delayed-PO exposure; one row when over the threshold.
 
     The reference names the first DC of an unordered frame; ours names the
     lowest dc_id (N11).
     """
-    total = risk.agg(revenue_at_risk(risk).cast("double").alias("total"), F.min("dc_id").alias("dc_id"))
+    total = exposed.agg(revenue_at_risk().cast("double").alias("total"), F.min("dc_id").alias("dc_id"))
     total = total.where(F.col("total") >= sc.thresholds["revenue_at_risk_min"])
     name = F.concat(F.col("dc_id"), F.lit(" delayed supplier shipment"))
     return _typed(total, 3, [], 4, "Supply Risk", F.lit(None), F.lit(None), name, F.round("total", 0),
@@ -139,9 +147,9 @@ def supply_risk_rule(risk: DataFrame, sc: Scenario) -> DataFrame:
 def cohort_lift(cohort_scorecard: DataFrame, sc: Scenario, high_tiers: list[str]) -> DataFrame:
     """Mean orders of the cohort over the matched control (same region, high tiers, not in cohort); one row."""
     c = cohort_scorecard
-    control = (F.col("home_region") == sc.cohort_region) & ~F.col("is_milan_cohort") & F.col("loyalty_tier").isin(high_tiers)
+    control = (F.col("home_region") == sc.cohort_region) & ~F.col("is_cohort") & F.col("loyalty_tier").isin(high_tiers)
     agg = c.agg(F.avg(F.when(control, F.col("n_orders"))).alias("control_rate"),
-                F.avg(F.when(F.col("is_milan_cohort"), F.col("n_orders"))).alias("cohort_rate"))
+                F.avg(F.when(F.col("is_cohort"), F.col("n_orders"))).alias("cohort_rate"))
     return agg.withColumn("lift", F.when(F.col("control_rate") > 0, F.col("cohort_rate") / F.col("control_rate")))
 
 
@@ -156,16 +164,11 @@ def cohort_rule(cohort_scorecard: DataFrame, sc: Scenario, high_tiers: list[str]
 
 
 def decision_queue(rules: list[DataFrame]) -> DataFrame:
-    """Union in rule order, numbered DEC-0001.. by (rule block, group keys, rule).
-
-    The numbering window has no partition key; the frame it runs on is the
-    bounded queue (hundreds of rows), not a fact table.
-    """
+    """Union in rule order, numbered DEC-0001.. by (rule block, group keys, rule)."""
     q = rules[0]
     for r in rules[1:]:
         q = q.unionByName(r)
-    order = Window.orderBy(*[F.col(c).asc_nulls_first() for c in _ORDER_COLS])
-    q = q.withColumn("n", F.row_number().over(order))
+    q = number_rows(q, [F.col(c).asc_nulls_first() for c in _ORDER_COLS])
     return q.select(zero_padded_id("DEC-", F.col("n")).alias("decision_id"),
                     *[c.name for c in QUEUE_SCHEMA.fields[1:]])
 

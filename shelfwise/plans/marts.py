@@ -22,19 +22,15 @@ def weekly_demand_style_region(sales: DataFrame, dim_week: DataFrame) -> DataFra
                  F.countDistinct("location_id").alias("n_locations")))
 
 
-def weekly_demand_store_sku(inventory: DataFrame, weekly: DataFrame) -> DataFrame:
+def weekly_demand_store_sku(engine: DataFrame) -> DataFrame:
     """M2: every inventory row, with units and revenue sold that week (0 when none).
 
-    ``weekly`` must already be at the (location, sku, week) grain (N14), so the
-    left join cannot fan out. Both inputs come out of the engine partitioned by
-    (location_id, sku_id), so this join adds no exchange.
+    The engine has already left-joined weekly demand (zero-filled) to its dense
+    listing weeks, so this is a projection of it.
     """
-    s = weekly.select("location_id", "sku_id", "week_id", F.col("units").alias("_u"), F.col("revenue_cents").alias("_r"))
-    return (inventory.join(s, ["location_id", "sku_id", "week_id"], "left")
-            .select("location_id", "location_type", "region_code", "sku_id", "week_id", "on_hand_units",
-                    "weeks_of_supply",
-                    F.coalesce(F.col("_u"), F.lit(0)).cast("long").alias("units_sold"),
-                    F.coalesce(F.col("_r").cast("double") / 100.0, F.lit(0.0)).alias("gross_revenue")))
+    return engine.select("location_id", "location_type", "region_code", "sku_id", "week_id", "on_hand_units",
+                         "weeks_of_supply", F.col("demand_units").alias("units_sold"),
+                         (F.col("revenue_cents").cast("double") / 100.0).alias("gross_revenue"))
 
 
 def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: DataFrame, as_of_week: int) -> DataFrame:
@@ -98,13 +94,28 @@ PO_TERMS = ["style_id", "supplier_id", "dc_id", "original_expected_receipt_date"
             "revised_expected_receipt_date", "actual_receipt_date"]
 
 
-def supply_risk_exposure(signals: DataFrame, po_lines: DataFrame) -> DataFrame:
-    """M5: store signals of every style with a delayed PO, one row per distinct PO terms."""
-    po = po_lines.where(F.col("is_delayed")).select(*PO_TERMS).distinct()
-    return (signals.where(F.col("location_type") == "Store").join(po, "style_id")
+def open_delays(po_lines: DataFrame, as_of_date) -> DataFrame:
+    """Distinct terms of delayed POs that are open at the as-of date: ordered by then, receipt still ahead."""
+    day = F.lit(as_of_date)
+    return (po_lines.where(F.col("is_delayed") & (F.col("order_date") <= day) & (F.col("revised_expected_receipt_date") >= day))
+            .select(*PO_TERMS).distinct())
+
+
+def supply_risk_exposure(signals: DataFrame, delays: DataFrame) -> DataFrame:
+    """M5: store signals of every style with an open delayed PO, one row per distinct PO terms."""
+    return (signals.where(F.col("location_type") == "Store").join(delays, "style_id")
             .select(*signals.columns, *PO_TERMS[1:]))
 
 
+def exposed_signals(signals: DataFrame, delays: DataFrame) -> DataFrame:
+    """M5 before its fan-out: a store signal once, with the number of terms of its style and their lowest DC.
+
+    Sums over M5 weigh a row by ``n_terms`` instead of reading it that many times.
+    """
+    per_style = delays.groupBy("style_id").agg(F.count(F.lit(1)).alias("n_terms"), F.min("dc_id").alias("dc_id"))
+    return signals.where(F.col("location_type") == "Store").join(per_style, "style_id")
+
+
 def customer_cohort_scorecard(sales_with_customer: DataFrame, dim_customer: DataFrame,
                               cohort_campaign_id: str, capsule_prefix: str) -> DataFrame:
     """M6: orders, units, revenue and capsule units per customer; customers without sales kept with 0."""
@@ -119,7 +130,7 @@ def customer_cohort_scorecard(sales_with_customer: DataFrame, dim_customer: Data
     n = F.coalesce(F.col("n_orders"), F.lit(0))
     return c.join(orders, "customer_id", "left").select(
         "customer_id", "home_region", "loyalty_tier", "acquisition_campaign_id",
-        F.coalesce(F.col("acquisition_campaign_id") == cohort_campaign_id, F.lit(False)).alias("is_milan_cohort"),
+        F.coalesce(F.col("acquisition_campaign_id") == cohort_campaign_id, F.lit(False)).alias("is_cohort"),
         n.alias("n_orders"),
         F.coalesce(F.col("total_units"), F.lit(0)).alias("total_units"),
         F.coalesce(F.col("total_revenue").cast("double") / 100.0, F.lit(0.0)).alias("total_revenue"),

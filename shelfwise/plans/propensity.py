@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NUMERIC = ["is_milan_cohort_f", "total_units", "total_revenue", "capsule_units"]
+NUMERIC = ["is_cohort_f", "total_units", "total_revenue", "capsule_units"]
 
 
 def with_target(scorecard: DataFrame, region: str) -> DataFrame:
@@ -28,7 +28,7 @@ def with_target(scorecard: DataFrame, region: str) -> DataFrame:
 def fit_propensity(data: DataFrame, max_iter: int = 1000):
     """L2 + L3: tier one-hot (first level dropped) + numerics -> logistic regression."""
     n = data.count()
-    d = data.withColumn("is_milan_cohort_f", F.col("is_milan_cohort").cast("double"))
+    d = data.withColumn("is_cohort_f", F.col("is_cohort").cast("double"))
     stages = [
         StringIndexer(inputCol="loyalty_tier", outputCol="tier_idx", stringOrderType="alphabetDesc"),
         OneHotEncoder(inputCols=["tier_idx"], outputCols=["tier_oh"], dropLast=True),
@@ -41,10 +41,10 @@ def fit_propensity(data: DataFrame, max_iter: int = 1000):
 
 def rank_clients(data: DataFrame, model, n: int = 37) -> DataFrame:
     """L4: clients by propensity, highest first (ties by id), top n."""
-    scored = model.transform(data.withColumn("is_milan_cohort_f", F.col("is_milan_cohort").cast("double"))
+    scored = model.transform(data.withColumn("is_cohort_f", F.col("is_cohort").cast("double"))
                              .withColumn("is_high_frequency", F.col("is_high_frequency").cast("double")))
     scored = scored.withColumn("propensity", vector_to_array("probability")[1])
-    return (scored.select("customer_id", "loyalty_tier", "is_milan_cohort", "capsule_units", "propensity")
+    return (scored.select("customer_id", "loyalty_tier", "is_cohort", "capsule_units", "propensity")
             .orderBy(F.col("propensity").desc(), "customer_id").limit(n))
 
 

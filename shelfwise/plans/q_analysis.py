@@ -237,7 +237,7 @@ def q_e19(spark, sf_dir):
           round_cols=("avg_weeks_of_supply", "revenue_at_risk_3wk"))
 def q_m27(spark, sf_dir):
     """Revenue at risk by region."""
-    return an.revenue_at_risk_by_region(gold(Fixture(spark, sf_dir))["m5"])
+    return an.revenue_at_risk_by_region(gold(Fixture(spark, sf_dir))["exposed"])
 
 
 @register("m28_vip_exposure",
@@ -247,7 +247,7 @@ def q_m27(spark, sf_dir):
 def q_m28(spark, sf_dir):
     """VIP customers in exposed regions (J11 semi join + A14)."""
     fx = Fixture(spark, sf_dir)
-    return an.vip_exposure(fx.dim_customer, gold(fx)["m5"], HIGH_TIERS)
+    return an.vip_exposure(fx.dim_customer, gold(fx)["exposed"], HIGH_TIERS)
 
 
 @register("m29_supply_options",
@@ -259,7 +259,7 @@ def q_m28(spark, sf_dir):
               FROM (SELECT COALESCE(SUM(revenue_at_risk_3wk), 0.0) AS t FROM an_risk_region)""")
 def q_m29(spark, sf_dir):
     """Supply mitigation options."""
-    return an.supply_options(an.revenue_at_risk_by_region(gold(Fixture(spark, sf_dir))["m5"]))
+    return an.supply_options(an.revenue_at_risk_by_region(gold(Fixture(spark, sf_dir))["exposed"]))
 
 
 _cols30 = "style_name, color_name, size, on_hand_units, overstock_pct, stockout_est_days, sku_id"
@@ -316,10 +316,10 @@ def q_m32(spark, sf_dir):
 
 
 @register("m34_weighted_cohort_lift",
-          f"""SELECT *, MAX(CASE WHEN is_milan_cohort THEN avg_orders END) OVER ()
-                        / NULLIF(MAX(CASE WHEN NOT is_milan_cohort THEN avg_orders END) OVER (), 0) AS lift
-              FROM (SELECT is_milan_cohort, SUM(avg_orders * n) / SUM(n) AS avg_orders, CAST(SUM(n) AS BIGINT) AS n
-                    FROM (SELECT is_milan_cohort, loyalty_tier, COUNT(*) AS n, AVG(n_orders) AS avg_orders FROM gold_m6
+          f"""SELECT *, MAX(CASE WHEN is_cohort THEN avg_orders END) OVER ()
+                        / NULLIF(MAX(CASE WHEN NOT is_cohort THEN avg_orders END) OVER (), 0) AS lift
+              FROM (SELECT is_cohort, SUM(avg_orders * n) / SUM(n) AS avg_orders, CAST(SUM(n) AS BIGINT) AS n
+                    FROM (SELECT is_cohort, loyalty_tier, COUNT(*) AS n, AVG(n_orders) AS avg_orders FROM gold_m6
                           WHERE home_region = {lit(SC.cohort_region)} AND loyalty_tier IN {_in(HIGH_TIERS)} GROUP BY 1, 2)
                     GROUP BY 1)""",
           round_cols=("avg_orders", "lift"))
@@ -329,7 +329,7 @@ def q_m34(spark, sf_dir):
 
 
 @register("m35_capsule_affinity",
-          f"""SELECT is_milan_cohort, AVG(capsule_units) AS avg_capsule_units FROM gold_m6
+          f"""SELECT is_cohort, AVG(capsule_units) AS avg_capsule_units FROM gold_m6
               WHERE home_region = {lit(SC.cohort_region)} GROUP BY 1""",
           round_cols=("avg_capsule_units",))
 def q_m35(spark, sf_dir):
@@ -355,7 +355,7 @@ def q_m37(spark, sf_dir):
     """Executive exposure roll-up (four aggregates combined into one row)."""
     fx = Fixture(spark, sf_dir)
     g = gold(fx)
-    return an.executive_rollup(g["m3"], g["m5"], fx.returns, fx.dim_sku, fx.sc.as_of_week)
+    return an.executive_rollup(g["m3"], g["exposed"], fx.returns, fx.dim_sku, fx.sc.as_of_week)
 
 
 # ------------------------------------------------------------------ weather forecast snapshots

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..oracle.fixture_sql import AS_OF, CTES, lit
 from ..params import DEFAULT as SC
-from ..params import HIGH_TIERS, SEVERITY_RANK
+from ..params import FLOORS, FULL_SCALE_CUSTOMERS, HIGH_TIERS, SEVERITY_RANK
 from ..sources.fixture import Fixture
 from . import decisions as dq
 from .q_marts import cohort, gold
@@ -17,13 +17,14 @@ FLAGSHIP_STYLES = ["Brand#11 Large", "Brand#12 Large", "Brand#13 Medium"]
 
 def queue_rules(fx: Fixture):
     g = gold(fx)
-    return [dq.overstock_stockout_rules(g["m3"], fx.sc), dq.returns_rule(g["m4"], fx.sc),
-            dq.supply_risk_rule(g["m5"], fx.sc), dq.cohort_rule(cohort(fx), fx.sc, HIGH_TIERS)]
+    floors = dq.materiality_floors(fx.table("customer"))
+    return [dq.overstock_stockout_rules(g["m3"], fx.sc, floors), dq.returns_rule(g["m4"], fx.sc, floors),
+            dq.supply_risk_rule(g["exposed"], fx.sc), dq.cohort_rule(cohort(fx), fx.sc, HIGH_TIERS)]
 
 
 def queue(fx: Fixture):
     if getattr(fx, "_queue", None) is None:
-        fx._queue = dq.decision_queue(queue_rules(fx))
+        fx._queue = fx.once("decision_queue", lambda: dq.decision_queue(queue_rules(fx)))
     return fx._queue
 
 
@@ -31,6 +32,11 @@ def _num(x: str) -> str:
     return f"CAST(CAST(ROUND_EVEN({x}, 0) AS BIGINT) AS VARCHAR)"
 
 
+def _floor(name: str) -> str:
+    full, least = FLOORS[name]
+    return f"GREATEST({full!r} * (SELECT COUNT(*) FROM customer) / {float(FULL_SCALE_CUSTOMERS)!r}, {least!r})"
+
+
 _tiers = ", ".join(lit(t) for t in HIGH_TIERS)
 
 CTES["dq_roll"] = f"""
@@ -50,14 +56,14 @@ SELECT 1 AS blk, region_code AS k1, style_id AS k2, style_name AS k3, category A
        style_name || ' -- ' || region_code || ' inventory is projected to exceed remaining-season demand by '
          || {_num('pct * 100')} || '%.' AS headline
 FROM dq_roll
-WHERE proj >= {SC.min_remaining_demand!r} AND trail >= {SC.min_weekly_rate!r}
+WHERE proj >= {_floor('min_remaining_demand')} AND trail >= {_floor('min_weekly_rate')}
   AND pct IS NOT NULL AND pct >= {TH['overstock_pct_min']!r} AND remaining >= 4
 UNION ALL
 SELECT 1, region_code, style_id, style_name, category, 2, 'Stockout', region_code, style_id, style_name,
        ROUND(days, 1), 'estimated days to stockout',
        style_name || ' -- ' || region_code || ' is expected to stock out within ' || {_num('days')} || ' days.'
 FROM dq_roll
-WHERE proj >= {SC.min_remaining_demand!r} AND trail >= {SC.min_weekly_rate!r}
+WHERE proj >= {_floor('min_remaining_demand')} AND trail >= {_floor('min_weekly_rate')}
   AND days IS NOT NULL AND days >= 0 AND days <= {TH['stockout_days_max']!r}
 UNION ALL
 SELECT 2, style_id, size, NULL, NULL, 3, 'Returns', NULL, style_id, style_name || ' (' || size || ')',
@@ -72,7 +78,7 @@ FROM (SELECT style_id, size,
       FROM (SELECT *, MIN(week_id) OVER (PARTITION BY style_id, size) AS first_week FROM gold_m4
             WHERE style_id IS NOT NULL AND size IS NOT NULL)
       GROUP BY 1, 2)
-WHERE COALESCE(recent_units, 0) >= {SC.min_recent_units!r} AND baseline IS NOT NULL AND recent IS NOT NULL
+WHERE COALESCE(recent_units, 0) >= {_floor('min_recent_units')} AND baseline IS NOT NULL AND recent IS NOT NULL
   AND recent - baseline >= {TH['return_rate_delta_min']!r}
 UNION ALL
 SELECT 3, NULL, NULL, NULL, NULL, 4, 'Supply Risk', NULL, NULL, dc_id || ' delayed supplier shipment',
@@ -88,9 +94,9 @@ SELECT 4, NULL, NULL, NULL, NULL, 5, 'Cohort Opportunity', {lit(SC.cohort_region
        'Customers acquired through the campaign show ' || format('{{:.1f}}', ROUND_EVEN(lift, 1))
          || 'x higher repeat-purchase probability.'
 FROM (SELECT CASE WHEN control_rate > 0 THEN cohort_rate / control_rate END AS lift
-      FROM (SELECT AVG(n_orders) FILTER (WHERE home_region = {lit(SC.cohort_region)} AND NOT is_milan_cohort
+      FROM (SELECT AVG(n_orders) FILTER (WHERE home_region = {lit(SC.cohort_region)} AND NOT is_cohort
                                            AND loyalty_tier IN ({_tiers})) AS control_rate,
-                   AVG(n_orders) FILTER (WHERE is_milan_cohort) AS cohort_rate
+                   AVG(n_orders) FILTER (WHERE is_cohort) AS cohort_rate
             FROM gold_m6))
 WHERE lift IS NOT NULL AND lift >= {TH['cohort_lift_min']!r}"""
 
@@ -136,9 +142,9 @@ def q_return_shift(spark, sf_dir):
 
 @register("m11_cohort_lift",
           f"""SELECT control_rate, cohort_rate, CASE WHEN control_rate > 0 THEN cohort_rate / control_rate END AS lift
-              FROM (SELECT AVG(n_orders) FILTER (WHERE home_region = {lit(SC.cohort_region)} AND NOT is_milan_cohort
+              FROM (SELECT AVG(n_orders) FILTER (WHERE home_region = {lit(SC.cohort_region)} AND NOT is_cohort
                                                    AND loyalty_tier IN ({_tiers})) AS control_rate,
-                           AVG(n_orders) FILTER (WHERE is_milan_cohort) AS cohort_rate FROM gold_m6)""",
+                           AVG(n_orders) FILTER (WHERE is_cohort) AS cohort_rate FROM gold_m6)""",
           round_cols=("control_rate", "cohort_rate", "lift"))
 def q_cohort_lift(spark, sf_dir):
     """Cohort lift against the matched control."""
@@ -184,7 +190,7 @@ def q_drill(spark, sf_dir):
 def q_stockout_rule(spark, sf_dir):
     """M8: region × style rows expected to stock out within the day threshold, over the materiality floors."""
     fx = Fixture(spark, sf_dir)
-    rules = dq.overstock_stockout_rules(gold(fx)["m3"], fx.sc)
+    rules = dq.overstock_stockout_rules(gold(fx)["m3"], fx.sc, dq.materiality_floors(fx.table("customer")))
     return rules.where(F.col("rule") == 2).select(
         "decision_type", "region_code", "style_id", "style_name", "metric_value", "metric_label", "headline")
 
@@ -198,8 +204,7 @@ def q_revenue_at_risk(spark, sf_dir):
     """M10 input: three-week revenue at risk over all delayed-PO exposure (A17 + A19) and whether it
     reaches the rule threshold; always one row (the rule itself adds a queue row only when it does)."""
     fx = Fixture(spark, sf_dir)
-    risk = gold(fx)["m5"]
-    t = risk.agg(dq.revenue_at_risk(risk).alias("total"), F.min("dc_id").alias("dc_id"),
-                 F.count(F.lit(1)).alias("n_exposed_rows"))
+    t = gold(fx)["exposed"].agg(dq.revenue_at_risk().alias("total"), F.min("dc_id").alias("dc_id"),
+                                F.coalesce(F.sum("n_terms"), F.lit(0)).alias("n_exposed_rows"))
     return t.select(F.round("total", 2).cast("double").alias("revenue_at_risk"), "dc_id", "n_exposed_rows",
                     F.coalesce(F.col("total") >= TH["revenue_at_risk_min"], F.lit(False)).alias("over_threshold"))

@@ -93,8 +93,9 @@ def q_e14(spark, sf_dir):
     fx = Fixture(spark, sf_dir)
     a = fx.assortment.join(fx.dim_store.select(F.col("store_id").alias("location_id"), "store_tier"), "location_id")
     cov = case_map("store_tier", STORE_TIER_COVERAGE, 0.015)
-    picked = sampling.stratified_pick(a, "location_id", ["sku_id"], cov, forced=F.col("is_core_flag"))
-    return picked.select("location_id", "sku_id", "is_core_flag")
+    picked = sampling.stratified_pick(a.where(~F.col("is_core_flag")), "location_id", ["sku_id"], cov)
+    cols = ["location_id", "sku_id", "is_core_flag"]
+    return picked.select(*cols).unionByName(fx.assortment.where("is_core_flag").select(*cols))
 
 
 @register("e15_disjoint_style_slices",
@@ -151,10 +152,12 @@ FROM attr_members"""
 @register("e13_customer_attribution",
           f"""SELECT s.order_id, s.l_orderkey, s.l_linenumber, s.region_code, s.is_capsule, i.customer_id
               FROM (SELECT order_id, l_orderkey, l_linenumber, region_code,
+                           CAST(CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 13)
+                                     AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS draw,
                            starts_with(style_id, {lit(SC.capsule_prefix)}) AS is_capsule FROM fx_sales) s
               JOIN attr_intervals i ON i.region_code = s.region_code AND i.is_capsule = s.is_capsule
-               AND i.lo <= CAST((s.l_orderkey * 2654435761 + s.l_linenumber * 40503) % 1000003 AS DOUBLE) / 1000003.0 * i.pool_total
-               AND CAST((s.l_orderkey * 2654435761 + s.l_linenumber * 40503) % 1000003 AS DOUBLE) / 1000003.0 * i.pool_total
+               AND i.lo <= s.draw * i.pool_total
+               AND s.draw * i.pool_total
                    < i.lo + i.weight""")
 def q_e13(spark, sf_dir):
     """Weighted attribution of every sales line to a customer of its region (bucketed range join)."""
@@ -193,12 +196,15 @@ def q_l4(spark, sf_dir):
     return pr.rank_clients(data, pr.fit_propensity(data))
 
 
-@register("m36_outreach_revenue")
+@register("m36_outreach_revenue",
+          f"""SELECT n_clients, avg_order_value, n_clients * avg_order_value * 0.35 AS expected_revenue
+              FROM (SELECT CAST(LEAST(37, (SELECT COUNT(*) FROM fx_dim_customer WHERE home_region = {lit(SC.cohort_region)})) AS DOUBLE) AS n_clients,
+                           (SELECT AVG(revenue_cents) / 100.0 FROM fx_sales WHERE region_code = {lit(SC.cohort_region)}) AS avg_order_value)""",
+          round_cols=("avg_order_value", "expected_revenue"))
 def q_m36(spark, sf_dir):
-    """Expected revenue of advisor outreach to the ranked clients (rows-only: depends on the fit)."""
+    """Expected revenue of advisor outreach to the ranked clients; how many there are and what an order
+    brings decide it, not their order, so no model is fitted."""
     from . import propensity as pr
-    from .q_marts import cohort
     fx = Fixture(spark, sf_dir)
-    data = pr.with_target(cohort(fx), SC.cohort_region)
-    top = pr.rank_clients(data, pr.fit_propensity(data))
-    return pr.outreach_revenue(top, fx.sales, SC.cohort_region)
+    clients = fx.dim_customer.where(F.col("home_region") == SC.cohort_region).select("customer_id").limit(37)
+    return pr.outreach_revenue(clients, fx.sales, SC.cohort_region)

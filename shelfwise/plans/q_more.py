@@ -73,7 +73,7 @@ def q_e6(spark, sf_dir):
     outer = fx.dim_style.where(F.col("category") == FREEZE[1]).select("style_id", F.lit(True).alias("_outer"))
 
     def plan_fn(plan):
-        plan = plan.join(F.broadcast(outer), "style_id", "left")
+        plan = plan.join(outer, "style_id", "left")
         frozen = (F.col("region_code") == FREEZE[0]) & F.coalesce(F.col("_outer"), F.lit(False))
         plan = plan.withColumn("freeze_week", F.when(frozen, F.lit(FREEZE[2])).otherwise(F.col("freeze_week")))
         return _whatif(plan.drop("_outer"))
@@ -109,7 +109,9 @@ _vir = (f"CASE WHEN style_id = {lit(VIRAL_STYLE)} THEN (CASE WHEN week_id < {VIR
                 FROM (SELECT e.location_id, e.sku_id, e.week_id, e.style_id,
                              GREATEST(e.week_id - e.launch_week, 0) AS t,
                              sty.category, sty.warmth_rating, w.is_holiday_week, w.days_to_christmas,
-                             wx.avg_temp_vs_normal_c, {case('st.store_tier', TIER_WEIGHT, 0.6)} AS location_weight
+                             wx.avg_temp_vs_normal_c,
+                             CASE WHEN e.location_type = 'Store' THEN {case('st.store_tier', TIER_WEIGHT, 0.6)}
+                                  ELSE (SELECT COUNT(*) * 0.5 FROM fx_dim_store s WHERE s.region_code = e.region_code) END AS location_weight
                       FROM fx_engine e
                       JOIN fx_dim_style sty ON sty.style_id = e.style_id
                       JOIN fx_dim_week w ON w.week_id = e.week_id
@@ -119,12 +121,12 @@ _vir = (f"CASE WHEN style_id = {lit(VIRAL_STYLE)} THEN (CASE WHEN week_id < {VIR
 def q_e8(spark, sf_dir):
     """E4 + E8 + F21-F24 + J15: expected weekly demand rate over every listing week, summed per listing."""
     fx = Fixture(spark, sf_dir)
-    e = fx.engine.select("location_id", "region_code", "sku_id", "style_id", "week_id", "launch_week")
+    e = fx.engine.select("location_id", "location_type", "region_code", "sku_id", "style_id", "week_id", "launch_week")
     sty = fx.dim_style.select("style_id", "category", "warmth_rating")
     wk = fx.dim_week.select("week_id", "is_holiday_week", "days_to_christmas")
     wx = fx.weather_actual.select("region_code", "week_id", "avg_temp_vs_normal_c")
     dense = (e.join(sty, "style_id").join(wk, "week_id").join(wx, ["region_code", "week_id"], "left")
-             .withColumn("location_type", F.lit("Store")))
+             )
     dense = location_weight(dense, fx.dim_store)
     r = demand_rate(dense, VIRAL_TRIGGER_WEEK, VIRAL_STYLE)
     # per-week rates summed as 9-place decimals: exact, so the total does not depend on summation order

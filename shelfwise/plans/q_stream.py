@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..oracle.fixture_sql import CTES
 from ..params import ROLLING_WINDOW_TICKS
+from ..operators.numbering import number_rows
 from ..sources.fixture import Fixture
 from ..streaming import jobs, pos
 from .catalog import numbered_skus
@@ -28,7 +29,9 @@ def _universe(spark, sf_dir, listing_ids):
     fx = Fixture(spark, sf_dir)
     n_stores = fx.dim_store.count()      # catalog sizes: two scalars to the driver
     n_skus = fx.dim_sku.count()
-    return pos.listing_universe(fx.dim_store, numbered_skus(fx.dim_sku), n_stores, n_skus, listing_ids)
+    stores = number_rows(fx.dim_store.select("store_id", "store_name", "store_tier"), [F.col("store_id")]).withColumn(
+        "store_no", F.col("n") - 1).drop("n")
+    return pos.listing_universe(stores, numbered_skus(fx.dim_sku), n_stores, n_skus, listing_ids)
 
 
 def live(spark, sf_dir):

@@ -40,7 +40,11 @@ def build_session(master: str | None = None, app: str = "shelfwise",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the shared checkpoint folder.
+
+    It is the one that ``spark.checkpoint.dir`` names. Only a local run (one machine, so every folder is
+    shared) may do without the setting and gets a scratch folder; on a cluster its absence is an error.
+    """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -49,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("SHELFWISE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -20,6 +20,7 @@ from ..functions.expr import case_map, initcap_word, money
 from ..operators.broadcast import bounded_broadcast, checked_broadcast
 from ..params import (CATEGORY_OF_TYPE, COLOR_FAMILY, DEFAULT, GENDERS, LOYALTY_BANDS, REGION_CLIMATE,
                       RETURN_REASONS, SIZE_LABELS, STORE_TIERS, Scenario)
+from .staging import once, source_files
 from .tables import read_table
 
 
@@ -49,9 +50,23 @@ class Fixture:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.sc = sc
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
+
+    @cached_property
+    def _files(self) -> tuple:
+        return source_files(self.spark, self.sf_dir, ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"])
+
+    def once(self, name: str, build) -> DataFrame:
+        """A derived table, written to the shared folder on first use and read back."""
+        return once(self.spark, (self.sf_dir, repr(self.sc), self._files[0]), name, build)
+
+    def bytes_of(self, table: str) -> int:
+        return self._files[1].get(table, 1 << 62)
 
     # ------------------------------------------------------------------ geography
     @cached_property
@@ -81,14 +96,15 @@ class Fixture:
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        """One store location per region (locations are regions in the fixture)."""
-        return bounded_broadcast(self.dim_region.select(
-            F.col("region_code").alias("store_id"),
-            F.concat(F.col("region_name"), F.lit(" Store")).alias("store_name"),
+        """One store per nation (25 by the TPC-H definition); a region's Ecommerce location is no store."""
+        n = self.table("nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
+        return bounded_broadcast(n.join(self.dim_region, "r_regionkey").select(
+            F.col("n_name").alias("store_id"),
+            F.concat(initcap_word(F.col("n_name")), F.lit(" Store")).alias("store_name"),
             "region_code",
-            F.col("country").alias("city"),
+            initcap_word(F.col("n_name")).alias("city"),
             "climate_zone",
-            case_map(F.col("r_regionkey") % 4, dict(enumerate(STORE_TIERS)), None).alias("store_tier"),
+            case_map(F.col("n_nationkey") % 4, dict(enumerate(STORE_TIERS)), None).alias("store_tier"),
             "primary_dc_id",
             "currency_code",
         ))
@@ -117,14 +133,10 @@ class Fixture:
 
     @cached_property
     def style_life(self) -> DataFrame:
-        """First and last ship date per style: partial aggregate per part, then per style."""
-        per_part = (self.table("lineitem").groupBy("l_partkey")
-                    .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")))
-        p = self.table("part").select("p_partkey", F.concat("p_brand", F.lit("-"), "p_type").alias("style_id"))
-        return (per_part.join(p, per_part.l_partkey == p.p_partkey)
-                .groupBy("style_id")
-                .agg(F.min("first_ship").cast("date").alias("launch_date"),
-                     F.max("last_ship").cast("date").alias("planned_exit_date")))
+        """First and last ship date per style."""
+        return (self.sales_base.groupBy("style_id")
+                .agg(F.min("l_shipdate").cast("date").alias("launch_date"),
+                     F.max("l_shipdate").cast("date").alias("planned_exit_date")))
 
     @cached_property
     def dim_style(self) -> DataFrame:
@@ -134,7 +146,7 @@ class Fixture:
                   .agg(F.min("p_name").alias("min_name"), F.max("p_name").alias("max_name"),
                        F.min("p_retailprice").alias("min_price")))
         s = styles.join(self.style_life, "style_id", "left")
-        return checked_broadcast(s.select(
+        return self.once("dim_style", lambda: s.select(
             "style_id",
             F.concat(F.col("p_brand"), F.lit(" "), initcap_word(F.col("p_type"))).alias("style_name"),
             category_of(F.col("p_type")).alias("category"),
@@ -147,7 +159,7 @@ class Fixture:
             F.col("min_price").alias("base_retail_price_usd"),
             cal.week_of(F.col("launch_date"), self.sc).alias("launch_week"),
             cal.week_of(F.col("planned_exit_date"), self.sc, clip_upper=False).alias("exit_week_uncapped"),
-        ), max_rows=100_000, bound=styles)  # one row per style of ``part``: the left join keeps that count
+        ))
 
     @cached_property
     def dim_sku(self) -> DataFrame:
@@ -156,7 +168,7 @@ class Fixture:
                 .agg(F.min("p_retailprice").alias("current_retail_price"), F.min("p_name").alias("min_name")))
         color = initcap_word(F.split_part(F.col("min_name"), F.lit(" "), F.lit(1)))
         st = self.dim_style.select("style_id", "exit_week_uncapped")
-        return checked_broadcast(skus.join(st, "style_id", "left").select(
+        return self.once("dim_sku", lambda: skus.join(st, "style_id", "left").select(
             "sku_id", "style_id",
             color.alias("color_name"),
             case_map(color, COLOR_FAMILY, "Neutral").alias("color_family"),
@@ -164,7 +176,24 @@ class Fixture:
             F.when(F.col("size").rlike("^[0-9]+$"), F.lit("Numeric")).otherwise(F.lit("Alpha")).alias("size_type"),
             "current_retail_price",
             F.coalesce(F.col("exit_week_uncapped") + 6 >= F.lit(self.sc.as_of_week), F.lit(False)).alias("active_flag"),
-        ), max_rows=100_000, bound=skus)  # one row per SKU of ``part``: the left join to styles keeps that count
+        ))
+
+    @cached_property
+    def dim_supplier(self) -> DataFrame:
+        s = self.table("supplier").select("s_suppkey", "s_name", "s_nationkey")
+        nr = self.nation_region.select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "region_code")
+        return s.join(nr, "s_nationkey").select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
+                                                F.col("n_name").alias("country"), "region_code")
+
+    @cached_property
+    def dim_dc(self) -> DataFrame:
+        return self.dim_region.select(F.col("primary_dc_id").alias("dc_id"), "region_code", "country", "currency_code")
+
+    @cached_property
+    def dim_return_reason(self) -> DataFrame:
+        """The fixed reason codes, numbered."""
+        codes = F.array(*map(F.lit, RETURN_REASONS))
+        return self.spark.range(1).select(F.posexplode(codes).alias("reason_no", "reason_code"))
 
     # ------------------------------------------------------------------ customers
     @cached_property
@@ -190,20 +219,23 @@ class Fixture:
     @cached_property
     def supplier_region(self) -> DataFrame:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
-        nr = self.nation_region.select(F.col("n_nationkey").alias("s_nationkey"), "region_code")
+        nr = self.nation_region.select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "region_code")
         # broadcast while supplier is small; past the bound it is joined by shuffle on l_suppkey
-        # at most one region per supplier: the supplier table bounds the row count
-        return checked_broadcast(s.join(nr, "s_nationkey").select("s_suppkey", "region_code"), max_rows=1_000_000,
-                                 bound=s)
+        # at most one nation per supplier: the supplier table bounds the row count
+        return checked_broadcast(s.join(nr, "s_nationkey").select("s_suppkey", "n_name", "region_code"), self.bytes_of("supplier"))
 
     @cached_property
     def sales_base(self) -> DataFrame:
-        """lineitem ⨝ part (SKU keys) ⨝ supplier (region); all columns a sales or return view needs."""
+        """lineitem ⨝ part (SKU keys) ⨝ supplier (nation, region): the one scan of the fact. It is written once;
+        sales, returns, purchase orders, style dates and weekly demand all read the written table."""
+        return self.once("sales_base", self._sales_base)
+
+    def _sales_base(self) -> DataFrame:
         li = self.table("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
         # part is broadcast while it is small; past the bound it is joined by shuffle on l_partkey
-        ps = checked_broadcast(self.part_sku.drop("p_name"), max_rows=1_000_000, bound=self.table("part"))
+        ps = checked_broadcast(self.part_sku.drop("p_name"), self.bytes_of("part"))
         j = (li.join(ps, li.l_partkey == ps.p_partkey)
              .join(self.supplier_region, li.l_suppkey == F.col("s_suppkey")))
         # money in integer cents: (cents × (100 − discount %) + 50) div 100 is exact half-up rounding,
@@ -211,11 +243,14 @@ class Fixture:
         disc_pct = F.round(F.col("l_discount") * 100).cast("long")
         ext_cents = F.round(F.col("l_extendedprice") * 100).cast("long")
         price_cents = F.round(F.col("p_retailprice") * 100).cast("long")
+        store = F.col("l_linestatus") == "F"
         return j.select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate",
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", "p_retailprice",
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
-            F.col("region_code").alias("location_id"),
-            F.when(F.col("l_linestatus") == "F", F.lit("Store")).otherwise(F.lit("Ecommerce")).alias("channel"),
+            # the store of the supplier's nation, or its region's Ecommerce location
+            F.when(store, F.col("n_name")).otherwise(F.concat(F.lit("ECOM-"), F.col("region_code"))).alias("location_id"),
+            F.when(store, F.lit("Store")).otherwise(F.lit("Ecommerce")).alias("location_type"),
+            F.when(store, F.lit("Store")).otherwise(F.lit("Ecommerce")).alias("channel"),
             "region_code", "sku_id", "style_id", "category", "size",
             cal.week_of("l_shipdate", self.sc).alias("week_id"),
             F.col("l_quantity").cast("int").alias("units"),
@@ -252,18 +287,11 @@ class Fixture:
     # ------------------------------------------------------------------ supply chain
     @cached_property
     def po_lines(self) -> DataFrame:
-        """Purchase-order lines: lines shipped within 90 days of an order placed in
-        weeks as_of-11 .. as_of; late (delayed) when shipped after order date + 30."""
+        """A purchase-order line for every line of every order; late (delayed) when shipped after order date + 30."""
         o = self.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
-        li = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                           "l_quantity", F.col("l_shipdate").cast("date").alias("ship_date"))
-        ow = cal.week_of(F.col("order_date"), self.sc)
-        o = o.where(ow.between(self.sc.as_of_week - 11, self.sc.as_of_week))
+        li = self.sales_base.select("l_orderkey", "l_linenumber", "l_suppkey", "style_id", "p_retailprice", "region_code",
+                                    F.col("units").alias("l_quantity"), F.col("l_shipdate").cast("date").alias("ship_date"))
         j = li.join(o, li.l_orderkey == o.o_orderkey)
-        j = j.where(F.col("ship_date").between(F.col("order_date"), F.date_add("order_date", 90)))
-        j = (j.join(self.part_sku.select("p_partkey", "style_id", "p_retailprice"),
-                    F.col("l_partkey") == F.col("p_partkey"))
-             .join(self.supplier_region, F.col("l_suppkey") == F.col("s_suppkey")))
         expected = F.date_add("order_date", 30)
         delayed = F.col("ship_date") > expected
         return j.select(
@@ -300,7 +328,7 @@ def returns_from_sales(sales: DataFrame) -> DataFrame:
     return sales.where(F.col("l_returnflag") == "R").select(
         F.concat(F.lit("RET-"), F.col("order_id")).alias("return_line_id"),
         "l_orderkey", "l_linenumber", "l_partkey",
-        "location_id", "channel", "sku_id", "style_id", "size", "category", "week_id",
+        "location_id", "location_type", "region_code", "channel", "sku_id", "style_id", "size", "category", "week_id",
         (F.col("l_shipdate") + F.expr("INTERVAL 7 DAYS")).alias("return_date"),
         F.col("units").alias("units_returned"),
         reason.alias("reason_code"),
@@ -317,20 +345,25 @@ def _attach_engine_views():
     from ..operators import engine as eng
 
     def weekly(self) -> DataFrame:
-        return eng.weekly_demand(self.sales)
+        return self.once("weekly", lambda: eng.weekly_demand(self.sales))
 
-    def assortment(self) -> DataFrame:
-        return eng.listing_windows(self.weekly).select(
-            "location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id", "style_id",
+    def assortment_of(self, weekly: DataFrame) -> DataFrame:
+        return eng.listing_windows(weekly).select(
+            "location_id", "location_type", "region_code", "sku_id", "style_id",
             "assortment_start_week", "assortment_end_week", "total_units",
             F.col("style_id").startswith(self.sc.capsule_prefix).alias("is_core_flag"))
 
+    Fixture.assortment_of = assortment_of
+
+    def assortment(self) -> DataFrame:
+        return self.assortment_of(self.weekly)
+
     def engine(self) -> DataFrame:
         return eng.run_engine(self.weekly, self.dim_style)
 
     def inventory(self) -> DataFrame:
         return self.engine.select(
-            "location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id", "week_id",
+            "location_id", "location_type", "region_code", "sku_id", "week_id",
             "on_hand_units", "weeks_of_supply")
 
     def engagement(self) -> DataFrame:

@@ -12,14 +12,15 @@ Layer databases are registered in the session catalog over the folders.
 """
 from __future__ import annotations
 
-import os
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import HIGH_TIERS
-from ..operators.broadcast import bounded_broadcast, checked_broadcast
+from ..operators import engine as eng
+from ..operators.broadcast import bounded_broadcast
 from .fixture import Fixture, returns_from_sales
 from .tables import GIVEN_TABLES, read_table, table_path, write_table
 
@@ -27,14 +28,19 @@ TIMINGS: dict[str, float] = {}
 RETAIL_INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
-def discover_tables(root: str) -> list[str]:
-    """Table names present under a landing folder (``name.parquet`` files or ``name/`` folders)."""
-    names = []
-    for entry in sorted(os.listdir(root)):
-        base = entry[:-8] if entry.endswith(".parquet") else entry
-        if not base.startswith(("_", ".")):
-            names.append(base)
-    return names
+def discover_tables(spark: SparkSession, root: str) -> list[str]:
+    """Table names present under a landing folder (``name.parquet`` files or ``name/`` folders), on any
+    storage that Spark reads."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(root).select(F.col("path")))
+    base = root.rstrip("/").split("://")[-1]
+    rest = F.element_at(F.split("path", _literal(base) + "/"), -1)
+    return sorted(r.name for r in files.select(F.regexp_replace(F.split_part(rest, F.lit("/"), F.lit(1)), r"\.parquet$", "").alias("name"))
+                  .distinct().collect() if not r.name.startswith(("_", ".")))
+
+
+def _literal(text: str) -> str:
+    return "".join("\\" + c if c in "|.*+?()[]{}^$\\" else c for c in text)
 
 
 def create_layer(spark: SparkSession, name: str, location: str) -> None:
@@ -43,17 +49,27 @@ def create_layer(spark: SparkSession, name: str, location: str) -> None:
 
 
 def register_table(spark: SparkSession, layer: str, name: str, path: str, partitioned: bool = False) -> None:
-    """Create-or-replace a catalog table over a written folder (partition folders recovered)."""
-    spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-    spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{path}'")
+    """Create a catalog table over a written folder, or point the existing one to it.
+
+    An existing table of the same columns is switched by one change of its location, so readers always see
+    the old or the new version; a changed schema needs a new table.
+    """
+    full = f"{layer}.{name}"
+    fields = lambda schema: sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+    if spark.catalog.tableExists(full) and fields(spark.table(full).schema) == fields(spark.read.parquet(path).schema):
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
     if partitioned:
-        spark.sql(f"ALTER TABLE {layer}.{name} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(full)
 
 
 def publish(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
             partition_by: list[str] | None = None) -> DataFrame:
     """S1 + S7 + S11: write ``df`` as ``root/layer/name``, register it, and return the re-read table."""
-    path = f"{root}/{layer}/{name}"
+    path = f"{root}/{layer}/{name}/v-{uuid.uuid4().hex[:12]}"  # a new folder per version
     t = time.perf_counter()
     write_table(df, path, partition_by)
     register_table(spark, layer, name, path, bool(partition_by))
@@ -64,16 +80,18 @@ def publish(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str
 def load_bronze(spark: SparkSession, landing: str, root: str, names: list[str] | None = None) -> list[str]:
     """Land each discovered table in bronze unchanged."""
     create_layer(spark, "bronze", f"{root}/bronze")
-    names = names or [n for n in discover_tables(landing) if n in GIVEN_TABLES]
+    names = names or [n for n in discover_tables(spark, landing) if n in GIVEN_TABLES]
     for n in names:
-        publish(spark, read_table(spark, landing, n), root, "bronze", n)
+        # the bronze folder itself holds the landed files: it is the input of the silver build
+        write_table(read_table(spark, landing, n), f"{root}/bronze/{n}")
+        register_table(spark, "bronze", n, f"{root}/bronze/{n}")
     return names
 
 
 SILVER_OVERRIDES = {
     # Silver passes every table through unless an override exists by name
     "fact_sales_line": lambda fx: fx.sales.select(
-        "order_id", "location_id", "channel", "region_code", "sku_id", "style_id", "category", "week_id", "units",
+        "order_id", "location_id", "location_type", "channel", "region_code", "sku_id", "style_id", "category", "week_id", "units",
         "markdown_pct", "unit_price", "gross_revenue", "revenue_cents", "l_orderkey", "l_linenumber", "l_partkey",
         "l_returnflag", "size", "l_shipdate"),
 }
@@ -99,31 +117,41 @@ def build_silver(spark: SparkSession, bronze_root: str, root: str, fx: Fixture |
     # instead of re-running the line-item joins from bronze
     out["fact_returns_line"] = publish(spark, returns_from_sales(out["fact_sales_line"]), root, "silver",
                                        "fact_returns_line", ["week_id"])
+    out["dim_supplier"] = publish(spark, fx.dim_supplier, root, "silver", "dim_supplier")
+    out["dim_dc"] = publish(spark, fx.dim_dc, root, "silver", "dim_dc")
+    out["dim_return_reason"] = publish(spark, fx.dim_return_reason, root, "silver", "dim_return_reason")
+    weekly = eng.weekly_demand(out["fact_sales_line"])
+    out["store_sku_assortment"] = publish(spark, fx.assortment_of(weekly), root, "silver", "store_sku_assortment")
+    # the stored inventory fact keeps the week's demand, so weekly marts read it instead of the engine
+    engine = eng.run_engine(weekly, out["dim_style"])
+    out["fact_inventory_position"] = publish(
+        spark, engine.select("location_id", "location_type", "region_code", "sku_id", "week_id", "on_hand_units",
+                             "weeks_of_supply", "demand_units", "revenue_cents"),
+        root, "silver", "fact_inventory_position", ["week_id"])
     return out
 
 
+SILVER_TABLES = ["dim_customer", "dim_dc", "dim_region", "dim_return_reason", "dim_sku", "dim_store", "dim_style", "dim_supplier",
+                 "dim_week", "fact_inventory_position", "fact_purchase_order_line", "fact_returns_line", "fact_sales_line",
+                 "fact_weather_actual", "store_sku_assortment"]
+
+
 def build_gold(spark: SparkSession, silver: dict[str, DataFrame], root: str, fx: Fixture) -> dict[str, DataFrame]:
     """Marts in dependency order, each materialised and re-read before the next reads it."""
-    from ..operators import engine as eng
     from ..plans import decisions as dq
     from ..plans import marts
 
     create_layer(spark, "gold", f"{root}/gold")
     sc = fx.sc
     sales = silver["fact_sales_line"]
-    # the calendar has n_weeks rows by construction; styles and SKUs grow with the catalog, so they are
-    # broadcast only when a bounded count of the written silver table proves them small
-    dim_sku = checked_broadcast(silver["dim_sku"], max_rows=100_000)
-    dim_style = checked_broadcast(silver["dim_style"], max_rows=100_000)
+    # the calendar has n_weeks rows by construction; Catalyst decides on styles and SKUs by their file size
+    dim_sku = silver["dim_sku"]
+    dim_style = silver["dim_style"]
     dim_week = bounded_broadcast(silver["dim_week"])
-    weekly = eng.weekly_demand(sales)
-    engine = eng.run_engine(weekly, dim_style)
-    inventory = engine.select("location_id", F.lit("Store").alias("location_type"), "region_code", "sku_id",
-                              "week_id", "on_hand_units", "weeks_of_supply")
     g: dict[str, DataFrame] = {}
     g["weekly_demand_style_region"] = publish(spark, marts.weekly_demand_style_region(sales, dim_week), root, "gold",
                                               "weekly_demand_style_region")
-    g["weekly_demand_store_sku"] = publish(spark, marts.weekly_demand_store_sku(inventory, weekly), root, "gold",
+    g["weekly_demand_store_sku"] = publish(spark, marts.weekly_demand_store_sku(silver["fact_inventory_position"]), root, "gold",
                                            "weekly_demand_store_sku", ["week_id"])
     g["inventory_imbalance_signals"] = publish(
         spark, marts.inventory_imbalance_signals(g["weekly_demand_store_sku"], dim_sku, dim_style, sc.as_of_week),
@@ -131,17 +159,19 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], root: str, fx:
     g["returns_scorecard"] = publish(
         spark, marts.returns_scorecard(sales, silver["fact_returns_line"], dim_sku, dim_style, dim_week),
         root, "gold", "returns_scorecard")
+    delays = marts.open_delays(silver["fact_purchase_order_line"], sc.as_of_date)
     g["supply_risk_exposure"] = publish(
-        spark, marts.supply_risk_exposure(g["inventory_imbalance_signals"], silver["fact_purchase_order_line"]),
+        spark, marts.supply_risk_exposure(g["inventory_imbalance_signals"], delays),
         root, "gold", "supply_risk_exposure")
     swc = sales.join(fx.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                                F.col("o_custkey").alias("customer_id")), "l_orderkey")
     g["customer_cohort_scorecard"] = publish(
         spark, marts.customer_cohort_scorecard(swc, silver["dim_customer"], sc.cohort_campaign_id, sc.capsule_prefix),
         root, "gold", "customer_cohort_scorecard")
-    rules = [dq.overstock_stockout_rules(g["inventory_imbalance_signals"], sc),
-             dq.returns_rule(g["returns_scorecard"], sc),
-             dq.supply_risk_rule(g["supply_risk_exposure"], sc),
+    floors = dq.materiality_floors(silver["dim_customer"])
+    rules = [dq.overstock_stockout_rules(g["inventory_imbalance_signals"], sc, floors),
+             dq.returns_rule(g["returns_scorecard"], sc, floors),
+             dq.supply_risk_rule(marts.exposed_signals(g["inventory_imbalance_signals"], delays), sc),
              dq.cohort_rule(g["customer_cohort_scorecard"], sc, HIGH_TIERS)]
     g["decision_queue"] = publish(spark, dq.decision_queue(rules), root, "gold", "decision_queue")
     g["approved_actions"] = publish(spark, dq.empty_approvals(spark), root, "gold", "approved_actions")

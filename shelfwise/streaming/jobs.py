@@ -11,21 +11,28 @@ from . import pos
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory (never a machine-local temp dir)."""
+    """A fresh folder under the shared checkpoint directory (on a cluster the folder that spark.checkpoint.dir names)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/stream-{name}-{uuid.uuid4().hex[:12]}"
 
 
 def run_units_per_tick(spark: SparkSession, events_folder: str, glob: str = "events*.parquet") -> DataFrame:
-    """T1 + T2: drain the event files through the windowed aggregate; complete mode, published by overwrite."""
+    """T1 + T2: drain the event files through the tick aggregate.
+
+    Update mode keyed by tick: a batch publishes only the ticks it changed, each with its new totals, and the
+    watermark lets the state of closed ticks go; readers take the newest batch of each tick. A row later than
+    the watermark starts a tick anew in no case: it is dropped by the aggregate, as the watermark promises.
+    """
     root = scratch(spark, "ticks")
     out = f"{root}/ticks"
     lines = pos.pos_lines(pos.read_events_stream(spark, events_folder, glob))
-    q = (pos.units_per_tick(lines).writeStream.outputMode("complete")
-         .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(out))
+    q = (pos.units_per_tick(lines).writeStream.outputMode("update")
+         .foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    rows = spark.read.schema("tick_start timestamp, units long, revenue double, batch_id long").parquet(out)
+    newest = rows.groupBy("tick_start").agg(F.max_by(F.struct("units", "revenue"), "batch_id").alias("s"))
+    return newest.select("tick_start", "s.units", "s.revenue")
 
 
 def run_listing_state(spark: SparkSession, events_folder: str, glob: str = "events*.parquet") -> DataFrame:
@@ -36,12 +43,12 @@ def run_listing_state(spark: SparkSession, events_folder: str, glob: str = "even
     q = (pos.listing_state_updates(lines).writeStream.outputMode("update").foreachBatch(pub)
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    latest = pub.latest(spark)
-    return spark.read.parquet(latest)
+    state = pub.current(spark)
+    return spark.createDataFrame([], pos.OUT_SCHEMA) if state is None else state
 
 
 def live_state(spark: SparkSession, raw: DataFrame, universe: DataFrame) -> DataFrame:
     """T5 + T6 + T11 on the published raw state, against the global current and first tick."""
-    cur = raw.select(F.max(F.element_at("hist_ticks", -1))).scalar()   # uncorrelated scalar subqueries
+    cur = raw.select(F.max(F.array_max("hist_ticks"))).scalar()   # uncorrelated scalar subqueries
     first = raw.select(F.min("first_tick")).scalar()
     return pos.derive_state(raw.withColumn("current_tick", cur).withColumn("stream_first_tick", first), universe)

@@ -6,31 +6,29 @@ sale of ``1 + event_id % 3`` units on listing ``user_id``. A listing is a
 event-time buckets of ``tick`` length.
 
 * T2: units and revenue per tick: tumbling event-time window + watermark.
-* T3/T5/T6: per-listing state (``applyInPandasWithState``): cumulative
-  demand, realised units per tick (min(demand, on-hand)), and the last six
-  ticks' realised units; velocity and ticks-to-stockout are derived at publish
+* T3/T5/T6: per-listing state (``applyInPandasWithState``): demand of the last
+  six ticks by tick and of all older ones together, whatever order files come
+  in; realised units, velocity and ticks-to-stockout are derived at publish
   time against the global current tick, so idle ticks count as zero.
-* T7: every micro-batch merges the updated listings into the previous state
-  version and writes a new version folder, then a pointer file (atomic
-  publish for readers).
+* T7: every micro-batch publishes the listings it changed as a logged delta;
+  deltas are folded into a full version at intervals.
 * T8/T9/T10: panel, alerts and control phase are batch queries over the
-  published state.
+  published state and ticks.
 
 All folders live under the session's shared checkpoint directory.
 """
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.expr import first_n_text, stock_status
+from ..functions.expr import stock_status
 from ..params import ROLLING_WINDOW_TICKS, STOCKOUT_WARNING_ON_HAND
 
 EVENT_SCHEMA = T.StructType([
@@ -42,13 +40,14 @@ TICK = "1 hour"
 TICK_SECONDS = 3600
 START_ON_HAND_MIN, START_ON_HAND_SPAN = 15, 31
 STATE_SCHEMA = T.StructType([
-    T.StructField("cum_units", T.LongType()),
+    T.StructField("older_units", T.LongType()),
     T.StructField("first_tick", T.LongType()),
     T.StructField("hist_ticks", T.ArrayType(T.LongType())),
     T.StructField("hist_units", T.ArrayType(T.LongType())),
 ])
 OUT_SCHEMA = T.StructType([
     T.StructField("listing_id", T.LongType()),
+    T.StructField("older_units", T.LongType()),
     T.StructField("cum_units", T.LongType()),
     T.StructField("first_tick", T.LongType()),
     T.StructField("hist_ticks", T.ArrayType(T.LongType())),
@@ -85,26 +84,27 @@ def start_on_hand(listing_id):
 
 
 def _advance(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """realised = min(demand, on-hand) per tick; keep the last ROLLING_WINDOW_TICKS ticks with sales."""
+    """Demand per tick as a sorted map, so files may arrive in any order.
+
+    The state is the demand of the last ROLLING_WINDOW_TICKS ticks seen (by tick, not by arrival) plus the
+    demand and the first tick of all older ones; what was realised per tick follows from the cumulative
+    demand. Batches are folded in chunk by chunk.
+    """
     listing = int(key[0])
-    cum, first, ticks, units = (state.get if state.exists else (0, None, [], []))
-    ticks, units = list(ticks or []), list(units or [])
-    start = start_on_hand(listing)
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    per_tick = batch.groupby("tick", sort=True)["units"].sum()
-    first = int(per_tick.index.min()) if first is None else min(int(first), int(per_tick.index.min()))
-    for tick, demand in per_tick.items():
-        realized = min(cum + int(demand), start) - min(cum, start)
-        cum += int(demand)
-        if ticks and ticks[-1] == tick:
-            units[-1] += realized
-        else:
-            ticks.append(int(tick))
-            units.append(int(realized))
-        ticks, units = ticks[-ROLLING_WINDOW_TICKS:], units[-ROLLING_WINDOW_TICKS:]
-    state.update((cum, first, ticks, units))
-    yield pd.DataFrame({"listing_id": [listing], "cum_units": [cum], "first_tick": [first],
-                        "hist_ticks": [ticks], "hist_units": [units]})
+    older, first, ticks, units = (state.get if state.exists else (0, None, [], []))
+    demand = dict(zip(ticks or [], units or []))
+    for pdf in pdfs:
+        for tick, n in pdf.groupby("tick")["units"].sum().items():
+            demand[int(tick)] = demand.get(int(tick), 0) + int(n)
+    kept = sorted(demand)
+    first = kept[0] if first is None else min(int(first), kept[0])
+    for tick in kept[:-ROLLING_WINDOW_TICKS]:
+        older += demand[tick]
+    kept = kept[-ROLLING_WINDOW_TICKS:]
+    units = [demand[t] for t in kept]
+    state.update((older, first, kept, units))
+    yield pd.DataFrame({"listing_id": [listing], "older_units": [older], "cum_units": [older + sum(units)], "first_tick": [first],
+                        "hist_ticks": [kept], "hist_units": [units]})
 
 
 def listing_state_updates(lines: DataFrame) -> DataFrame:
@@ -113,14 +113,12 @@ def listing_state_updates(lines: DataFrame) -> DataFrame:
             .applyInPandasWithState(_advance, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout))
 
 
-def listing_universe(dim_store: DataFrame, numbered_skus: DataFrame, n_stores: int, n_skus: int,
+def listing_universe(numbered_stores: DataFrame, numbered_skus: DataFrame, n_stores: int, n_skus: int,
                      listing_ids: DataFrame) -> DataFrame:
-    """Static listing attributes: store = listing % stores, SKU = listing % SKUs (catalog-sized tables)."""
-    stores = dim_store.select("store_id", "store_name", "store_tier",
-                              (F.row_number().over(Window.orderBy("store_id")) - 1).alias("store_no"))
+    """Static listing attributes: store = listing % stores, SKU = listing % SKUs (``store_no``, ``sku_no``)."""
     return (listing_ids.withColumn("store_no", F.col("listing_id") % n_stores)
             .withColumn("sku_no", F.col("listing_id") % n_skus)
-            .join(F.broadcast(stores), "store_no").join(F.broadcast(numbered_skus), "sku_no")
+            .join(numbered_stores, "store_no").join(numbered_skus, "sku_no")
             .select("listing_id", F.col("store_id").alias("location_id"), "store_name", "store_tier", "sku_id"))
 
 
@@ -131,11 +129,13 @@ def derive_state(raw: DataFrame, universe: DataFrame) -> DataFrame:
     """
     current_tick, first_tick = F.col("current_tick"), F.col("stream_first_tick")
     k = F.least(F.lit(ROLLING_WINDOW_TICKS), (current_tick - first_tick + 1)).cast("double")
-    recent = F.aggregate(F.arrays_zip("hist_ticks", "hist_units"), F.lit(0).cast("long"),
-                         lambda acc, x: acc + F.when(x["hist_ticks"] > current_tick - ROLLING_WINDOW_TICKS,
-                                                     x["hist_units"]).otherwise(F.lit(0).cast("long")))
-    on_hand = F.greatest(F.lit(START_ON_HAND_MIN) + F.col("listing_id") % START_ON_HAND_SPAN - F.col("cum_units"),
-                         F.lit(0))
+    start = F.lit(START_ON_HAND_MIN) + F.col("listing_id") % START_ON_HAND_SPAN
+    # realised units of the recent ticks: what the cumulative demand before and after them could take
+    recent_demand = F.aggregate(F.arrays_zip("hist_ticks", "hist_units"), F.lit(0).cast("long"),
+                                lambda acc, x: acc + F.when(x["hist_ticks"] > current_tick - ROLLING_WINDOW_TICKS,
+                                                            x["hist_units"]).otherwise(F.lit(0).cast("long")))
+    recent = F.least(F.col("cum_units"), start) - F.least(F.col("cum_units") - recent_demand, start)
+    on_hand = F.greatest(start - F.col("cum_units"), F.lit(0))
     v = recent / k
     return (raw.join(universe, "listing_id")
             .select("listing_id", "location_id", "store_name", "store_tier", "sku_id",
@@ -146,33 +146,56 @@ def derive_state(raw: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 class StatePublisher:
-    """``foreachBatch`` sink: merge the updated listings into the last version, write a new version
-    folder, then append its id to an append-only version log. Readers take the highest logged version,
-    so a half-written folder is never read, and a replayed batch rewrites the same folder.
+    """``foreachBatch`` sink that publishes changed listings as deltas and folds them at intervals.
+
+    A batch writes only the listings it changed, to a folder of its own, then a one-row log entry that names
+    it; readers see logged folders only, so a half-written one is never read, and a replayed batch writes its
+    folder and entry again with the same content. Every ``compact_every`` batches the newest row of each
+    listing is written as a full version, and readers start from the highest full version.
     """
 
-    def __init__(self, root: str):
-        self.root = root.rstrip("/")
+    LOG = "batch_id long, kind string, path string"
+
+    def __init__(self, root: str, compact_every: int = 10):
+        self.root, self.compact_every = root.rstrip("/"), compact_every
         self.log = f"{self.root}/_versions"
 
-    def latest(self, spark: SparkSession) -> str | None:
+    def entries(self, spark: SparkSession) -> list:
+        """Log rows in order of their batch; empty before the first batch (only a missing log means that)."""
         try:
-            row = spark.read.parquet(self.log).agg(F.max_by("path", "batch_id").alias("p")).first()
-        except Exception:  # noqa: BLE001 - no version written yet
+            rows = spark.read.schema(self.LOG).option("recursiveFileLookup", "true").json(self.log).collect()  # one small row per batch since the last start
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(set(map(tuple, rows)), key=lambda r: (r[0], r[1]))
+
+    def current(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
+        """The newest row of every listing over the logged folders (of batches below ``before``)."""
+        rows = [r for r in self.entries(spark) if before is None or r[0] < before]
+        if not rows:
             return None
-        return row["p"] if row else None
+        base = max((r[0] for r in rows if r[1] == "full"), default=-1)
+        parts = [spark.read.schema(OUT_SCHEMA).parquet(p).withColumn("batch_id", F.lit(b)) for b, kind, p in rows
+                 if b == base and kind == "full" or b > base and kind == "delta"]
+        both = parts[0]
+        for p in parts[1:]:
+            both = both.unionByName(p)
+        fields = [f.name for f in OUT_SCHEMA.fields]
+        newest = both.groupBy("listing_id").agg(F.max_by(F.struct(*fields[1:]), "batch_id").alias("s"))
+        return newest.select("listing_id", "s.*")
+
+    def _publish(self, df: DataFrame, batch_id: int, kind: str) -> None:
+        spark, path = df.sparkSession, f"{self.root}/{kind}={batch_id:08d}"
+        df.write.mode("overwrite").parquet(path)
+        # one log file per batch and kind: a replay replaces it
+        (spark.createDataFrame([(int(batch_id), kind, path)], self.LOG).coalesce(1)
+         .write.mode("overwrite").json(f"{self.log}/{kind}-{batch_id:08d}"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = self.latest(spark)
-        merged = batch
-        if prev:
-            old = spark.read.parquet(prev)
-            merged = old.join(batch.select("listing_id"), "listing_id", "left_anti").unionByName(batch)
-        target = f"{self.root}/v={batch_id:08d}"
-        merged.write.mode("overwrite").parquet(target)
-        (spark.createDataFrame([(int(batch_id), target)], "batch_id long, path string")
-         .coalesce(1).write.mode("append").parquet(self.log))
+        self._publish(batch.select(*[f.name for f in OUT_SCHEMA.fields]), batch_id, "delta")
+        if (batch_id + 1) % self.compact_every == 0:
+            self._publish(self.current(batch.sparkSession, batch_id + 1), batch_id, "full")
 
 
 def hot_item_panel(state: DataFrame) -> DataFrame:
@@ -183,21 +206,32 @@ def hot_item_panel(state: DataFrame) -> DataFrame:
 
 
 def stock_alerts(panel: DataFrame) -> DataFrame:
-    """STOCKOUT / WATCH / HEALTHY per store plus one summary row with the first five store names."""
+    """STOCKOUT / WATCH / HEALTHY per store, counted per status with the first five store names."""
     s = panel.withColumn("status", stock_status("on_hand", STOCKOUT_WARNING_ON_HAND))
-    summary = s.groupBy("status").agg(F.count(F.lit(1)).alias("n_stores"),
-                                      first_n_text(F.array_sort(F.collect_list("store_name")), 5).alias("stores"))
-    return summary
+    ranked = s.withColumn("rank", F.row_number().over(Window.partitionBy("status").orderBy("store_name")))  # keeps a top-n per status
+    first = ranked.where(F.col("rank") <= 5).groupBy("status").agg(F.array_sort(F.collect_list("store_name")).alias("names"))
+    counts = s.groupBy("status").agg(F.count(F.lit(1)).alias("n_stores"))
+    return counts.join(first, "status").select("status", "n_stores", F.concat(F.array_join("names", ", "), F.when(
+        F.col("n_stores") > 5, F.concat(F.lit(" (+"), (F.col("n_stores") - 5).cast("string"), F.lit(" more)"))).otherwise(F.lit(""))).alias("stores"))
+
+
+CONTROL_SCHEMA = "triggered boolean, triggered_at_tick long"
 
 
-def control_phase(control_path: str, tick: int, spike_ticks: int = 8) -> tuple[bool, str]:
-    """T10 + F26: read the control flag (malformed or missing -> not triggered) and name the phase."""
+def control_flag(spark: SparkSession, path: str) -> DataFrame:
+    """T10 + F26: the tick of the flag's first sighting as one row (null: missing, malformed or not triggered)."""
     try:
-        with open(control_path) as f:
-            ctrl = json.load(f)
-    except (OSError, ValueError):
-        return False, "baseline"
-    trig = ctrl.get("triggered_at_tick") if isinstance(ctrl, dict) and ctrl.get("triggered") else None
-    if trig is None:
-        return False, "baseline"
-    return True, ("SPIKING" if tick - int(trig) < spike_ticks else "SETTLED")
+        raw = spark.read.option("wholetext", "true").text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], "value string")
+    c = raw.select(F.from_json("value", CONTROL_SCHEMA).alias("c")).where("c.triggered")
+    return c.agg(F.min("c.triggered_at_tick").alias("triggered_at"))
+
+
+def with_phase(ticks: DataFrame, flag: DataFrame, spike_ticks: int = 8) -> DataFrame:
+    """T10 + F25: the phase of every published tick (``tick`` long) against the flag: baseline, SPIKING, SETTLED."""
+    at = flag.scalar()
+    since = F.col("tick") - at
+    return ticks.withColumn("phase", F.when(at.isNull() | (since < 0), "baseline").when(since < spike_ticks, "SPIKING").otherwise("SETTLED"))

@@ -26,9 +26,12 @@ def test_function_surface(spark):
     assert api.get_style_details(t, "no-such-style").count() == 0
     assert api.get_complementary_items(t, style).count() <= 2
     cart = t.cart_events.select("cart_id").first().cart_id
-    lines = api.add_to_cart(t, cart).count()
-    v = api.view_cart(t, cart).collect()[0]
-    assert v.n_items == lines
+    lines = api.cart_contents(t, cart).count()
+    more = api.add_to_cart(t, cart, sku, 3)
+    v = api.view_cart(more, cart).collect()[0]
+    assert v.n_items == lines + 1 and api.cart_contents(t, cart).count() == lines
+    assert api.cart_contents(more, cart).where(F.col("sku_id") == sku).agg(F.max("quantity")).first()[0] == 3
+    t = more
     doc = json.loads(api.checkout(t, cart).first().document)
     assert math.isclose(doc["total"], round(doc["subtotal"] + doc["tax"], 2), abs_tol=1e-9)
 

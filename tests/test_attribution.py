@@ -1,7 +1,10 @@
 """Weighted attribution (E13): bucketed range join equals a brute-force interval lookup."""
 import bisect
+import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from shelfwise.operators import attribution as attr
 
 
@@ -38,6 +41,16 @@ def test_bucketed_range_join_matches_brute_force(spark):
         for _, w in pool:
             cum.append(acc)
             acc += w
-        u = (((k * 2654435761 + ln * 40503) % 1000003) / 1000003.0) * acc
+        u = int(hashlib.md5(f"{k}-{ln}".encode()).hexdigest()[:13], 16) / 2 ** 52 * acc
         i = bisect.bisect_right(cum, u) - 1
         assert got[(k, ln)] == pool[i][0]
+
+
+def test_draws_of_large_keys_reach_a_large_pool(spark):
+    """Three million order keys beyond 4e9 neither overflow nor repeat their draw, and reach two million members
+    as evenly as independent draws would (1 - exp(-1.5) = 77.7 % of them)."""
+    lines = spark.range(4_000_000_000, 4_003_000_000).selectExpr("id AS l_orderkey", "1 AS l_linenumber")
+    u = attr.unit_draw(F.col("l_orderkey"), F.col("l_linenumber"))
+    got = lines.select(u.alias("u"), F.floor(u * 2_000_000).alias("member")).agg(
+        F.countDistinct("u").alias("draws"), F.countDistinct("member").alias("members"), F.min("u").alias("low"), F.max("u").alias("high")).first()
+    assert got.draws > 2_999_900 and 1_550_000 < got.members < 1_557_500 and 0 <= got.low and got.high < 1

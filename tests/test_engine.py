@@ -44,7 +44,7 @@ def test_engine_invariants(spark):
                   | (F.col("on_hand") < 0) | (F.col("unmet_cum_demand") < -1e-9)
                   | (F.col("weeks_of_supply") > 52) | (F.col("realized_sales") < 0)).count()
     assert bad == 0
-    assert e.count() == 190_981  # FIXTURES.md, sf0.001
+    assert e.count() == 265_427  # sf0.001, a store per nation and an Ecommerce location per region
 
 
 def test_engine_plan_shares_one_exchange_for_windows(spark):

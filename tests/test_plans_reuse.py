@@ -1,9 +1,18 @@
-"""Plan-shape regressions: exchange reuse over the fixture's fact lineage, size-checked broadcast with a
-bounding frame, and money totals that do not depend on partitioning."""
+"""Plan-shape regressions: one scan of the fact, size-checked broadcasts, no global windows, and money totals
+that do not depend on partitioning."""
+import hashlib
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expr import exact_sum
+from shelfwise.operators import sampling
 from shelfwise.operators.broadcast import checked_broadcast
+from shelfwise.operators.numbering import number_rows
+from shelfwise.plans import all_queries
+from shelfwise.plans.q_marts import gold
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.fixture import Fixture
 
 from conftest import SF_SMALL
@@ -14,30 +23,79 @@ def _executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_identical_fact_subtrees_reuse_their_exchange(spark):
-    # two copies of the sales lineage (lineitem ⨝ part ⨝ supplier → region) in one plan must share one
-    # shuffle; a persisted dimension inside the lineage used to defeat this and every copy re-scanned
+def _scans(df, table):
+    return _executed(df).split("== Initial Plan ==")[0].count(f"/{table}.parquet")
+
+
+def test_queries_read_the_written_fact(spark):
+    # lineitem is scanned once, for the written sales lines; the marts and rules read derived tables
+    q, _ = all_queries()
+    for name in ("m2_weekly_demand_store_sku", "m3_inventory_imbalance_signals", "m37_executive_rollup", "decision_queue", "c2_style_variants"):
+        assert _scans(q[name](spark, SF_SMALL), "lineitem") == 0, name
     fx = Fixture(spark, SF_SMALL)
-    agg = fx.sales.groupBy("region_code").agg(F.sum("units").alias("u"))
-    plan = _executed(agg.union(agg))
-    assert plan.count("ReusedExchange") >= 1
+    assert _scans(fx._sales_base(), "lineitem") == 1
+
+
+def test_roll_ups_do_not_read_the_fanned_out_exposure(spark):
+    g = gold(Fixture(spark, SF_SMALL))
+    fan, folded = g.m5, g.exposed
+    assert folded.agg(F.sum("n_terms")).first()[0] == fan.count() > folded.count()
+
+
+def test_changed_sources_are_derived_anew(spark, tmp_path):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+    new = F.col("style_id").startswith("Brand#99")
+    assert Fixture(spark, str(tmp_path)).dim_style.where(new).count() == 0
+    part = Fixture(spark, str(tmp_path)).table("part").toPandas()
+    part.loc[0, "p_brand"] = "Brand#99"
+    part.to_parquet(tmp_path / "part.parquet", index=False)
+    assert Fixture(spark, str(tmp_path)).dim_style.where(new).count() == 1
+
 
+def test_no_folder_no_cluster_run(monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
 
-def test_checked_broadcast_counts_the_bound(spark):
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(type("S", (), {"sparkContext": Context()})())
+
+
+def test_checked_broadcast_asks_for_the_size(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
-    big_bound = spark.range(50)
-    # the bound has more rows than max_rows: no broadcast hint, whatever the frame itself holds
-    no = checked_broadcast(small, max_rows=20, bound=big_bound)
-    yes = checked_broadcast(small, max_rows=20, bound=spark.range(15))
     facts = spark.range(1000).select((F.col("id") % 10).alias("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in _executed(facts.join(yes, "k"))
-        assert "BroadcastHashJoin" not in _executed(facts.join(no, "k"))
+        assert "BroadcastHashJoin" in _executed(facts.join(checked_broadcast(small, 1000, max_bytes=2000), "k"))
+        assert "BroadcastHashJoin" not in _executed(facts.join(checked_broadcast(small, 3000, max_bytes=2000), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_numbering_is_consecutive_without_a_global_window(spark):
+    df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    got = number_rows(df, [F.col("k")])
+    rows = got.orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(1, 5001)) and [r.k for r in rows] == sorted(r.k for r in rows)
+    assert number_rows(df.limit(0), [F.col("k")]).count() == 0
+
+
+def test_stratified_pick_by_slices_equals_a_plain_rank(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("g"), F.col("id") % 3).alias("g"), F.col("id").cast("string").alias("k"))
+    got = sampling.stratified_pick(rows, "g", ["k"], F.lit(0.1))
+    want = set()
+    for g in range(3):
+        keys = sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), str(i)) for i in range(g, 3000, 3))
+        want |= {(f"g{g}", k) for _, k in keys[:100]}
+    assert {(r.g, r.k) for r in got.collect()} == want
+
+
 def test_exact_sum_does_not_depend_on_partitioning(spark):
     # 0.1 + 0.2 + ... in different orders gives different doubles; the fixed-point sum is one value
     vals = spark.createDataFrame([(i, (i % 97) * 0.1 + 0.005) for i in range(5000)], "id long, x double")

@@ -32,7 +32,7 @@ def test_logistic_matches_newton(spark):
         n = int(rng.integers(0, 6) + (2 if coh else 0))
         rows.append((i, "R", t, coh, units, rev, cap, n))
     df = spark.createDataFrame(rows, "customer_id long, home_region string, loyalty_tier string, "
-                                     "is_milan_cohort boolean, total_units long, total_revenue double, "
+                                     "is_cohort boolean, total_units long, total_revenue double, "
                                      "capsule_units long, n_orders long")
     data = pr.with_target(df, "R")
     med = float(np.median([r[-1] for r in rows]))

@@ -1,7 +1,13 @@
-"""Stream = batch: the POS stream drained with availableNow equals its batch twin."""
+"""Stream = batch, whatever the order in which files come in."""
+import os
+
+from pyspark.sql import functions as F
+
 from shelfwise.oracle.compare import compare, duck
 from shelfwise.plans import all_queries
-from shelfwise.streaming import pos
+from shelfwise.plans.q_stream import _universe
+from shelfwise.sources.tables import read_table
+from shelfwise.streaming import jobs, pos
 
 from conftest import SF_SMALL
 
@@ -15,11 +21,61 @@ def test_ticks_and_live_state_match_batch(spark):
         assert res["match"], (name, res)
 
 
-def test_control_phase(tmp_path):
+def test_interleaved_and_late_files_match_batch(spark, scratch_dir, tmp_path):
+    """Twelve files: events dealt in turn over eleven, each spanning all ticks, the oldest sales in the last."""
+    events = read_table(spark, SF_SMALL, "events")
+    cut = events.agg(F.expr("percentile_approx(event_id, 0.1)")).first()[0]
+    folder = tmp_path / "events"
+    parts = [events.where((F.col("event_id") > cut) & (F.col("event_id") % 11 == k)) for k in range(11)] + [events.where(F.col("event_id") <= cut)]
+    for k, part in enumerate(parts):
+        part.toPandas().astype({"ts": "datetime64[us]"}).to_parquet(_made(folder) / f"events{k:02d}.parquet", index=False)
+        os.utime(folder / f"events{k:02d}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    con = duck(SF_SMALL)
+    raw = jobs.run_listing_state(spark, str(folder))
+    state = jobs.live_state(spark, raw, _universe(spark, SF_SMALL, raw.select("listing_id")))
+    rounded = lambda df, *cols: df.withColumns({c: F.round(c, 6) for c in cols})
+    panel = pos.hot_item_panel(state)
+    for name, df in (("t7_live_listing_state", rounded(state, "trailing_velocity", "ticks_to_stockout")),
+                     ("t8_hot_item_panel", rounded(panel, "velocity")), ("t9_stock_alerts", pos.stock_alerts(panel))):
+        res = compare(df, ORACLE[name], con)
+        assert res["match"], (name, res)
+
+
+def test_ticks_of_ordered_files_match_batch(spark, tmp_path):
+    """Several files in order: ticks that span two files are published again with their new totals."""
+    events = read_table(spark, SF_SMALL, "events").toPandas().sort_values("ts").astype({"ts": "datetime64[us]"})
+    folder = _made(tmp_path / "events")
+    n = len(events) // 4 + 1
+    for k in range(4):
+        events.iloc[k * n:(k + 1) * n].to_parquet(folder / f"events{k}.parquet", index=False)
+        os.utime(folder / f"events{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    got = jobs.run_units_per_tick(spark, str(folder)).withColumn("revenue", F.round("revenue", 6))
+    assert compare(got, ORACLE["t2_units_per_tick"], duck(SF_SMALL))["match"]
+
+
+def test_publisher_replays_and_compacts(spark, scratch_dir):
+    pub = pos.StatePublisher(f"{scratch_dir}/publisher", compact_every=2)
+    assert pub.current(spark) is None
+    row = lambda i, n: spark.createDataFrame([(i, 0, n, 1, [1], [n])], pos.OUT_SCHEMA)
+    for batch, df in enumerate([row(1, 1), row(2, 2), row(1, 3)]):
+        pub(df, batch)
+        pub(df, batch)  # a replayed batch changes nothing
+    assert sorted((r.listing_id, r.cum_units) for r in pub.current(spark).collect()) == [(1, 3), (2, 2)]
+    assert [e[1] for e in pub.entries(spark)] == ["delta", "delta", "full", "delta"]
+
+
+def test_control_flag_and_phase(spark, tmp_path):
     p = tmp_path / "control.json"
-    assert pos.control_phase(str(p), 10) == (False, "baseline")
+    ticks = spark.range(3, 16).select(F.col("id").alias("tick"))
+    phases = lambda: {r.tick: r.phase for r in pos.with_phase(ticks, pos.control_flag(spark, str(p))).collect()}
+    assert set(phases().values()) == {"baseline"}
     p.write_text("{not json")
-    assert pos.control_phase(str(p), 10) == (False, "baseline")
+    assert set(phases().values()) == {"baseline"}
     p.write_text('{"triggered": true, "triggered_at_tick": 5}')
-    assert pos.control_phase(str(p), 10) == (True, "SPIKING")
-    assert pos.control_phase(str(p), 20) == (True, "SETTLED")
+    got = phases()
+    assert (got[4], got[5], got[12], got[13]) == ("baseline", "SPIKING", "SPIKING", "SETTLED")
+
+
+def _made(path):
+    path.mkdir(exist_ok=True)
+    return path
