@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, staged
+from .common import prepare, smallest_hashes, staged
 
 MAX_SAMPLE = 8192
 PARTS = 32
@@ -226,7 +226,9 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, parts: int = PAR
     spark = embeddings.sparkSession
     prepare(spark)
     rows = usable(embeddings)
-    sample = rows.dropDuplicates(["v"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).select("v").toPandas()
+    hashed = rows.select(F.xxhash64("v").alias("h"), "v")
+    chosen = F.broadcast(smallest_hashes(hashed.select("h"), max_sample))  # at most max_sample numbers
+    sample = hashed.join(chosen, "h").groupBy("h").agg(F.first("v").alias("v")).orderBy("h").select("v").toPandas()
     x = np.array(sample["v"].tolist(), float).reshape(len(sample), -1 if len(sample) else 1)
     unseen = min(HELD_OUT, len(x) // 8)
     router = fit(x[unseen:], parts)

@@ -17,9 +17,11 @@ are never produced (their strings are ordinary text); an empty table gives an em
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import sys
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -59,9 +61,12 @@ def compile_pattern(pattern: str, last: int = sys.maxunicode) -> re.Pattern:
 
 
 class Transducer:
-    """Encodes one piece at a time; ``table[state][byte]`` is (next state, tokens emitted on the way)."""
+    """Encodes one piece at a time. A state is a dict: byte -> (next state, tokens emitted on the way), with its
+    description under HELD and the tokens still to emit at the end of a piece under LAST."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    HELD, LAST = -1, -2
+
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {t: b for b, t in ranks.items()}
         self.prefixes: dict[bytes, int] = {}  # -1: a prefix that is no token
@@ -73,26 +78,29 @@ class Transducer:
         self._reset()
 
     def _reset(self):
-        self.states, self.table, self.numbers = [], [], {}
-        # a state: bytes since the earliest open token, and per open token (begin, token before, tokens to emit)
-        self._number((b"", ((0, -1, ()),)))
-
-    def _number(self, state) -> int:
-        n = self.numbers.get(state)
-        if n is None:
-            n = self.numbers[state] = len(self.states)
-            self.states.append(state)
-            self.table.append({})
-        return n
+        # described by: bytes since the earliest open token, and per open token (begin, token before, tokens to emit)
+        self.states: dict[tuple, dict] = {}
+        self.start = self._state((b"", ((0, -1, ()),)))
+
+    def _state(self, held) -> dict:
+        state = self.states.get(held)
+        if state is None:
+            state = self.states[held] = {self.HELD: held, self.LAST: held[1][-1][2]}
+        return state
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging by rank; used on the bytes of at most two tokens."""
-        parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(a + b, sys.maxsize), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == sys.maxsize:
-                break
+        none, rank_of = sys.maxsize, self.ranks.get
+        parts = [BYTES[x] for x in data]
+        ranks = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) != none:
+            i = ranks.index(low)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(parts[i] + parts[i + 1], none)
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] + parts[i], none)
         return [self.ranks[p] for p in parts]
 
     def follows(self, before: int, token: int) -> bool:
@@ -101,13 +109,14 @@ class Transducer:
         if ok is None:
             want = [token] if before < 0 else [before, token]
             ok = self.merge(b"".join(self.bytes_of[t] for t in want)) == want
-            if len(self.pairs) >= 4 * self.max_states:
+            if len(self.pairs) >= self.max_states:
                 self.pairs.clear()
             self.pairs[key] = ok
         return ok
 
-    def _step(self, state, byte: int):
-        held, ways = state
+    def _step(self, state: dict, byte: int):
+        """Builds the transition of ``state`` on ``byte``."""
+        held, ways = state[self.HELD]
         held += BYTES[byte]
         alive, closed, n, token_of = [], None, len(held), self.prefixes.get
         for way in ways:  # in order of their begin
@@ -116,7 +125,7 @@ class Transducer:
                 alive.append(way)
                 if closed is None and token >= 0 and self.follows(way[1], token):
                     closed = (n, token, way[2] + (token,))
-        alive.append(closed)
+        alive.append(closed)  # the way on which a token has just closed
         first = alive[0]
         same = 0
         for k, token in enumerate(first[2]):
@@ -125,8 +134,9 @@ class Transducer:
             same = k + 1
         cut = first[0]
         if cut or same:
-            return (held[cut:], tuple([(b - cut, t, c[same:]) for b, t, c in alive])), first[2][:same]
-        return (held, tuple(alive)), ()
+            alive = [(b - cut, t, c[same:]) for b, t, c in alive]
+        hop = state[byte] = (self._state((held[cut:], tuple(alive))), first[2][:same])
+        return hop
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -134,17 +144,13 @@ class Transducer:
             return [whole]
         if len(self.states) >= self.max_states:
             self._reset()
-        out, at = [], 0
-        table = self.table
+            gc.collect()  # states refer to each other
+        out, state = [], self.start
         for byte in piece:
-            hop = table[at].get(byte)
-            if hop is None:
-                state, emitted = self._step(self.states[at], byte)
-                hop = table[at][byte] = (self._number(state), emitted)
-            at = hop[0]
-            if hop[1]:
-                out += hop[1]
-        out += self.states[at][1][-1][2]  # the way on which the last token has just closed
+            state, emitted = state.get(byte) or self._step(state, byte)
+            if emitted:
+                out += emitted
+        out += state[self.LAST]
         return out
 
 
@@ -156,7 +162,8 @@ class _Pieces(dict):
         self.transducer, self.limit = transducer, limit
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
+        encoded = self.transducer.encode(piece.encode())
+        ids = pack(f"<{len(encoded)}I", *encoded)
         if len(piece) <= 48:
             if len(self) >= self.limit:
                 self.clear()
@@ -194,7 +201,7 @@ class Utf8Stream:
 class Codec:
     """``ranks``: token bytes to id; ``pattern``: the split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 100_000, max_pieces: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 400_000, max_pieces: int = 500_000):
         self.find_bmp, self.find_any = compile_pattern(pattern, BMP).findall, compile_pattern(pattern).findall
         self.pieces = _Pieces(Transducer(ranks, max_states), max_pieces)
         top = max(ranks.values()) + 1
@@ -234,28 +241,36 @@ def _codec(path: str, pattern: str) -> Codec:
     return _WORKER["codec"]
 
 
+def _encoded(codec: Codec, b: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    n, ids_sha, text_sha, all_ids = [], [], [], []
+    for text in b.column("text").to_pylist():
+        ids = codec.encode(text)
+        back = hashlib.sha256()
+        for part in codec.decode(ids):
+            back.update(part.encode())
+        n.append(len(ids))
+        ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
+        text_sha.append(back.hexdigest())
+        if with_ids:
+            all_ids.append(ids)
+    columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    if with_ids:
+        flat = np.concatenate(all_ids or [np.zeros(0, "<u4")]).astype(np.int32)
+        columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32())))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def _encode(path: str, pattern: str, with_ids: bool):
     def run(batches):
         codec = _codec(path, pattern)
-        for b in batches:
-            n, ids_sha, text_sha, all_ids = [], [], [], []
-            for text in b.column("text").to_pylist():
-                ids = codec.encode(text)
-                back = hashlib.sha256()
-                for part in codec.decode(ids):
-                    back.update(part.encode())
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                text_sha.append(back.hexdigest())
-                if with_ids:
-                    all_ids.append(ids)
-            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                flat = np.concatenate(all_ids or [np.zeros(0, "<u4")]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        gc.disable()  # hundreds of thousands of live states make full collections costly
+        try:
+            for b in batches:
+                yield _encoded(codec, b, with_ids)
+        finally:
+            gc.enable()
     return run
 
 

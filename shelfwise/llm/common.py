@@ -58,3 +58,13 @@ def fresh(df: DataFrame, *bases: str) -> list[str]:
 
 def long_id(name: str = "doc_id"):
     return F.col(name).cast("long").alias(name)
+
+
+def smallest_hashes(keys: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` distinct values of the single long column of ``keys``, those that come first in a fixed
+    pseudo-random order. A threshold on that order leaves about twice as many values before they meet in one task."""
+    name, = keys.columns
+    order = F.pmod(F.xxhash64(name), F.lit(1 << 40))
+    n = keys.agg(F.approx_count_distinct(name, 0.02)).first()[0]
+    some = keys.where(order < int(min(1.0, 2.0 * limit / max(n, 1) + 64.0 / max(n, 1)) * (1 << 40)))
+    return some.distinct().orderBy(order, name).limit(limit)

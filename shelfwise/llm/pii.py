@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, prepare
+from .common import long_id, prepare, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: outside
@@ -306,7 +306,8 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
     """The sample comes to the driver as tokens' surroundings only: at most MAX_TOKENS tokens a document."""
     prepare(docs.sparkSession)
     held = docs.select(F.xxhash64("text").alias("h"), "text").where(F.col("text").rlike("[0-9@]"))
-    sample = held.dropDuplicates(["h"]).orderBy("h").limit(max_docs).mapInArrow(_surroundings, "h long, text string")
+    chosen = F.broadcast(smallest_hashes(held.select("h"), max_docs))  # at most max_docs numbers
+    sample = held.join(chosen, "h").mapInArrow(_surroundings, "h long, text string").groupBy("h").agg(F.min("text").alias("text")).orderBy("h")
     return learn([r.text for r in sample.collect()])
 
 

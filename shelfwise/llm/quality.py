@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, prepare
+from .common import fresh, prepare, smallest_hashes
 
 MAX_ROWS = 20_000
 BINS = 64
@@ -155,7 +155,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & usable)
              .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label")))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # the broadcast side is bounded by max_rows
+    chosen = known.join(F.broadcast(smallest_hashes(known.select("doc_id"), max_rows)), "doc_id")  # at most max_rows
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return one.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 

@@ -60,6 +60,13 @@ def window_starts(n: int) -> range:
     return range(0, max(n - STRIDE, 1), STRIDE) if n else range(0)
 
 
+def spread(words: list[str], most: int) -> list[str]:
+    """The words, or evenly spread windows of them if they are more than ``most``."""
+    if len(words) <= most:
+        return words
+    return [x for b in np.linspace(0, len(words) - WINDOW, most // WINDOW).astype(int) for x in words[b:b + WINDOW]]
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-x))
 
@@ -177,19 +184,16 @@ def train_network(texts: list[str], y: np.ndarray, max_words: int = MAX_WORDS, r
     if len(y) == 0 or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
-    docs = []
-    for t in texts:
-        w = words_of(t)
-        if len(w) > max_words:  # evenly spread stretches of whole windows
-            k = max_words // WINDOW
-            begins = np.linspace(0, len(w) - WINDOW, k).astype(int)
-            w = [x for b in begins for x in w[b:b + WINDOW]]
-        docs.append([x.strip(STRIP) for x in w])
+    docs, table = [], {}  # documents as numbers of stems
     pos, neg = {}, {}
-    for w, label in zip(docs, y):
+    for t, label in zip(texts, y):
+        w = spread(words_of(t), max_words)
+        docs.append(np.fromiter((table.setdefault(x.strip(STRIP), len(table)) for x in w), np.int32, len(w)))
         into = pos if label else neg
-        for x in set(w):
+        for x in np.unique(docs[-1]).tolist():
             into[x] = into.get(x, 0) + 1
+    listed = list(table)
+    pos, neg = ({listed[i]: n for i, n in c.items()} for c in (pos, neg))
     n_pos, n_neg = int(y.sum()), int(len(y) - y.sum())
     seen = {w: pos.get(w, 0) + neg.get(w, 0) for w in pos.keys() | neg.keys() if w}
     telling = {w: abs(_log_odds(n_pos, n_neg, pos.get(w, 0), neg.get(w, 0))) * c ** 0.5 for w, c in seen.items() if c >= 3}
@@ -209,21 +213,16 @@ def train_network(texts: list[str], y: np.ndarray, max_words: int = MAX_WORDS, r
     p["W"][:, 0] = np.clip(odds, -2, 6) / 3
     p["C"][:, 0] = np.clip(np.log((gram_pos + 1) / (n_pos + 1)) - np.log((gram_neg + 1) / (n_neg + 1)), -2, 6) / 3
     net = Network(vocab, p)
-    table = {w: i for i, w in enumerate(sorted({x for d in docs for x in d}))}
-    listed = list(table)
     word_id = np.array([vocab.get(w, 0) for w in listed], np.int64)
     flat, sizes = trigrams(listed)
     grams = np.split(flat, np.cumsum(sizes)[:-1])
-    at, doc_of = [], []
-    for i, d in enumerate(docs):
-        ids = [table[w] for w in d]
-        for b in window_starts(len(ids)):
-            part = ids[b:b + WINDOW]
-            at.append(part + [-1] * (WINDOW - len(part)))
-            doc_of.append(i)
-    at, doc_of = np.array(at, np.int64).reshape(-1, WINDOW), np.array(doc_of)
-    if not len(at):
+    doc_of = np.repeat(np.arange(len(docs)), [len(window_starts(len(d))) for d in docs])
+    if not len(doc_of):
         return None
+    at = np.full((len(doc_of), WINDOW), -1, np.int32)
+    for row, (i, b) in enumerate((i, b) for i, d in enumerate(docs) for b in window_starts(len(d))):
+        part = docs[i][b:b + WINDOW]
+        at[row, :len(part)] = part
     strength = np.where(at >= 0, odds[word_id][np.maximum(at, 0)], -9).max(axis=1)  # first pick: the most telling word
     moments: dict = {}
     is_pos = y[doc_of] > 0
@@ -357,12 +356,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 def _stretches(batches):
     """Texts as at most MAX_WORDS words in evenly spread windows."""
     for b in batches:
-        out = []
-        for t in b.column("text").to_pylist():
-            w = words_of(t)
-            if len(w) > MAX_WORDS:
-                w = [x for s in np.linspace(0, len(w) - WINDOW, MAX_WORDS // WINDOW).astype(int) for x in w[s:s + WINDOW]]
-            out.append(" ".join(w))
+        out = [" ".join(spread(words_of(t), MAX_WORDS)) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string()), b.column("label")], names=["doc_id", "text", "label"])
 
 
