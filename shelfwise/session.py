@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("SHELFWISE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: a job may run with the package on the
+    driver's path only."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="shelfwise-ship-")), "shelfwise_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from . import pos
 
 
@@ -37,6 +37,7 @@ def run_units_per_tick(spark: SparkSession, events_folder: str, glob: str = "eve
 
 def run_listing_state(spark: SparkSession, events_folder: str, glob: str = "events*.parquet") -> DataFrame:
     """T3 + T7: drain the events through the per-listing state and return the latest published raw state."""
+    ship_package(spark)
     root = scratch(spark, "state")
     pub = pos.StatePublisher(f"{root}/state")
     lines = pos.pos_lines(pos.read_events_stream(spark, events_folder, glob))
