@@ -66,7 +66,7 @@ class Transducer:
 
     HELD, LAST = -1, -2
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {t: b for b, t in ranks.items()}
         self.prefixes: dict[bytes, int] = {}  # -1: a prefix that is no token
@@ -109,7 +109,7 @@ class Transducer:
         if ok is None:
             want = [token] if before < 0 else [before, token]
             ok = self.merge(b"".join(self.bytes_of[t] for t in want)) == want
-            if len(self.pairs) >= self.max_states:
+            if len(self.pairs) >= 2 * self.max_states:
                 self.pairs.clear()
             self.pairs[key] = ok
         return ok
@@ -201,7 +201,7 @@ class Utf8Stream:
 class Codec:
     """``ranks``: token bytes to id; ``pattern``: the split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 400_000, max_pieces: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 150_000, max_pieces: int = 200_000):
         self.find_bmp, self.find_any = compile_pattern(pattern, BMP).findall, compile_pattern(pattern).findall
         self.pieces = _Pieces(Transducer(ranks, max_states), max_pieces)
         top = max(ranks.values()) + 1
