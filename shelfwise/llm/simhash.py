@@ -169,7 +169,9 @@ def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3) -> Da
 
 
 def near_dedup(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id (rows with null doc_id stay). Columns as given."""
+    """``docs`` with one document of each component: the smallest doc_id. Columns as given.
+
+    Rows with null doc_id stay, and so do all rows of a kept doc_id, which are one document."""
     keep, = fresh(docs, "kept_id")
     kept = simhash_components(docs, words, max_bits).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(keep)).distinct()
     return docs.join(kept, F.col("doc_id").cast("long") == F.col(keep), "left").where(F.col(keep).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
