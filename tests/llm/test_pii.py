@@ -75,3 +75,22 @@ def test_documents(docs_of):
     assert sorted([tuple(r)[:6] for r in out if r.doc_id not in (5, 7)], key=str) == want
     assert [r.redacted for r in out if r.doc_id is None] == ["mail [EMAIL]"]
     assert pii.find_pii(docs_of([]), pii.train(docs_of([]))).count() == 0
+
+
+def test_labels_reach_every_repeat_of_a_long_document():
+    for weight in (8.0, 12.0):
+        f = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), np.eye(pii.LABELS) * weight)
+        (base, spans), = pii.label_texts(f, ["Call +1 (729) 555-7725 now. " + "filler words here 555-7725 " * 50])
+        assert len(base) == 1 and len(spans) == 51
+        # a document's labels do not depend on the others of its batch
+        t = ["Call +1 (729) 555-7725 now. " + "filler words here 555-7725 " * n for n in (50, 3, 0)]
+        assert pii.label_texts(f, t) == [pii.label_texts(f, [x])[0] for x in t]
+
+
+def test_message_passing_settles_on_loops():
+    rng = np.random.default_rng(3)
+    f = pii.Field(rng.standard_normal((pii.FEATURES, pii.LABELS)), rng.standard_normal((pii.LABELS, pii.LABELS)) * 6, rng.standard_normal((pii.LABELS, pii.LABELS)) * 6)
+    n = 60
+    g = pii.Graph([0] * n, [0] * n, [1] * n, [[0, 1 + i % 20] for i in range(n)], [0] * n, [(i, i + 1) for i in range(n - 1)], [(i, i + 7) for i in range(n - 7)])
+    p = f.marginals(g)
+    assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1)
