@@ -10,8 +10,9 @@ queries that the fit has not seen, against brute force over the sample (or is gi
 Searching, in Spark: every vector of the table is indexed in its most probable part; a query is routed to its
 ``probes`` most probable parts. A part with more rows or queries than a block holds is cut into blocks by id
 hash, and each (part, row block, query block) is one group, so one common vector cannot fill a task. Groups
-rerank with exact double-precision inner products and return their best ``k`` per query, which are merged by
-score and vec_id. A query that met fewer than ``k`` candidates in its parts is searched in all parts.
+collapse equal vectors, rerank all that can be among the best ``k`` within the rounding of the fast product with
+inner products summed in one fixed order, and return their best ``k`` per query, which are merged by score and
+vec_id. A query that met fewer than ``k`` candidates in its parts is searched in all parts.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; a null vec_id takes no part; repeated rows of a vec_id are one candidate each and a
@@ -179,22 +180,30 @@ def _best(k: int):
         if not len(rows) or not len(asked):
             return pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
         x, ids = np.stack(rows["v"].to_numpy()), rows["vec_id"].to_numpy()
-        order = np.argsort(ids, kind="stable")  # equal scores keep the smaller vec_id
-        x, ids = x[order], ids[order]
+        # equal vectors are one: copies are ids[first[i]:first[i + 1]], ascending
+        _, one, same = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1])))[:, 0], return_index=True, return_inverse=True)
+        x, order = x[one], np.lexsort((ids, same))
+        ids, first = ids[order], np.concatenate([[0], np.cumsum(np.bincount(same))])
+        low, high = ids[first[:-1]], ids[first[1:] - 1]
+        # twice the most that two ways of summing can differ
+        size, rounding = np.linalg.norm(x, axis=1), 4 * (x.shape[1] + 2) * np.finfo(float).eps
         out = []
         for i in range(0, len(asked), 256):
             part = asked.iloc[i:i + 256]
             qid, q = part["query_id"].to_numpy(), np.stack(part["asked"].to_numpy())
             s = q @ x.T
-            s[qid[:, None] == ids[None, :]] = -np.inf
+            s[(qid[:, None] == low) & (low == high)] = -np.inf
             n = min(k, s.shape[1])
-            # everything at least as good as the k-th, in order of score, then vec_id
-            edge = -np.partition(-s, n - 1, axis=1)[:, n - 1]
+            margin = rounding * np.linalg.norm(q, axis=1)[:, None] * size + np.finfo(float).tiny
+            # everything that can be as good as the k-th; the exact scores decide
+            edge = -np.partition(margin - s, n - 1, axis=1)[:, n - 1]
             for r in range(len(qid)):
-                at = np.flatnonzero(s[r] >= edge[r])
-                at = at[np.argsort(-s[r, at], kind="stable")][:n]
-                at = at[np.isfinite(s[r, at])]
-                out.append(pd.DataFrame({"query_id": qid[r], "q": part["q"].iloc[r], "vec_id": ids[at], "score": exact(q[r], x[at])}))
+                at = np.flatnonzero((s[r] + margin[r] >= edge[r]) & (s[r] > -np.inf))
+                score = exact(q[r], x[at])
+                copies = [c[c != qid[r]][:k] for c in (ids[first[j]:first[j + 1]] for j in at)]
+                score, near = np.repeat(score, [len(c) for c in copies]), np.concatenate([ids[:0], *copies])
+                best = np.lexsort((near, -score))[:k]
+                out.append(pd.DataFrame({"query_id": qid[r], "q": part["q"].iloc[r], "vec_id": near[best], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
     return run
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from shelfwise.llm import ann
@@ -62,3 +63,21 @@ def test_parts_are_balanced():
     x = np.array([v for _, v in data(960)])
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 8), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1.15 * 120)
+
+
+@pytest.mark.parametrize("n, m", [(950, 1), (1003, 7), (2501, 250), (4050, 256), (4051, 255)])
+def test_copies_at_the_edge_are_cut_by_vec_id(n, m):
+    rng = np.random.default_rng(n)
+    copies = np.float32(rng.standard_normal((2, 64))).astype(float)
+    x = np.concatenate([np.float32(rng.standard_normal((n - n // 3, 64))).astype(float), copies[np.arange(n // 3) % 2]])
+    ids = rng.permutation(n)
+    for _ in range(4 if m > 7 else 40):
+        asked = copies[rng.integers(0, 2, m)] + 0.3 * rng.standard_normal((m, 64))
+        qid = np.where(np.arange(m) % 2, ids[-1 - np.arange(m)], 10 ** 6 + np.arange(m))
+        got = ann._best(20)(pd.DataFrame({"vec_id": ids, "v": list(x)}), pd.DataFrame({"query_id": qid, "q": np.arange(m), "asked": list(asked)}))
+        for i in range(m):
+            s = ann.exact(asked[i], x)
+            s[ids == qid[i]] = -np.inf
+            best = np.lexsort((ids, -s))[:20]
+            mine = got[got["q"] == i]
+            assert mine["vec_id"].tolist() == ids[best].tolist() and mine["score"].tolist() == s[best].tolist()
