@@ -59,7 +59,9 @@ def _fingerprints(words: int):
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(shingle_hashes(t, words)) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            rest = [n for n in b.schema.names if n not in ("doc_id", "text")]
+            columns = [b.column("doc_id"), pa.array(fp.view(np.int64), pa.int64()), *map(b.column, rest)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *rest])
     return run
 
 
@@ -156,22 +158,43 @@ def links(fps: DataFrame, max_bits: int, chunk: int = CHUNK) -> DataFrame:
     return groups.select("fps").mapInArrow(_bucket_links(max_bits), "u long, v long").distinct()
 
 
-def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
-    """doc_id, fp (long) and component_id (smallest doc_id in reach) for every row of ``docs`` (doc_id, text)."""
-    prepare(docs.sparkSession)
-    marked = staged(docs.select(long_id(), "text").mapInArrow(_fingerprints(words), "doc_id long, fp long"), "simhash")
+def _with_component(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``marked`` (doc_id, fp and more) with component_id."""
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(links(distinct.select("fp"), max_bits))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = staged(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-class")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = staged(rooted.join(lowest, "root").select("fp", "root", "component_id"), "simhash-class")
+    return marked.join(of_fp, "fp")
+
+
+def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
+    """doc_id, fp (long) and component_id (smallest doc_id in reach) for every row of ``docs`` (doc_id, text)."""
+    prepare(docs.sparkSession)
+    marked = staged(docs.select(long_id(), "text").mapInArrow(_fingerprints(words), "doc_id long, fp long"), "simhash")
+    return _with_component(marked, max_bits).select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id. Columns as given.
+    """``docs`` with one row of each component that has a doc_id: one of the smallest doc_id. Columns as given.
 
-    Rows with null doc_id stay, and so do all rows of a kept doc_id, which are one document."""
-    keep, = fresh(docs, "kept_id")
-    kept = simhash_components(docs, words, max_bits).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(keep)).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long") == F.col(keep), "left").where(F.col(keep).isNotNull() | F.col("doc_id").isNull()).select(*docs.columns)
+    Of several rows with that doc_id in one component, the smallest SHA-256 of the text decides; rows that share
+    doc_id and text are one document, of which any one row is kept. Rows with null doc_id stay."""
+    prepare(docs.sparkSession)
+    keep, digest, rows = fresh(docs, "kept_id", "kept_text", "kept_rows")
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    given = docs.where(F.col("doc_id").cast("long").isNotNull())
+    marked = staged(docs.select(long_id(), "text", text.alias("digest")).mapInArrow(_fingerprints(words), "doc_id long, fp long, digest string"), "simhash")
+    lowest = _with_component(marked, max_bits).where(F.col("doc_id") == F.col("component_id"))
+    alike = lowest.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
+    best = alike.groupBy("root").agg(F.min(F.struct("digest", "doc_id", "n")).alias("x"))
+    kept = staged(best.select(F.col("x.doc_id").alias(keep), F.col("x.digest").alias(digest), F.col("x.n").alias(rows)), "simhash-kept")
+
+    def of(some: DataFrame) -> DataFrame:
+        return given.join(some, (F.col("doc_id").cast("long") == F.col(keep)) & (text == F.col(digest)))
+
+    out = of(kept.where(F.col(rows) == 1)).select(*docs.columns).union(docs.where(F.col("doc_id").cast("long").isNull()))
+    repeated = kept.where(F.col(rows) > 1)
+    if not repeated.isEmpty():
+        out = out.union(of(repeated).dropDuplicates([keep, digest]).select(*docs.columns))
+    return out

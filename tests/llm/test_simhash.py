@@ -83,6 +83,15 @@ def test_near_dedup_keeps_one_and_columns(docs_of):
     assert sorted([r.doc_id for r in out.collect()], key=str) == sorted([1, 3, None], key=str)
 
 
+def test_near_dedup_keeps_one_row_of_a_group(docs_of):
+    copy, other, third = "a b c d e f", "other words entirely different here", "yet another text that nobody has written before"
+    # repeated rows of 1; 4 is kept for one group and shares its id with a row of another
+    docs = docs_of([(1, copy), (1, copy), (1, "A  B c d e f"), (2, copy), (4, other), (5, other), (5, third), (6, third), (4, copy)])
+    got = [(r.doc_id, r.text.lower().split()) for r in simhash.near_dedup(docs).collect()]
+    assert sorted(got) == [(1, copy.split()), (4, other.split()), (5, third.split())]
+    assert simhash.near_dedup(docs_of([(7, None), (7, ""), (7, " ")])).count() == 1
+
+
 def test_empty(docs_of):
     assert simhash.simhash_components(docs_of([])).count() == 0
 
