@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, bpe, chat, decontam, lines, pii, quality, simhash, toxicity, warc
+from . import ann, bpe, chat, decontam, lines, orc, pii, quality, resample, runs, simhash, toxicity, warc
 from .common import long_id
 
 QUERIES: dict = {}
@@ -138,6 +138,72 @@ def op9(spark, sf_dir):
     return ann.search(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+# CRC-32 of a blob as list folds: the byte table, then the bytes
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, k:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS byte)"""
+
+
+def _crc(text: str) -> str:
+    digits = f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {digits}), lambda c, b: xor(c >> 8, byte[(xor(c, b) & 255) + 1])))"
+
+
+@_query("op11_importance_resampling", sql=f"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
+dw AS (SELECT k, f, count(*) AS n FROM (SELECT k, unnest(w) AS f FROM d) GROUP BY k, f),
+bw AS (SELECT f, count(*) AS n FROM (SELECT unnest(w) AS f FROM b) GROUP BY f),
+h AS (SELECT f, {_crc('f')} % 10000 AS bucket FROM (SELECT f FROM dw UNION SELECT f FROM bw) AS every, crc),
+src AS (SELECT bucket, CAST(sum(n) AS DOUBLE) AS s FROM dw JOIN h USING (f) GROUP BY bucket),
+tgt AS (SELECT bucket, CAST(sum(n) AS DOUBLE) AS t FROM bw JOIN h USING (f) GROUP BY bucket),
+alls AS (SELECT (SELECT coalesce(sum(s), 0) FROM src) AS all_s, (SELECT coalesce(sum(t), 0) FROM tgt) AS all_t),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) AS BIGINT) AS g
+         FROM src LEFT JOIN tgt USING (bucket), alls),
+wt AS (SELECT k, sum(n * g) AS weight FROM dw JOIN h USING (f) JOIN gain USING (bucket) GROUP BY k),
+sc AS (SELECT d.k, doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+         (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+       FROM d LEFT JOIN wt ON d.k = wt.k),
+r AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM sc WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM sc LEFT JOIN r USING (k)""")
+def op11(spark, sf_dir):
+    out = resample.resample(_docs(spark, sf_dir), read_table(spark, sf_dir, "benchmark").select("text"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query("op12_token_orc")
+def op12(spark, sf_dir):
+    import public_tokenizers
+    return orc.round_trip(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query("op13_periodic_runs", sql=f"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS k, doc_id, {_crc('CAST(doc_id AS VARCHAR)')} AS h,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w0 FROM documents, crc),
+e AS (SELECT *, len(w0) AS n, CASE WHEN len(w0) > 0 THEN (h // 10) % len(w0) END AS a FROM d),
+t AS (SELECT k, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+             w0[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) ELSE w0 END AS w FROM e),
+p AS (SELECT k, unnest(w) AS x, unnest(range(n)) AS i FROM t),
+q AS (SELECT l.k, l.i, r.i - l.i AS q FROM p AS l JOIN p AS r ON l.k = r.k AND l.x = r.x AND r.i > l.i),
+g AS (SELECT k, q, min(i) AS start, count(*) + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM q) GROUP BY k, q, island),
+u AS (SELECT k, start, length, min(q) AS period FROM g WHERE length >= greatest(6, 4 * q) GROUP BY k, start, length),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY length DESC, start, period) AS place FROM u) WHERE place = 1),
+listed AS (SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+           FROM u GROUP BY k),
+gone AS (SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM u),
+kept AS (SELECT k, string_agg(x, ' ' ORDER BY i) AS words FROM p ANTI JOIN gone USING (k, i) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (k) LEFT JOIN best USING (k) LEFT JOIN kept USING (k)""")
+def op13(spark, sf_dir):
+    return runs.find_runs(runs.with_planted_tails(_docs(spark, sf_dir)))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
