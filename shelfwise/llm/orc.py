@@ -9,10 +9,9 @@ excludes by those indexes; column pruning leaves ids unread where only counts ar
 
 Encoding: a text is cut before a blank or line feed that follows a character that is no white space, and between a
 Latin letter or digit and a punctuation mark. No match of the tokenizer's split pattern crosses such a place and no
-added token holds one, so the cut pieces encode on their own to the whole text's ids. A worker remembers the ids of
-pieces (bounded by ``PIECES`` and ``PIECE_CHARS``); of those it meets for the first time, a single word goes to the
-library's model directly, others through the whole library, many at a time where their places allow. Texts of any
-length are read in blocks of pieces.
+added token holds one, so the cut pieces encode on their own to the whole text's ids. A worker remembers the ids of pieces (at most ``PIECES`` of at most ``LONGEST``
+characters); of those it meets for the first time, a single word goes to the library's model directly, others through
+the whole library. Texts of any length are read in blocks of pieces.
 
 Defined results: null text is empty text and holds only the end id; strings of special tokens are ordinary text; a
 null doc_id sorts first; repeated rows of one doc_id are rows of their own, in order of their text (documents
@@ -37,9 +36,8 @@ from pyspark.sql import functions as F
 from .common import long_id, prepare
 
 SCHEMA = "range int, doc_id long, before long, n_tokens long, ids array<int>"
-PIECES, PIECE_CHARS = 400_000, 6_000_000
+PIECES, LONGEST = 1_000_000, 48
 BLOCK = 1 << 20
-JOINED = 1 << 17
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters in every version of Unicode
@@ -65,75 +63,43 @@ def pieces_of(text: str) -> list[str]:
     return CUT.split(text) if OTHER_SPACE.search(text) else PLAIN.findall(text)
 
 
-class PieceEncoder:
-    """Ids of whole texts by a tokenizer file, through a bounded table of pieces."""
+class _Pieces(dict):
+    """Ids of pieces, as bytes. When full, the newer half of the entries stays."""
 
-    def __init__(self, path: str, limit: int = PIECES):
+    def __init__(self, path: str, limit: int):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)  # a byte-level token has a character per byte
-        for token, i in vocab.items():
-            self.sizes[i] = len(token)
-        self.limit, self.chars, self.ids = limit, 0, {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
-
-    def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.ids]
-        if len(self.ids) + len(new) > self.limit or self.chars > PIECE_CHARS:
-            self.ids = {p: self.ids[p] for p in pieces if p in self.ids}
-            self.chars = sum(map(len, self.ids))
-        self.chars += sum(map(len, new))
-        group, size = [], 0
-        tokenize = self.tokenizer.model.tokenize
-        for p in new:
-            if WORD.fullmatch(p):
-                chars = p.replace(" ", BLANK) if p.isascii() else p.encode().decode("latin-1").translate(BYTE_CHARS)
-                ids = [t.id for t in tokenize(chars)]
-                self.ids[p] = pack(f"<{len(ids)}i", *ids)
-            elif p[0] in " \n" and not p[-1].isspace():  # the place before it and the one behind it stay cuts
-                group.append(p)
-                size += len(p)
-                if size >= JOINED:
-                    self._learn_joined(group)
-                    group, size = [], 0
+        self.model, self.limit, self.older = self.tokenizer.model, limit // 2, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            if WORD.fullmatch(piece):
+                chars = piece.replace(" ", BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
+                ids = [t.id for t in self.model.tokenize(chars)]
             else:
-                self.ids[p] = self._ids(p).tobytes()
-        self._learn_joined(group)
-
-    def _learn_joined(self, group: list[str]) -> None:
-        ids = self._ids("".join(group))
-        ends = np.cumsum(self.sizes[ids])
-        wanted = np.cumsum([len(p.encode()) for p in group])
-        last = np.searchsorted(ends, wanted)
-        if not np.array_equal(ends[last], wanted):
-            raise ValueError("a token crosses a cut: the tokenizer file is not byte-level")
-        flat, a = ids.tobytes(), 0
-        for p, b in zip(group, (4 * (last + 1)).tolist()):
-            self.ids[p] = flat[a:b]
-            a = b
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        out, waiting, size = [[] for _ in texts], [], 0
-
-        def flush():
-            self._learn(set().union(*(pieces for _, pieces in waiting)))
-            for k, pieces in waiting:
-                out[k].append(b"".join(map(self.ids.__getitem__, pieces)))
-            waiting.clear()
-        for k, text in enumerate(texts):
-            for block in blocks(text or ""):
-                waiting.append((k, pieces_of(block)))
-                size += len(block)
-                if size >= BLOCK:
-                    flush()
-                    size = 0
-        flush()
-        return [np.frombuffer(b"".join(parts), "<i4") for parts in out]
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            found = pack(f"<{len(ids)}i", *ids)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
+class PieceEncoder:
+    """Ids of whole texts by a tokenizer file, through a bounded table of pieces."""
+
+    def __init__(self, path: str, limit: int = PIECES):
+        self.pieces = _Pieces(path, limit)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        parts = (b"".join(map(self.pieces.__getitem__, pieces_of(block))) for block in blocks(text or ""))
+        return np.frombuffer(b"".join(parts), "<i4")
 
 
 _WORKER: dict = {}
@@ -149,8 +115,7 @@ def _encode(path: str, end_id: int):
     def run(batches):
         encoder, part, before = _encoder(path), TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = b.column("text").to_pylist()
-            ids = [np.append(x, np.int32(end_id)) for x in encoder.encode(texts)]
+            ids = [np.append(encoder.encode(t), np.int32(end_id)) for t in b.column("text").to_pylist()]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             ends = np.cumsum(sizes)
             flat = np.concatenate(ids or [np.zeros(0, "<i4")])

@@ -35,10 +35,9 @@ def brute(rows, plain):
 def test_pieces_encode_like_whole_texts(plain, monkeypatch):
     rng, encoder = random.Random(5), orc.PieceEncoder(PATH, limit=300)
     texts = ["".join(rng.choices(ODD, k=rng.randint(0, 16))) for _ in range(4000)]
-    assert [x.tolist() for x in encoder.encode(texts)] == [plain(t) for t in texts]
-    monkeypatch.setattr(orc, "BLOCK", 7)
-    monkeypatch.setattr(orc, "JOINED", 20)
-    assert [x.tolist() for x in encoder.encode(texts[:1500])] == [plain(t) for t in texts[:1500]]
+    assert [encoder.encode(t).tolist() for t in texts] == [plain(t) for t in texts]
+    monkeypatch.setattr(orc.blocks, "__defaults__", (7,))
+    assert [encoder.encode(t).tolist() for t in texts[:1500]] == [plain(t) for t in texts[:1500]]
     assert all("".join(orc.blocks(t, 5)) == t for t in texts)
 
 
