@@ -8,6 +8,7 @@ from ..oracle.fixture_sql import CTES
 from ..params import ROLLING_WINDOW_TICKS
 from ..operators.numbering import number_rows
 from ..sources.fixture import Fixture
+from ..sources.tables import read_table
 from ..streaming import jobs, pos
 from .catalog import numbered_skus
 from .registry import register
@@ -34,9 +35,10 @@ def _universe(spark, sf_dir, listing_ids):
     return pos.listing_universe(stores, numbered_skus(fx.dim_sku), n_stores, n_skus, listing_ids)
 
 
-def live(spark, sf_dir):
-    raw = jobs.run_listing_state(spark, sf_dir, GLOB)
-    return jobs.live_state(spark, raw, _universe(spark, sf_dir, raw.select("listing_id")))
+def live(spark, sf_dir, last_ticks=False):
+    """Every micro-batch is joined to the stores and SKUs as they are then."""
+    raw = jobs.run_listing_state(spark, sf_dir, GLOB, attributes=lambda ids: _universe(spark, sf_dir, ids))
+    return jobs.live_state(spark, raw, last_ticks=last_ticks)
 
 
 CTES["pos_state"] = f"""
@@ -77,7 +79,7 @@ def q_t7(spark, sf_dir):
           round_cols=("velocity",))
 def q_t8(spark, sf_dir):
     """On-hand and velocity per store from the published state."""
-    return pos.hot_item_panel(live(spark, sf_dir))
+    return pos.hot_item_panel(live(spark, sf_dir, last_ticks=True))
 
 
 @register("t9_stock_alerts",
@@ -92,7 +94,7 @@ def q_t8(spark, sf_dir):
              GROUP BY status""")
 def q_t9(spark, sf_dir):
     """T9 + F18 + F29: stock alerts per status with the first five store names."""
-    return pos.stock_alerts(pos.hot_item_panel(live(spark, sf_dir)))
+    return pos.stock_alerts(pos.hot_item_panel(live(spark, sf_dir, last_ticks=True)))
 
 
 @register("t2_recent_ticks",
@@ -103,3 +105,29 @@ def q_t9(spark, sf_dir):
 def q_t2_recent(spark, sf_dir):
     """The last 30 ticks of the live ticker (ordered top-k over the published tick table)."""
     return jobs.run_units_per_tick(spark, sf_dir, GLOB).orderBy(F.col("tick_start").desc()).limit(30)
+
+
+@register("t1_replayed_files",
+          """SELECT time_bucket(INTERVAL 1 hour, CAST(ts AS TIMESTAMP)) AS tick_start,
+                    CAST(SUM(1 + event_id % 3) AS BIGINT) AS units, SUM(value) AS revenue
+             FROM events WHERE event_type = 'purchase' GROUP BY 1""",
+          round_cols=("revenue",))
+def q_t1_replayed(spark, sf_dir):
+    """A landing folder that holds every event file twice gives the ticks of one delivery."""
+    landing = jobs.land_twice(read_table(spark, sf_dir, "events"), files=4)
+    return jobs.run_units_per_tick(spark, landing, "*.parquet", pos.LATENESS)  # the landed files have no order
+
+
+@register("t12_visitor_sessions",
+          """WITH e AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS ts, event_id, event_type, value FROM events WHERE user_id IS NOT NULL),
+                  b AS (SELECT *, CASE WHEN ts <= LAG(ts) OVER w + INTERVAL 30 minutes THEN 0 ELSE 1 END AS opens
+                        FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+                  n AS (SELECT *, SUM(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit FROM b)
+             SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 minutes AS session_end, COUNT(*) AS n_events,
+                    CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 + event_id % 3 ELSE 0 END) AS BIGINT) AS units,
+                    CAST(SUM(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) AS DOUBLE) AS revenue
+             FROM n GROUP BY user_id, visit""",
+          round_cols=("revenue",))
+def q_t12(spark, sf_dir):
+    """Visitor sessions (session_window, 30-minute gap, watermark) of the event-file stream."""
+    return jobs.run_visitor_sessions(spark, sf_dir, GLOB)
