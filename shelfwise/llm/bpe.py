@@ -75,6 +75,7 @@ class Transducer:
                 self.prefixes.setdefault(b[:i], -1)
         self.prefixes.update(ranks)
         self.pairs: dict[int, bool] = {}
+        self.parts: dict[int, tuple[int, ...] | None] = {}
         self._reset()
 
     def _reset(self):
@@ -103,13 +104,44 @@ class Transducer:
                 ranks[i - 1] = rank_of(parts[i - 1] + parts[i], none)
         return [self.ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, ...] | None:
+        """The two tokens whose merge made ``token``; () for a byte, None for a token that merging never makes."""
+        if token not in self.parts:
+            data = self.bytes_of[token]
+            made = () if len(data) == 1 else None
+            if len(data) > 1 and self.merge(data) == [token]:
+                made = next((left, right) for left, right in
+                            ((self.ranks.get(data[:i]), self.ranks.get(data[i:])) for i in range(1, len(data)))
+                            if left is not None and right is not None and self._meet(left, right, token))
+            self.parts[token] = made
+        return self.parts[token]
+
+    def _meet(self, left: int, right: int, limit: int) -> bool:
+        """Whether merging keeps a boundary between two tokens until the merge of rank ``limit``.
+
+        Merges are undone along the boundary, the latest first: the tokens that meet there at that time must not
+        have merged before. Of equal ranks the left one merged first."""
+        while True:
+            joint = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
+            if joint is not None and joint < limit:
+                return False
+            from_left, from_right = self.halves(left), self.halves(right)
+            if from_left is None or from_right is None:
+                return False
+            if from_left and (left > right or not from_right):
+                left, limit = from_left[1], left
+            elif from_right:
+                right, limit = from_right[0], right + 1
+            else:
+                return True
+
     def follows(self, before: int, token: int) -> bool:
+        """Whether merging the bytes of both tokens (of ``token`` alone if ``before`` is -1) gives them back."""
         key = before << 32 | token
         ok = self.pairs.get(key)
         if ok is None:
-            want = [token] if before < 0 else [before, token]
-            ok = self.merge(b"".join(self.bytes_of[t] for t in want)) == want
-            if len(self.pairs) >= 2 * self.max_states:
+            ok = self.halves(token) is not None if before < 0 else self._meet(before, token, sys.maxsize)
+            if len(self.pairs) >= 4 * self.max_states:
                 self.pairs.clear()
             self.pairs[key] = ok
         return ok
@@ -127,11 +159,11 @@ class Transducer:
                     closed = (n, token, way[2] + (token,))
         alive.append(closed)  # the way on which a token has just closed
         first = alive[0]
-        same = 0
-        for k, token in enumerate(first[2]):
-            if any(w[2][k:k + 1] != (token,) for w in alive):
-                break
-            same = k + 1
+        same = len(first[2])
+        for w in alive[1:]:
+            same = min(same, len(w[2]))
+            while first[2][:same] != w[2][:same]:
+                same -= 1
         cut = first[0]
         if cut or same:
             alive = [(b - cut, t, c[same:]) for b, t, c in alive]
@@ -155,17 +187,20 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit integers."""
+    """Piece -> its ids as little-endian unsigned 32-bit integers. When full, the newer half of the entries stays."""
 
     def __init__(self, transducer: Transducer, limit: int):
         super().__init__()
-        self.transducer, self.limit = transducer, limit
+        self.transducer, self.limit, self.older = transducer, limit // 2, {}
 
     def __missing__(self, piece: str) -> bytes:
-        encoded = self.transducer.encode(piece.encode())
-        ids = pack(f"<{len(encoded)}I", *encoded)
+        ids = self.older.get(piece)
+        if ids is None:
+            encoded = self.transducer.encode(piece.encode())
+            ids = pack(f"<{len(encoded)}I", *encoded)
         if len(piece) <= 48:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -201,7 +236,7 @@ class Utf8Stream:
 class Codec:
     """``ranks``: token bytes to id; ``pattern``: the split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 150_000, max_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = 150_000, max_pieces: int = 500_000):
         self.find_bmp, self.find_any = compile_pattern(pattern, BMP).findall, compile_pattern(pattern).findall
         self.pieces = _Pieces(Transducer(ranks, max_states), max_pieces)
         top = max(ranks.values()) + 1

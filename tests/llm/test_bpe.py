@@ -72,3 +72,12 @@ def test_documents(docs_of, pair):
     assert sorted([(r.doc_id, r.ids_sha256, r.decoded_sha256) for r in out], key=str) == want
     assert all(r.n_tokens == len(r.ids) for r in out)
     assert bpe.encode_documents(docs_of([]), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_the_boundary_check_equals_merging_anew(pair):
+    tr = pair[0].pieces.transducer
+    rng, ids = random.Random(9), sorted(tr.bytes_of)
+    for _ in range(20000):
+        a, b = rng.choice([-1, rng.choice(ids), rng.choice(ids[:600])]), rng.choice([rng.choice(ids), rng.choice(ids[:600])])
+        want = [b] if a < 0 else [a, b]
+        assert tr.follows(a, b) == (tr.merge(b"".join(tr.bytes_of[t] for t in want)) == want), (a, b)
