@@ -22,8 +22,9 @@ def weekly_demand(sales: DataFrame, n_partitions: int | None = None) -> DataFram
     """Sales grain (N14): units and revenue per (location, sku, week), hash-partitioned by listing.
 
     The partial aggregate runs map-side, so a hot SKU is combined before the
-    shuffle; the explicit (location_id, sku_id) repartition is the one exchange
-    every later listing aggregate, join and window reuses.
+    shuffle; the explicit (location_id, sku_id) repartition deals the aggregated
+    rows as the bucketed table does that keeps them, so each bucket is one file
+    and later listing aggregates, joins and windows need no exchange.
     """
     g = (sales.groupBy("location_id", "location_type", "region_code", "sku_id", "style_id", "week_id")
          .agg(F.sum("units").alias("units"), F.sum("revenue_cents").alias("revenue_cents")))
@@ -83,6 +84,10 @@ def sell_through(dense: DataFrame) -> DataFrame:
     (NO_FREEZE when none) to build it (E5 + E7). Adds s_t, cum_demand,
     realized_cum_sales, realized_sales, on_hand, on_hand_units,
     weeks_of_supply, unmet_cum_demand.
+
+    A frame that goes on from an earlier run carries its closing state per
+    listing as opening_demand, opening_realized and opening_recent (null for a
+    listing that starts now); they are dropped.
     """
     w = Window.partitionBy(*LISTING_KEYS).orderBy("week_id")
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -91,20 +96,53 @@ def sell_through(dense: DataFrame) -> DataFrame:
     s_t = F.least(F.col("initial_alloc") + F.col("replenish_rate") * growth, F.col("supply_cap"))
     if "s_t" not in dense.columns:
         dense = dense.withColumn("s_t", s_t)
+    goes_on = "opening_demand" in dense.columns
+    cum_demand, before = F.sum("demand_units").over(cum), F.lag("realized_cum_sales", 1, 0.0).over(w)
+    trailing = F.avg("realized_sales").over(last4)
+    if goes_on:
+        cum_demand = cum_demand + F.coalesce("opening_demand", F.lit(0).cast("long"))
+        before = F.coalesce(F.lag("realized_cum_sales", 1).over(w), F.col("opening_realized"), F.lit(0.0))
+        recent = F.coalesce("opening_recent", F.array().cast("array<int>"))
+        taken = F.least(F.size(recent), F.lit(4) - F.count("realized_sales").over(last4).cast("int"))
+        carried = F.aggregate(F.slice(recent, F.size(recent) - taken + 1, taken), F.lit(0).cast("long"), lambda a, x: a + x)
+        trailing = (F.sum("realized_sales").over(last4) + carried).cast("double") / (F.count("realized_sales").over(last4) + taken)
     # one projection per dependency level (each withColumn call re-analyses the whole window plan)
     out = (dense
-           .withColumn("cum_demand", F.sum("demand_units").over(cum))
+           .withColumn("cum_demand", cum_demand)
            .withColumn("realized_cum_sales", F.least(F.col("cum_demand").cast("double"), F.col("s_t")))
            .withColumns({
-               "realized_sales": F.round(F.greatest(F.col("realized_cum_sales")
-                                                    - F.lag("realized_cum_sales", 1, 0.0).over(w), F.lit(0.0))).cast("int"),
+               "realized_sales": F.round(F.greatest(F.col("realized_cum_sales") - before, F.lit(0.0))).cast("int"),
                "on_hand": F.greatest(F.col("s_t") - F.col("realized_cum_sales"), F.lit(0.0))})
            .withColumns({"on_hand_units": F.round("on_hand").cast("int"),
-                         "trailing4": F.avg("realized_sales").over(last4)})
+                         "trailing4": trailing})
            .withColumns({
                "weeks_of_supply": F.least(F.coalesce(safe_div("on_hand", "trailing4"), F.lit(52.0)), F.lit(52.0)),
                "unmet_cum_demand": F.col("cum_demand") - F.col("realized_cum_sales")}))
-    return out.drop("trailing4")
+    return out.drop("trailing4", *OPENING)
+
+
+OPENING = ["opening_demand", "opening_realized", "opening_recent"]
+
+
+def closing_state(rows: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """What the sell-through needs to go on after ``rows`` (its output up to some week): per listing the
+    cumulative demand, the realised cumulative sales and the last three realised weeks, oldest first.
+
+    ``opening`` is the state before ``rows``; its listings without a row keep theirs. One row per listing and one
+    exchange at most (none over a table bucketed by listing), whatever the length of the history."""
+    last = F.max_by(F.struct("cum_demand", "realized_cum_sales"), "week_id")
+    recent = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("week_id", "realized_sales")))), 1, 3)  # a listing's weeks
+    new = (rows.groupBy(*LISTING_KEYS).agg(last.alias("l"), recent.alias("r"))
+           .select(*LISTING_KEYS, F.col("l.cum_demand").alias("opening_demand"), F.col("l.realized_cum_sales").alias("opening_realized"),
+                   F.reverse(F.col("r.realized_sales")).alias("opening_recent")))
+    if opening is None:
+        return new
+    old = opening.select(*LISTING_KEYS, *[F.col(c).alias(f"old_{c}") for c in OPENING])
+    both = F.concat(F.coalesce("old_opening_recent", F.array().cast("array<int>")), F.coalesce("opening_recent", F.array().cast("array<int>")))
+    return new.join(old, LISTING_KEYS, "full").select(
+        *LISTING_KEYS, F.coalesce("opening_demand", "old_opening_demand").alias("opening_demand"),
+        F.coalesce("opening_realized", "old_opening_realized").alias("opening_realized"),
+        F.slice(both, F.greatest(F.size(both) - 2, F.lit(1)), 3).alias("opening_recent"))
 
 
 def sku_expansion(styles: DataFrame, colours: Column, sizes: Column) -> DataFrame:
@@ -131,21 +169,46 @@ def run_engine(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None =
     (location_id, sku_id); the listing aggregate, the gap-filling join and all
     windows reuse it (requireAllClusterKeysForCoPartition=false).
     """
-    listings = listing_windows(weekly)
-    plan = supply_plan(listings, F.col("total_units"))
-    plan = plan.join(dim_style.select("style_id", "launch_week"), "style_id", "left")
-    plan = plan.withColumn("freeze_week", freeze if freeze is not None else F.lit(NO_FREEZE))
-    if plan_fn is not None:  # what-if edits of the supply plan (E6), per listing, before the explode
-        plan = plan_fn(plan)
+    plan = listing_plan(weekly, dim_style, freeze, plan_fn)
     if until_week is not None:
         # every window looks backwards only, so weeks past ``until_week`` never change earlier rows
-        plan = plan.withColumn("assortment_end_week", F.least("assortment_end_week", F.lit(until_week))) \
-                   .where(F.col("assortment_start_week") <= until_week)
-    dense = explode_weeks(plan)
+        plan = _weeks(plan, 1, until_week)
+    return sell_through(dense_weeks(plan, weekly))
+
+
+def listing_plan(weekly: DataFrame, dim_style: DataFrame, freeze: Column | None = None, plan_fn=None) -> DataFrame:
+    """The supply plan (E5-E7) of every listing: one row with its window, cap, refill, launch and freeze week."""
+    plan = supply_plan(listing_windows(weekly), F.col("total_units"))
+    plan = plan.join(dim_style.select("style_id", "launch_week"), "style_id", "left")
+    plan = plan.withColumn("freeze_week", freeze if freeze is not None else F.lit(NO_FREEZE))
+    # what-if edits of the supply plan (E6), per listing, before the explode
+    return plan if plan_fn is None else plan_fn(plan)
+
+
+def _weeks(plan: DataFrame, first: int, last: int) -> DataFrame:
+    """The plan's listings that are active in the weeks ``first`` to ``last``, their windows cut to them."""
+    return (plan.where((F.col("assortment_start_week") <= last) & (F.col("assortment_end_week") >= first))
+            .withColumns({"assortment_start_week": F.greatest("assortment_start_week", F.lit(first)),
+                          "assortment_end_week": F.least("assortment_end_week", F.lit(last))}))
+
+
+def dense_weeks(plan: DataFrame, weekly: DataFrame) -> DataFrame:
+    """E3 + J3: a row per listing and week of its window with the week's demand and revenue (0 where none)."""
     demand = weekly.select("location_id", "sku_id", "week_id",
                            F.col("units").alias("demand_units_raw"), F.col("revenue_cents").alias("revenue_raw"))
-    dense = (dense.join(demand, ["location_id", "sku_id", "week_id"], "left")
-             .withColumn("demand_units", F.coalesce(F.col("demand_units_raw"), F.lit(0)).cast("long"))
-             .withColumn("revenue_cents", F.coalesce(F.col("revenue_raw"), F.lit(0).cast("long")))
-             .drop("demand_units_raw", "revenue_raw"))
-    return sell_through(dense)
+    return (explode_weeks(plan).join(demand, ["location_id", "sku_id", "week_id"], "left")
+            .withColumn("demand_units", F.coalesce(F.col("demand_units_raw"), F.lit(0)).cast("long"))
+            .withColumn("revenue_cents", F.coalesce(F.col("revenue_raw"), F.lit(0).cast("long")))
+            .drop("demand_units_raw", "revenue_raw"))
+
+
+def resume(plan: DataFrame, weekly: DataFrame, first_week: int, last_week: int, opening: DataFrame | None = None) -> DataFrame:
+    """E9 for the weeks ``first_week`` to ``last_week`` of a fixed supply plan, going on from ``opening`` (the closing
+    state of all weeks before; none at the start). Reads the demand of those weeks only; the rows equal those of a
+    run over all weeks."""
+    window = {"window_start": "assortment_start_week", "window_end": "assortment_end_week"}
+    cut = _weeks(plan.withColumns({k: F.col(c) for k, c in window.items()}), first_week, last_week)
+    if opening is not None:
+        cut = cut.join(opening, LISTING_KEYS, "left")
+    out = sell_through(dense_weeks(cut, weekly.where(F.col("week_id").between(first_week, last_week))))
+    return out.drop(*window.values()).withColumnsRenamed(window)  # a row keeps its listing's window, not the cut one

@@ -39,9 +39,8 @@ def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: Da
     One pass over the weeks as_of-7..as_of (a pushed-down range filter; on a
     week-partitioned M2 it prunes folders): the trailing average over the rows
     that exist and the as-of row's values come out of one aggregate per
-    listing, so the inventory frame is read once. The result ends in one hash
-    exchange on the listing key, which every consumer of the signals in the
-    same plan (rules, supply risk, roll-ups) reuses instead of recomputing.
+    listing, so the inventory frame is read once. Over a table bucketed by
+    listing the aggregate needs no exchange.
     """
     at = F.col("week_id") == as_of_week
     w = (m2.where(F.col("week_id").between(as_of_week - 7, as_of_week))
@@ -70,7 +69,7 @@ def inventory_imbalance_signals(m2: DataFrame, dim_sku: DataFrame, dim_style: Da
                / (F.col("trailing_avg") * remaining)).alias("overstock_pct"),
         F.when(v > 0, (F.col("on_hand_units") / F.col("trailing_avg")) * 7).alias("stockout_est_days"),
     )
-    return out.repartition("location_id", "sku_id")
+    return out
 
 
 def returns_scorecard(sales: DataFrame, returns: DataFrame, dim_sku: DataFrame, dim_style: DataFrame,

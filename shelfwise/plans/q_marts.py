@@ -24,8 +24,7 @@ class Gold:
         fx = self.fx
 
         def build():
-            engine = eng.run_engine(fx.weekly, fx.dim_style, until_week=fx.sc.as_of_week)
-            return marts.inventory_imbalance_signals(marts.weekly_demand_store_sku(engine), fx.dim_sku, fx.dim_style, fx.sc.as_of_week)
+            return marts.inventory_imbalance_signals(marts.weekly_demand_store_sku(fx.engine), fx.dim_sku, fx.dim_style, fx.sc.as_of_week)
         return fx.once("signals", build)
 
     @cached_property
@@ -177,6 +176,22 @@ def q_e9(spark, sf_dir):
                     "realized_sales", "on_hand_units", "weeks_of_supply", "unmet_cum_demand")
 
 
+@register("e9_resumed_sell_through",
+          """SELECT location_id, sku_id, week_id, demand_units, s_t, cum_demand, realized_cum_sales, realized_sales,
+                    on_hand_units, weeks_of_supply, unmet_cum_demand FROM fx_engine""")
+def q_e9_resumed(spark, sf_dir):
+    """E9 in two parts: the weeks up to the as-of week, a written closing state, and the weeks after it from there."""
+    fx = Fixture(spark, sf_dir)
+    weekly, k = fx.weekly, fx.sc.as_of_week
+    plan = fx.once("listing_plan", lambda: eng.listing_plan(weekly, fx.dim_style), eng.LISTING_KEYS)
+    done = fx.once("engine_until_as_of", lambda: eng.resume(plan, weekly, 1, k), eng.LISTING_KEYS, ["week_id"])
+    closing = fx.once("engine_closing", lambda: eng.closing_state(done), eng.LISTING_KEYS)
+    rest = eng.resume(plan, weekly, k + 1, fx.sc.n_weeks, closing)
+    columns = ["location_id", "sku_id", "week_id", "demand_units", "s_t", "cum_demand", "realized_cum_sales",
+               "realized_sales", "on_hand_units", "weeks_of_supply", "unmet_cum_demand"]
+    return done.select(*columns).unionByName(rest.select(*columns))
+
+
 @register("e2_store_sku_assortment", "SELECT * FROM fx_assortment")
 def q_assortment(spark, sf_dir):
     """Listing windows of the fixture: first/last sale week per region × SKU."""

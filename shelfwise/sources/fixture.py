@@ -61,9 +61,9 @@ class Fixture:
     def _files(self) -> tuple:
         return source_files(self.spark, self.sf_dir, ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"])
 
-    def once(self, name: str, build) -> DataFrame:
+    def once(self, name: str, build, bucket_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
         """A derived table, written to the shared folder on first use and read back."""
-        return once(self.spark, (self.sf_dir, repr(self.sc), self._files[0]), name, build)
+        return once(self.spark, (self.sf_dir, repr(self.sc), self._files[0]), name, build, bucket_by, sort_by)
 
     def bytes_of(self, table: str) -> int:
         return self._files[1].get(table, 1 << 62)
@@ -345,7 +345,8 @@ def _attach_engine_views():
     from ..operators import engine as eng
 
     def weekly(self) -> DataFrame:
-        return self.once("weekly", lambda: eng.weekly_demand(self.sales))
+        # bucketed by listing: the engine and everything after it run where the rows lie
+        return self.once("weekly", lambda: eng.weekly_demand(self.sales), eng.LISTING_KEYS, ["week_id"])
 
     def assortment_of(self, weekly: DataFrame) -> DataFrame:
         return eng.listing_windows(weekly).select(
@@ -359,7 +360,7 @@ def _attach_engine_views():
         return self.assortment_of(self.weekly)
 
     def engine(self) -> DataFrame:
-        return eng.run_engine(self.weekly, self.dim_style)
+        return self.once("engine", lambda: eng.run_engine(self.weekly, self.dim_style), eng.LISTING_KEYS, ["week_id"])
 
     def inventory(self) -> DataFrame:
         return self.engine.select(

@@ -31,13 +31,26 @@ def source_files(spark: SparkSession, root: str, names: list[str]) -> tuple[tupl
     return tuple(sorted((r.name, r.size, r.mark) for r in rows)), {r.name: r.size for r in rows}
 
 
-def once(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name`` of the source ``key``: written on first use, read back afterwards."""
+def once(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], bucket_by: list[str] | None = None,
+         sort_by: list[str] | None = None) -> DataFrame:
+    """The table ``name`` of the source ``key``: written on first use, read back afterwards.
+
+    ``bucket_by`` writes a catalog table bucketed and sorted by those columns, as many buckets as shuffle partitions:
+    aggregates, joins and windows over them in later jobs need no exchange. Build it with ``repartition`` on the
+    same columns, so that a bucket is one file."""
     at = (spark.sparkContext.applicationId, *key, name)
     if at not in _WRITTEN:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/derived-{name}-{uuid.uuid4().hex}"
+        mark = uuid.uuid4().hex
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/derived-{name}-{mark}"
         df = build()
-        df.write.parquet(path)
-        _WRITTEN[at] = (path, df.schema)
-    path, schema = _WRITTEN[at]
-    return spark.read.schema(schema).parquet(path)
+        if bucket_by:
+            table = f"derived_{name}_{mark}"
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            (df.write.format("parquet").bucketBy(buckets, *bucket_by).sortBy(*bucket_by, *(sort_by or []))
+             .option("path", path).saveAsTable(table))
+            _WRITTEN[at] = (table, None)
+        else:
+            df.write.parquet(path)
+            _WRITTEN[at] = (path, df.schema)
+    where, schema = _WRITTEN[at]
+    return spark.table(where) if schema is None else spark.read.schema(schema).parquet(where)

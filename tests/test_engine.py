@@ -1,4 +1,6 @@
 """Constrained sell-through (E9, E10, E12) by hand and as invariants."""
+import random
+
 from pyspark.sql import functions as F
 
 from shelfwise.operators import engine as eng
@@ -53,3 +55,32 @@ def test_engine_plan_shares_one_exchange_for_windows(spark):
     plan = e._jdf.queryExecution().executedPlan().toString()
     # windows, the gap-filling join and the listing aggregate sit on the weekly (location, sku) exchange
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_a_resumed_engine_equals_one_pass(spark):
+    """Closing states after several cuts, with listings that start, end and pause around them."""
+    rng = random.Random(3)
+    weekly = [(f"L{i % 3}", "Store", "R", f"S{i}", f"T{i % 4}", w, rng.randint(0, 9), 100 * w) for i in range(25)
+              for w in sorted(rng.sample(range(1, 31), rng.randint(1, 12)))]
+    weekly = spark.createDataFrame(weekly, "location_id string, location_type string, region_code string, sku_id string, style_id string, "
+                                           "week_id int, units int, revenue_cents long")
+    styles = spark.createDataFrame([(f"T{i}", 1 + 3 * i) for i in range(4)], "style_id string, launch_week int")
+    plan = eng.listing_plan(weekly, styles, freeze=F.when(F.col("style_id") == "T1", F.lit(9)).otherwise(F.lit(eng.NO_FREEZE)))
+    whole = eng.run_engine(weekly, styles, freeze=F.when(F.col("style_id") == "T1", F.lit(9)).otherwise(F.lit(eng.NO_FREEZE)))
+    rows = lambda df: sorted(map(tuple, df.select(*whole.columns).collect()), key=str)
+    want = rows(whole)
+    for cuts in ([14], [1, 2, 3], [8, 9, 22]):
+        got, opening, first = [], None, 1
+        for last in [*cuts, 30]:
+            part = eng.resume(plan, weekly, first, last, opening)
+            got += rows(part)
+            opening = eng.closing_state(part, opening)
+            first = last + 1
+        assert sorted(got, key=str) == want, cuts
+    assert opening.count() == 25
+
+
+def test_closing_state_by_hand(spark):
+    rows = spark.createDataFrame([("L", "S", w, 10 * w, 1.5 * w, w) for w in range(1, 6)] + [("L", "Z", 2, 7, 3.0, 4)],
+                                 "location_id string, sku_id string, week_id int, cum_demand long, realized_cum_sales double, realized_sales int")
+    assert sorted(map(tuple, eng.closing_state(rows).collect())) == [("L", "S", 50, 7.5, [3, 4, 5]), ("L", "Z", 7, 3.0, [4])]

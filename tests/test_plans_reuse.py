@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expr import exact_sum
+from shelfwise.operators import engine as eng
 from shelfwise.operators import sampling
 from shelfwise.operators.broadcast import checked_broadcast
 from shelfwise.operators.numbering import number_rows
@@ -36,6 +37,16 @@ def test_queries_read_the_written_fact(spark):
     assert _scans(fx._sales_base(), "lineitem") == 1
 
 
+def test_stored_facts_are_read_without_an_exchange(spark):
+    """The engine and weekly demand are bucketed by listing: m2 is a scan, and so are the engine's joins and windows."""
+    q, _ = all_queries()
+    assert "Exchange hashpartitioning" not in _executed(q["m2_weekly_demand_store_sku"](spark, SF_SMALL))
+    fx = Fixture(spark, SF_SMALL)
+    plan = fx.once("listing_plan", lambda: eng.listing_plan(fx.weekly, fx.dim_style), eng.LISTING_KEYS)
+    assert "hashpartitioning(location_id" not in _executed(eng.resume(plan, fx.weekly, 100, 140))
+    assert "hashpartitioning(location_id" not in _executed(eng.run_engine(fx.weekly, fx.dim_style))
+
+
 def test_roll_ups_do_not_read_the_fanned_out_exposure(spark):
     g = gold(Fixture(spark, SF_SMALL))
     fan, folded = g.m5, g.exposed
@@ -44,7 +55,7 @@ def test_roll_ups_do_not_read_the_fanned_out_exposure(spark):
 
 def test_changed_sources_are_derived_anew(spark, tmp_path):
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")  # not its read-only mode
     new = F.col("style_id").startswith("Brand#99")
     assert Fixture(spark, str(tmp_path)).dim_style.where(new).count() == 0
     part = Fixture(spark, str(tmp_path)).table("part").toPandas()
