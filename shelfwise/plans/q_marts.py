@@ -1,10 +1,15 @@
 """Registered gold-mart queries (M1-M6) and the engine tables (E3-E12), with their SQL twins."""
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
+from pyspark.sql import functions as F
+
 from ..oracle.fixture_sql import AS_OF, AS_OF_DATE, CTES, lit
 from ..params import DEFAULT as SC
+from ..session import ensure_checkpoint_dir
+from ..sources import incremental
 from ..sources.fixture import Fixture
 from ..operators import engine as eng
 from . import marts
@@ -60,13 +65,14 @@ def cohort(fx: Fixture):
 
 
 # ------------------------------------------------------------------ SQL twins of the marts (shared CTEs)
+# first one row per selling place and week, then the style's regions
 CTES["gold_m1"] = """
-SELECT t.style_id, t.region_code, t.week_id, cal.week_start_date, cal.fiscal_year, cal.fiscal_season,
-       CAST(t.pieces AS BIGINT) AS units, t.cents / 100.0 AS gross_revenue, len(t.places) AS n_locations
-FROM (SELECT style_id, region_code, week_id, SUM(units) AS pieces, CAST(SUM(revenue_cents) AS DOUBLE) AS cents,
-             list_distinct(list(location_id)) AS places
-      FROM fx_sales GROUP BY ALL) t, fx_dim_week cal
-WHERE cal.week_id = t.week_id"""
+WITH place AS (SELECT style_id, region_code, week_id, location_id, SUM(units) AS pieces, SUM(revenue_cents) AS cents
+               FROM fx_sales GROUP BY style_id, region_code, week_id, location_id)
+SELECT style_id, region_code, week_id, week_start_date, fiscal_year, fiscal_season, CAST(SUM(pieces) AS BIGINT) AS units,
+       CAST(SUM(cents) AS DOUBLE) / 100.0 AS gross_revenue, COUNT(*) AS n_locations
+FROM place JOIN fx_dim_week USING (week_id)
+GROUP BY style_id, region_code, week_id, week_start_date, fiscal_year, fiscal_season"""
 
 CTES["gold_m2"] = """
 SELECT location_id, location_type, region_code, sku_id, week_id, on_hand_units, weeks_of_supply,
@@ -192,6 +198,21 @@ def q_e9_resumed(spark, sf_dir):
     return done.select(*columns).unionByName(rest.select(*columns))
 
 
+@register("s5_incremental_layers", "SELECT * FROM gold_m1")
+def q_s5(spark, sf_dir):
+    """S2 + S5 + S8: M1 built without the lines of two weeks, then refreshed with all lines; only those weeks are rebuilt."""
+    fx = Fixture(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    columns = ["location_id", "region_code", "style_id", "week_id", "units", "revenue_cents"]
+    lines = fx.sales.select(*columns)
+    tables = {"m1": lambda part: marts.weekly_demand_style_region(part, fx.dim_week)}
+    late = [fx.sc.as_of_week - 1, fx.sc.as_of_week]
+    incremental.refresh(lines.where(~F.col("week_id").isin(late)), root, tables)
+    incremental.refresh(lines, root, tables)
+    schema = tables["m1"](lines).schema
+    return spark.read.schema(schema).parquet(f"{root}/m1").select(*schema.names)
+
+
 @register("e2_store_sku_assortment", "SELECT * FROM fx_assortment")
 def q_assortment(spark, sf_dir):
     """Listing windows of the fixture: first/last sale week per region × SKU."""
