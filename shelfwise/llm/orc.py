@@ -7,11 +7,12 @@ keeps minimum and maximum of each stripe and row group, and a Bloom filter on do
 between stripes, so stripes are read in parallel, and skips stripes and row groups that a pushed doc_id filter
 excludes by those indexes; column pruning leaves ids unread where only counts are asked.
 
-Encoding: a text is cut before a blank or line feed that follows a character that is no white space, and between a
-Latin letter or digit and a punctuation mark. No match of the tokenizer's split pattern crosses such a place and no
-added token holds one, so the cut pieces encode on their own to the whole text's ids. A worker remembers the ids of pieces (at most ``PIECES`` of at most ``LONGEST``
-characters); of those it meets for the first time, a single word goes to the library's model directly, others through
-the whole library. Texts of any length are read in blocks of pieces.
+Encoding: a text is cut before a blank or line feed that follows a character that is no white space, behind a line
+feed between two such characters, and between a Latin letter or digit and a punctuation mark. No match of the
+tokenizer's split pattern crosses such a place, so the cut pieces encode on their own to the whole text's ids. A
+worker remembers the ids of pieces (at most ``PIECES`` of at most ``LONGEST`` characters); of those it meets for the
+first time, a single word or number goes to the library's model directly, others through the whole library. Texts of
+any length are read in blocks of pieces.
 
 Defined results: null text is empty text and holds only the end id; strings of special tokens are ordinary text; a
 null doc_id sorts first; repeated rows of one doc_id are rows of their own, in order of their text (documents
@@ -41,8 +42,9 @@ BLOCK = 1 << 20
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters in every version of Unicode
-PLAIN = re.compile(rf"[ \n]*[0-9{LATIN}]+(?=[,.;:!? \n])|[ \n]*[^ \n]+|[ \n]+")
-WORD = re.compile(rf" ?[{LATIN}]+")  # one match of the split pattern
+MARK = r"!-&(-/:-@\[-`{-~"  # ASCII but the apostrophe
+PLAIN = re.compile(rf"\n(?=[^ \n])|[ \n]*[0-9{LATIN}]+(?=[{MARK} \n])|[ \n]*[^ \n]+|[ \n]+")
+WORD = re.compile(rf" ?(?:[{LATIN}]+|[0-9]+)")  # one match of the split pattern
 # fixed values of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and on
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}

@@ -13,7 +13,7 @@ from shelfwise.llm import orc
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [" ", "  ", "\n", "\t", "　", "\x1c", "\x85", "\xa0", "a", "é", "日本", "!", "'s", "'", "1", "23", "<|endoftext|>", "\r", "​",
-       "\U0001F600", "a,", "b.c", "x;", "é!", "ß:", "9.", "don't", "ab", "ſ", "ŉ"]
+       "\U0001F600", "a,", "b.c", "x;", "é!", "ß:", "9.", "don't", "ab", "ſ", "ŉ", "$$$", "x&&", "\n\n", "9-9", "a_b", "(c)", "\nw"]
 
 
 @pytest.fixture(scope="module")
