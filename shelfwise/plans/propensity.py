@@ -39,6 +39,27 @@ def fit_propensity(data: DataFrame, max_iter: int = 1000):
     return Pipeline(stages=stages).fit(d.withColumn("is_high_frequency", F.col("is_high_frequency").cast("double")))
 
 
+def fit_gradient(data: DataFrame, model) -> DataFrame:
+    """L3 certificate: one row per weight (the intercept is weight -1) with the gradient of the regularised mean loss at
+    the fitted weights, as distributed sums, and the weight's mean absolute feature value, its natural scale.
+
+    The loss is strictly convex in the regularised weights, so a vanishing gradient proves that they are the optimum,
+    whatever solver found them."""
+    fitted = model.stages[-1]
+    scored = model.transform(data.withColumn("is_cohort_f", F.col("is_cohort").cast("double"))
+                             .withColumn("is_high_frequency", F.col("is_high_frequency").cast("double")))
+    miss = vector_to_array("probability")[1] - F.col("is_high_frequency")
+    x = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
+    terms = scored.select(miss.alias("miss"), F.posexplode(x).alias("k", "x"))
+    sums = terms.groupBy((F.col("k") - 1).alias("weight")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg(F.col("miss") * F.col("x")).alias("loss_gradient"), F.avg(F.abs("x")).alias("scale"))
+    weights = data.sparkSession.createDataFrame(
+        [(-1, 0.0)] + [(i, float(w)) for i, w in enumerate(fitted.coefficients)], "weight int, w double")  # one row per feature
+    lam = fitted.getRegParam()
+    return sums.join(F.broadcast(weights), "weight").select(
+        "weight", "n_rows", (F.col("loss_gradient") + F.lit(lam) * F.col("w")).alias("gradient"), "scale")
+
+
 def rank_clients(data: DataFrame, model, n: int = 37) -> DataFrame:
     """L4: clients by propensity, highest first (ties by id), top n."""
     scored = model.transform(data.withColumn("is_cohort_f", F.col("is_cohort").cast("double"))

@@ -196,6 +196,19 @@ def q_l4(spark, sf_dir):
     return pr.rank_clients(data, pr.fit_propensity(data))
 
 
+@register("l3_fit_gradient",
+          f"""SELECT CAST(unnest(range(-1, n_features)) AS INTEGER) AS weight, n_rows, TRUE AS at_optimum
+               FROM (SELECT COUNT(*) AS n_rows, COUNT(DISTINCT loyalty_tier) - 1 + 4 AS n_features
+                     FROM fx_dim_customer WHERE home_region = {lit(SC.cohort_region)}) s""")
+def q_l3_gradient(spark, sf_dir):
+    """L3: proof of the fit: every weight's gradient of the regularised loss is below 1e-6 of its feature's scale."""
+    from . import propensity as pr
+    from .q_marts import cohort
+    data = pr.with_target(cohort(Fixture(spark, sf_dir)), SC.cohort_region)
+    g = pr.fit_gradient(data, pr.fit_propensity(data))
+    return g.select("weight", "n_rows", (F.abs("gradient") <= 1e-6 * F.greatest(F.lit(1.0), F.col("scale"))).alias("at_optimum"))
+
+
 @register("m36_outreach_revenue",
           f"""SELECT n_clients, avg_order_value, n_clients * avg_order_value * 0.35 AS expected_revenue
               FROM (SELECT CAST(LEAST(37, (SELECT COUNT(*) FROM fx_dim_customer WHERE home_region = {lit(SC.cohort_region)})) AS DOUBLE) AS n_clients,
