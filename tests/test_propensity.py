@@ -47,5 +47,9 @@ def test_logistic_matches_newton(spark):
     labels = model.stages[0].labels
     assert labels == ["Private Client", "Platinum", "Gold"]
     assert np.allclose(ours, w, atol=1e-3), (ours, w)
+    g = pr.fit_gradient(data, model).collect()
+    assert len(g) == 7 and all(abs(r.gradient) < 1e-6 * max(1.0, r.scale) and r.n_rows == 300 for r in g)
+    early = pr.fit_gradient(data, pr.fit_propensity(data, max_iter=1)).collect()  # stopped before the optimum
+    assert any(abs(r.gradient) > 1e-3 for r in early)
     top = pr.rank_clients(data, model, 37).collect()
     assert len(top) == 37 and all(a.propensity >= b.propensity for a, b in zip(top, top[1:]))
