@@ -1,18 +1,23 @@
 """Approximate nearest neighbours by learned partitions (largest inner product).
 
-Fitting, on a bounded sample (``max_sample`` distinct vectors with the smallest id hash, on the driver): the
+Fitting, on a bounded sample (``max_sample`` distinct vectors with the smallest hash, on the driver): the
 sample's neighbour graph is cut into balanced parts - recursive bisection along principal directions, then
 rounds of moves to the part that holds most of a vector's neighbours, under a capacity per part. A small
 classifier (one hidden layer) learns the parts from vectors; its targets are the shares of the parts among a
-vector and its neighbours. The number of parts to probe is the smallest that reaches ``recall`` on sample
-queries that the fit has not seen, against brute force over the sample (or is given).
+vector and its neighbours. Parts grow with the square root of the rows, between ``PARTS`` and a part per
+``PART_SAMPLE`` sample vectors.
+
+Calibration, in Spark: the true nearest of ``HELD_OUT`` queries, whose vectors the fit has not seen, are found
+by brute force over the whole table. The number of parts to probe is the smallest for which the mean recall of
+these queries, less ``SAFETY`` standard errors, reaches ``recall`` (or it is given).
 
 Searching, in Spark: every vector of the table is indexed in its most probable part; a query is routed to its
-``probes`` most probable parts. A part with more rows or queries than a block holds is cut into blocks by id
-hash, and each (part, row block, query block) is one group, so one common vector cannot fill a task. Groups
-collapse equal vectors, rerank all that can be among the best ``k`` within the rounding of the fast product with
-inner products summed in one fixed order, and return their best ``k`` per query, which are merged by score and
-vec_id. A query that met fewer than ``k`` candidates in its parts is searched in all parts.
+``probes`` most probable parts. A part with more rows than a block holds is cut into blocks by id hash. A vector
+is shuffled once, to its block; a query goes to every block of its parts. Blocks arrive sorted, vectors before
+queries, so a task holds one block and at most ``QUERY_BLOCK`` queries at a time, however many queries a part
+has. Equal vectors of a block are one; all that can be among the best ``k`` within the rounding of the fast
+product are reranked with inner products summed in one fixed order; the best ``k`` of each block are merged by
+score and vec_id. A query that met fewer than ``k`` candidates in its parts is searched in all parts.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; a null vec_id takes no part; repeated rows of a vec_id are one candidate each and a
@@ -24,19 +29,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, smallest_hashes, staged
 
 MAX_SAMPLE = 8192
-PARTS = 32
+PARTS, PART_SAMPLE = 32, 32
 RECALL = 0.95
-HELD_OUT = 512
+HELD_OUT, SAFETY = 256, 2.0
 NEIGHBOURS = 16
-ROW_BLOCK, QUERY_BLOCK = 4096, 1024
+ROW_BLOCK, QUERY_BLOCK = 16384, 256
 HIDDEN = 96
 
 
@@ -137,17 +141,48 @@ def fit(sample: np.ndarray, parts: int = PARTS) -> Router | None:
     return fit_router(x, target)
 
 
-def calibrate(router: Router, asked: np.ndarray, x: np.ndarray, k: int, recall: float) -> int:
-    """The fewest probes that find the share ``recall`` of the true ``k`` nearest of ``asked`` in ``x``."""
-    parts = router.w2.shape[1]
-    k = min(k, len(x))
-    if not len(asked) or not k:
+def fewest_probes(places: list[np.ndarray], parts: int, recall: float) -> int:
+    """``places``: per query, how many parts must be probed to meet each of its true nearest."""
+    places = [p for p in places if len(p)]
+    if not places:
         return parts
-    top = np.argpartition(-(asked @ x.T), k - 1, axis=1)[:, :k]
-    place = np.argsort(router.rank(asked), axis=1)  # part to its rank, per query
-    need = np.take_along_axis(place, router.rank(x)[:, 0][top], axis=1)
-    reached = np.cumsum(np.bincount(need.ravel(), minlength=parts)) / need.size
-    return int(np.argmax(reached >= recall)) + 1
+    met = np.stack([np.cumsum(np.bincount(p - 1, minlength=parts)) / len(p) for p in places])
+    error = met.std(axis=0, ddof=1) / len(met) ** 0.5 if len(met) > 1 else np.ones(parts)
+    error[-1] = 0  # all parts hold all
+    return int(np.argmax(met.mean(axis=0) - SAFETY * error >= recall)) + 1
+
+
+def _true_nearest(bc, k: int):
+    """The k nearest within a task's rows, of every broadcast query."""
+    def run(batches):
+        qid, asked = bc.value
+        score, ids, parts = np.full((len(qid), k), -np.inf), np.full((len(qid), k), -1), np.zeros((len(qid), k), np.int64)
+        for b in batches:
+            if b.num_rows:
+                own = b.column("vec_id").to_numpy()
+                s = asked @ _matrix(b.column("v")).T
+                s[qid[:, None] == own] = -np.inf
+                s = np.concatenate([score, s], axis=1)
+                top = np.argpartition(-s, k - 1, axis=1)[:, :k]
+                score = np.take_along_axis(s, top, 1)
+                ids = np.take_along_axis(np.concatenate([ids, np.broadcast_to(own, (len(qid), len(own)))], axis=1), top, 1)
+                home = b.column("part").to_numpy()
+                parts = np.take_along_axis(np.concatenate([parts, np.broadcast_to(home, (len(qid), len(home)))], axis=1), top, 1)
+        real = score > -np.inf
+        yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(real)[0], pa.int32()), pa.array(score[real], pa.float64()), pa.array(ids[real], pa.int64()), pa.array(parts[real], pa.int32())],
+                                         names=["query", "score", "vec_id", "part"])
+    return run
+
+
+def calibrate(home: DataFrame, router: Router, qid: np.ndarray, asked: np.ndarray, k: int, recall: float) -> int:
+    """The fewest probes that find the share ``recall`` of the true ``k`` nearest of ``asked`` in the whole table."""
+    parts = router.w2.shape[1]
+    bc = home.sparkSession.sparkContext.broadcast((qid, asked))  # at most HELD_OUT vectors
+    near = home.mapInArrow(_true_nearest(bc, k), "query int, score double, vec_id long, part int")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    true = near.withColumn("place", place).where(F.col("place") <= k).select("query", "part").toPandas()  # at most HELD_OUT * k rows
+    order = np.argsort(router.rank(asked), axis=1) + 1  # part to its rank, per query
+    return fewest_probes([order[q, rows.to_numpy()] for q, rows in true.groupby("query")["part"]], parts, recall)
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -175,36 +210,72 @@ def _ranked(bc, n: int):
     return run
 
 
-def _best(k: int):
-    def run(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(asked):
-            return pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
-        x, ids = np.stack(rows["v"].to_numpy()), rows["vec_id"].to_numpy()
-        # equal vectors are one: copies are ids[first[i]:first[i + 1]], ascending
+class Block:
+    """Vectors of a block; equal vectors are one, with their ids ascending."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray):
         _, one, same = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1])))[:, 0], return_index=True, return_inverse=True)
-        x, order = x[one], np.lexsort((ids, same))
-        ids, first = ids[order], np.concatenate([[0], np.cumsum(np.bincount(same))])
-        low, high = ids[first[:-1]], ids[first[1:] - 1]
+        self.x, order = x[one], np.lexsort((ids, same))
+        self.ids, self.first = ids[order], np.concatenate([[0], np.cumsum(np.bincount(same))])  # copies are ids[first[i]:first[i + 1]]
+        self.low, self.high = self.ids[self.first[:-1]], self.ids[self.first[1:] - 1]
         # twice the most that two ways of summing can differ
-        size, rounding = np.linalg.norm(x, axis=1), 4 * (x.shape[1] + 2) * np.finfo(float).eps
-        out = []
-        for i in range(0, len(asked), 256):
-            part = asked.iloc[i:i + 256]
-            qid, q = part["query_id"].to_numpy(), np.stack(part["asked"].to_numpy())
-            s = q @ x.T
-            s[(qid[:, None] == low) & (low == high)] = -np.inf
-            n = min(k, s.shape[1])
-            margin = rounding * np.linalg.norm(q, axis=1)[:, None] * size + np.finfo(float).tiny
-            # everything that can be as good as the k-th; the exact scores decide
-            edge = -np.partition(margin - s, n - 1, axis=1)[:, n - 1]
-            for r in range(len(qid)):
-                at = np.flatnonzero((s[r] + margin[r] >= edge[r]) & (s[r] > -np.inf))
-                score = exact(q[r], x[at])
-                copies = [c[c != qid[r]][:k] for c in (ids[first[j]:first[j + 1]] for j in at)]
-                score, near = np.repeat(score, [len(c) for c in copies]), np.concatenate([ids[:0], *copies])
-                best = np.lexsort((near, -score))[:k]
-                out.append(pd.DataFrame({"query_id": qid[r], "q": part["q"].iloc[r], "vec_id": near[best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []})
+        self.size, self.rounding = np.linalg.norm(self.x, axis=1), 4 * (x.shape[1] + 2) * np.finfo(float).eps
+
+    def nearest(self, qid: np.ndarray, asked: np.ndarray, k: int):
+        """Per query, vec_ids and exact scores of its best ``k``."""
+        s = asked @ self.x.T
+        s[(qid[:, None] == self.low) & (self.low == self.high)] = -np.inf
+        n = min(k, s.shape[1])
+        margin = self.rounding * np.linalg.norm(asked, axis=1)[:, None] * self.size + np.finfo(float).tiny
+        # everything that can be as good as the k-th; the exact scores decide
+        edge = -np.partition(margin - s, n - 1, axis=1)[:, n - 1]
+        for r in range(len(qid)):
+            at = np.flatnonzero((s[r] + margin[r] >= edge[r]) & (s[r] > -np.inf))
+            score = exact(asked[r], self.x[at])
+            copies = [c[c != qid[r]][:k] for c in (self.ids[self.first[j]:self.first[j + 1]] for j in at)]
+            score, near = np.repeat(score, [len(c) for c in copies]), np.concatenate([self.ids[:0], *copies])
+            best = np.lexsort((near, -score))[:k]
+            yield near[best], score[best]
+
+
+def _scan(k: int, most: int):
+    """Rows sorted by block, vectors before queries: holds one block and at most ``most`` queries."""
+    def answers(block, waiting):
+        qid, q, asked = (np.concatenate(c) for c in zip(*waiting))
+        found = list(block.nearest(qid, asked, k))
+        sizes = [len(ids) for ids, _ in found]
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, sizes), pa.int64()), pa.array(np.repeat(q, sizes), pa.int64()), pa.array(np.concatenate([i for i, _ in found]), pa.int64()),
+                                           pa.array(np.concatenate([s for _, s in found]), pa.float64())], names=["query_id", "q", "vec_id", "score"])
+
+    def run(batches):
+        key, rows, block, waiting = None, [], None, []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part, r, asks = (b.column(c).to_numpy(zero_copy_only=False) for c in ("part", "r", "asks"))
+            ids, q, x = b.column("id").to_numpy(), b.column("q").to_numpy(), _matrix(b.column("v"))
+            cuts = np.flatnonzero((np.diff(part) != 0) | (np.diff(r) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                if key != (part[i], r[i]):
+                    if waiting:
+                        yield answers(block, waiting)
+                    key, rows, block, waiting = (part[i], r[i]), [], None, []
+                if not asks[i]:
+                    rows.append((x[i:j], ids[i:j]))
+                    continue
+                if block is None:
+                    if not rows:
+                        continue  # a block without vectors
+                    block, rows = Block(*(np.concatenate(c) for c in zip(*rows))), []
+                while i < j:
+                    n = min(j - i, most - sum(len(w[0]) for w in waiting))
+                    waiting.append((ids[i:i + n], q[i:i + n], x[i:i + n]))
+                    i += n
+                    if sum(len(w[0]) for w in waiting) >= most:
+                        yield answers(block, waiting)
+                        waiting = []
+        if waiting:
+            yield answers(block, waiting)
     return run
 
 
@@ -216,41 +287,44 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return s
 
 
-def _search(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """rows: vec_id, v, part; asked: query_id, q, v, part. Best k of each group, merged."""
-    size = rows.groupBy("part").agg(F.ceil(F.count("*") / ROW_BLOCK).cast("int").alias("rb"))
-    load = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("qb"))
-    plan = F.broadcast(size.join(load, "part"))  # a row per part
-    left = (rows.join(plan, "part").withColumn("r", F.pmod(F.xxhash64("vec_id", "v"), F.col("rb")).cast("int"))
-            .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("qb") - 1))).select("part", "r", "b", "vec_id", "v"))
-    right = (asked.join(plan, "part").withColumn("b", F.pmod(F.xxhash64("query_id", "q"), F.col("qb")).cast("int"))
-             .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rb") - 1))).select("part", "r", "b", "query_id", "q", F.col("v").alias("asked")))
-    keys = ["part", "r", "b"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(k), "query_id long, q long, vec_id long, score double")
+def _search(home: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """home: vec_id, v, part; asked: query_id, q, v, part. Best k of each block."""
+    wanted = asked.select("part").distinct()
+    blocks = F.broadcast(home.groupBy("part").agg(F.ceil(F.count("*") / ROW_BLOCK).cast("int").alias("rb")).join(wanted, "part"))  # a row per part
+    rows = home.join(blocks, "part").select("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("rb")).cast("int").alias("r"), F.lit(False).alias("asks"), F.col("vec_id").alias("id"), F.lit(0).cast("long").alias("q"), "v")
+    queries = (asked.join(blocks, "part").withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)))
+               .select("part", "r", F.lit(True).alias("asks"), F.col("query_id").alias("id"), "q", "v"))
+    sent = rows.unionByName(queries).repartition("part", "r").sortWithinPartitions("part", "r", "asks")
+    return sent.mapInArrow(_scan(k, QUERY_BLOCK), "query_id long, q long, vec_id long, score double")
 
 
-def search(embeddings: DataFrame, every: int = 20, k: int = 20, parts: int = PARTS, recall: float = RECALL,
+def search(embeddings: DataFrame, every: int = 20, k: int = 20, parts: int | None = None, recall: float = RECALL,
            probes: int | None = None, max_sample: int = MAX_SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row whose vec_id is divisible by ``every``."""
     spark = embeddings.sparkSession
     prepare(spark)
     rows = usable(embeddings)
-    hashed = rows.select(F.xxhash64("v").alias("h"), "v")
+    queries = rows.where(F.col("vec_id") % every == 0)
+    tried = queries.join(F.broadcast(smallest_hashes(queries.select("vec_id"), HELD_OUT)), "vec_id").groupBy("vec_id").agg(F.min("v").alias("v"))  # at most HELD_OUT rows
+    tried = tried.withColumn("h", F.xxhash64("v")).orderBy("vec_id").toPandas()
+    hashed = rows.select(F.xxhash64("v").alias("h"), "v").where(~F.col("h").isin(tried["h"].tolist()))
     chosen = F.broadcast(smallest_hashes(hashed.select("h"), max_sample))  # at most max_sample numbers
     sample = hashed.join(chosen, "h").groupBy("h").agg(F.first("v").alias("v")).orderBy("h").select("v").toPandas()
     x = np.array(sample["v"].tolist(), float).reshape(len(sample), -1 if len(sample) else 1)
-    unseen = min(HELD_OUT, len(x) // 8)
-    router = fit(x[unseen:], parts)
-    n = min(probes or calibrate(router, x[:unseen], x[unseen:], k, recall), router.w2.shape[1]) if router else 1
-    ranked = staged(rows.mapInArrow(_ranked(spark.sparkContext.broadcast(router), n), "vec_id long, v array<double>, parts array<int>"), "ann-index")
-    home = ranked.select("vec_id", "v", F.col("parts")[0].alias("part"))
-    queries = ranked.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("q"), "v", "parts")
+    router = fit(x, parts or max(PARTS, min(int(rows.count() ** 0.5 / 8), max_sample // PART_SAMPLE)))
+    count = router.w2.shape[1] if router else 1
+    shared = spark.sparkContext.broadcast(router)
+    schema = "vec_id long, v array<double>, parts array<int>"
+    home = staged(rows.mapInArrow(_ranked(shared, 1), schema).select("vec_id", "v", F.col("parts")[0].alias("part")), "ann-index")
+    n = min(probes or calibrate(home, router, tried["vec_id"].to_numpy(), np.array(tried["v"].tolist(), float).reshape(len(tried), -1 if len(tried) else 1), k, recall), count) if router else 1
+    own = F.col("vec_id") % every == 0
+    queries = (staged(home.where(own).select("vec_id", "v").dropDuplicates().mapInArrow(_ranked(shared, n), schema), "ann-queries")
+               .select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("q"), "v", "parts"))
     found = staged(_search(home, queries.select("query_id", "q", "v", F.explode("parts").alias("part")), k), "ann-found")
     counts = found.groupBy("query_id", "q").agg(F.count("*").alias("n"))
     short = queries.join(counts, ["query_id", "q"], "left").where(F.coalesce("n", F.lit(0)) < k).select("query_id", "q", "v")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit((router.w2.shape[1] if router else 1) - 1)))
     if router and not short.isEmpty():
-        again = _search(home, short.withColumn("part", everywhere).select("query_id", "q", "v", "part"), k)
+        again = _search(home, short.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).select("query_id", "q", "v", "part"), k)
         found = found.join(short.select("query_id", "q"), ["query_id", "q"], "left_anti").union(again)
     best = found.groupBy("query_id", "q").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("worse"), "vec_id"))), 1, k).alias("top"))
     flat = best.select("query_id", F.posexplode("top").alias("pos", "hit"))

@@ -1,5 +1,4 @@
 import numpy as np
-import pandas as pd
 import pytest
 
 from shelfwise.llm import ann
@@ -45,6 +44,25 @@ def test_recall_ties_and_unusable_rows(spark):
     assert np.mean(share) >= 0.9
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_probes_hold_for_queries_that_calibration_has_not_seen(seed):
+    x = np.array([v for _, v in data(3000, seed)])
+    asked, ids = np.arange(0, 3000, 20), np.arange(3000)
+    tried, others = asked[::2], asked[1::2]
+    router = ann.fit(np.delete(x, tried, axis=0), 32)
+    home, parts = router.rank(x)[:, 0], router.w2.shape[1]
+
+    def places(queries):
+        order = np.argsort(router.rank(x[queries]), axis=1) + 1
+        for i, q in enumerate(queries):
+            s = x @ x[q]
+            s[q] = -np.inf
+            yield order[i, home[np.lexsort((ids, -s))[:20]]]
+
+    n = ann.fewest_probes(list(places(tried)), parts, ann.RECALL)
+    assert np.mean([(p <= n).mean() for p in places(others)]) >= 0.9
+
+
 def test_all_parts_and_small_blocks_are_exact(spark, monkeypatch):
     rows = data(300, 1) + [(1000 + i, [0.25] * 8) for i in range(120)]
     monkeypatch.setattr(ann, "ROW_BLOCK", 16)
@@ -74,10 +92,9 @@ def test_copies_at_the_edge_are_cut_by_vec_id(n, m):
     for _ in range(4 if m > 7 else 40):
         asked = copies[rng.integers(0, 2, m)] + 0.3 * rng.standard_normal((m, 64))
         qid = np.where(np.arange(m) % 2, ids[-1 - np.arange(m)], 10 ** 6 + np.arange(m))
-        got = ann._best(20)(pd.DataFrame({"vec_id": ids, "v": list(x)}), pd.DataFrame({"query_id": qid, "q": np.arange(m), "asked": list(asked)}))
+        got = list(ann.Block(x, ids).nearest(qid, asked, 20))
         for i in range(m):
             s = ann.exact(asked[i], x)
             s[ids == qid[i]] = -np.inf
             best = np.lexsort((ids, -s))[:20]
-            mine = got[got["q"] == i]
-            assert mine["vec_id"].tolist() == ids[best].tolist() and mine["score"].tolist() == s[best].tolist()
+            assert got[i][0].tolist() == ids[best].tolist() and got[i][1].tolist() == s[best].tolist()
