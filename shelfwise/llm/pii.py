@@ -4,16 +4,19 @@ Patterns find e-mail addresses, IP addresses, card numbers and phone numbers in
 then labels the tokens that hold a digit or an @ (any other token can only be outside). Neighbouring tokens
 share transition potentials; distant tokens with the same content - the same digits (the last seven of longer
 phone-like ones) or the same lower-cased letters - share skip potentials, each occurrence with the next one,
-so edges grow with the tokens. Tokens inside pattern spans are clamped to their kind, and loopy message
-passing over all documents of a batch at once carries labels to the other occurrences of a document. Tokens
-whose marginal exceeds ``THRESHOLD`` become further spans beside the patterns'.
+so edges grow with the tokens. A number written with spaces is one occurrence: its tokens are linked to its last.
+Tokens inside pattern spans are clamped to their kind, and loopy message passing over all documents of a batch
+at once carries labels to the other occurrences of a document. Tokens whose marginal exceeds ``THRESHOLD``
+become further spans beside the patterns'.
 
-Weights are learned by pseudo-likelihood on a bounded sample: the tokens of the ``max_docs`` documents with
-the smallest hash among those that hold a digit or @, with the pattern spans as labels; features describe
-only a token's shape.
+Weights are learned by pseudo-likelihood on a bounded sample of documents: whole, the ``max_docs`` with the
+smallest hash among those that hold a digit or @, with the pattern spans as labels; features describe only a
+token's shape. Tokens that repeat a labelled one are neither inside nor outside for certain, so they are left out.
+Links are learned from repeats known by construction: each number of a sample document is written once more at
+its end, in turn bare, hyphenated, dotted and spaced, with and without its area code.
 
 Defined results: null text is empty text without spans; a null doc_id stays null; repeated rows are labelled
-row by row; empty tables give empty results; texts of any length are read whole in linear time.
+row by row; empty tables give empty results; texts of any length are read whole in linear time; extra columns are dropped.
 """
 from __future__ import annotations
 
@@ -32,7 +35,6 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: outside
 THRESHOLD = 0.9
 MAX_DOCS = 4000
-MAX_TOKENS = 400  # of one sample document
 TOLERANCE = 1e-3
 ROUNDS = 10  # sweeps without progress before a document's steps are halved
 MIN_STEP = 1 / 1024
@@ -99,7 +101,7 @@ def _shape(token: str) -> list[int]:
     parts = core.split(".")
     host = core.rpartition("@")[2]
     flags = (True, "@" in core, "@" in core[1:] and "." in host[1:-1], plain, plain and core.startswith("+"), token.startswith("("),
-             len(parts) == 4 and all(p.isdigit() and p.isascii() and len(p) <= 3 and int(p) <= 255 for p in parts), plain and 16 <= n <= 19 and luhn(digits),
+             _is_ip(core), plain and 16 <= n <= 19 and luhn(digits),
              any(c.isalpha() for c in core), len(core) >= 16 and all(c in "0123456789abcdefABCDEF" for c in core), "=" in token, '"' in token,
              plain and "-" in core[1:], len(parts) == 2, n == len(core) and n > 0)
     return [i for i, f in enumerate(flags) if f] + [len(flags) + size]
@@ -108,14 +110,23 @@ def _shape(token: str) -> list[int]:
 FEATURES = 15 + 8
 
 
+def _is_ip(core: str) -> bool:
+    parts = core.split(".")
+    return len(parts) == 4 and all(p.isdigit() and p.isascii() and len(p) <= 3 and int(p) <= 255 for p in parts)
+
+
+def _number_key(digits: str) -> str:
+    return "n" + (digits[-7:] if len(digits) <= 15 else digits)
+
+
 def _same_as(token: str) -> str | None:
     """What makes distant tokens similar."""
     core = token.strip(_EDGE)
     digits = _DIGITS.sub("", core)
-    if "@" in core:
+    if "@" in core or _is_ip(core):
         return core.lower()
     if len(digits) >= 7 and not any(c.isalpha() for c in core):
-        return "n" + (digits[-7:] if len(digits) <= 15 else digits) if "." not in core.strip(".") else "d" + core
+        return _number_key(digits)
     return core.lower() if len(core) >= 6 else None
 
 
@@ -138,7 +149,9 @@ def build_graph(texts: list[str], spans: list[list]) -> Graph:
         if not _ANY.search(text):
             continue
         marks = sorted((a, b, k + 1) for k, a, b in own)
-        last_end, seen, p = None, {}, 0
+        # the digits of the numbers in pattern spans, by key
+        known = {_number_key(n): n for n in sorted((_DIGITS.sub("", text[a:b]) for k, a, b in own if k >= 2), key=len)}
+        last_end, seen, p, first = None, {}, 0, len(g.doc)
         for m in _TOKEN.finditer(text):
             a, b = m.span()
             i = len(g.doc)
@@ -157,6 +170,9 @@ def build_graph(texts: list[str], spans: list[list]) -> Graph:
                 g.chain.append((i - 1, i))
             last_end = b
             key = _same_as(m[0])
+            if known:
+                key, own_tokens = _spaced(text, g, first, i, known, key)
+                g.skip += [(j, i) for j in own_tokens]
             if key is not None:
                 if key in seen:
                     g.skip.append((seen[key], i))
@@ -164,6 +180,25 @@ def build_graph(texts: list[str], spans: list[list]) -> Graph:
     return g
 
 
+def _spaced(text: str, g: Graph, first: int, last: int, known: dict, key: str | None) -> tuple[str | None, list[int]]:
+    """Key and earlier tokens of the number written with spaces that ends at token ``last``, if its digits are those
+    of a known one (or end like it)."""
+    digits, tokens, found = "", [], (key, [])
+    for j in range(last, max(first, last - 19) - 1, -1):
+        core = text[g.start[j]:g.end[j]].strip(_EDGE)
+        if not all(c in "0123456789+-. " for c in core) or j < last and text[g.end[j]:g.start[j + 1]] != " ":
+            break
+        digits = _DIGITS.sub("", core) + digits
+        whole = known.get(_number_key(digits)) if len(digits) >= 7 else None
+        if j < last:
+            tokens.append(j)
+        if whole and (whole.endswith(digits) or digits.endswith(whole)):
+            found = _number_key(digits), list(tokens)
+        if len(digits) > 19:
+            break
+    return found
+
+
 @dataclass
 class Field:
     """Weights: tokens (features x labels), neighbours and similar tokens (labels x labels)."""
@@ -260,10 +295,47 @@ def prior() -> Field:
     return Field(node, np.zeros((LABELS, LABELS)), np.eye(LABELS) * 4.0)
 
 
+def _repeated(digits: str, style: int) -> str:
+    """A number in another spelling."""
+    if len(digits) > 15:
+        return ("." if style % 2 else "").join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    local = digits[-10:]
+    parts = [local[:-7], local[-7:-4], local[-4:]]
+    return ("".join(parts), "-".join(parts[1:]), ".".join(parts).lstrip("."), " ".join(parts).lstrip(), "-".join(parts).lstrip("-"),
+            ".".join(parts[1:]))[style]
+
+
+def _with_repeats(texts: list[str]) -> tuple[list[str], list[list]]:
+    """Texts with each number of their pattern spans once more at the end; all spans."""
+    out, spans, style = [], [], 0
+    for t in texts:
+        own = base_spans(t)
+        pieces, at, extra = [t], len(t), []
+        for k, a, b in own:
+            if k >= 2:
+                again = _repeated(_DIGITS.sub("", t[a:b]), style % 6)
+                style += 1
+                extra.append((k, at + 4, at + 4 + len(again)))
+                pieces += ["    ", again]
+                at += 4 + len(again)
+        out.append("".join(pieces))
+        spans.append(own + extra)
+    return out, spans
+
+
+def _unknown(y: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """Outside tokens that similar tokens tie to a labelled one."""
+    tied = (y > 0).tolist()
+    for edges in (skip.tolist(), skip[::-1].tolist()) * 2:
+        for a, b in edges:
+            tied[a] = tied[b] = tied[a] or tied[b]
+    return np.array(tied) & (y == 0)
+
+
 def learn(texts: list[str], steps: int = 300, rate: float = 0.5, l2: float = 1e-4) -> Field:
-    """Pseudo-likelihood: each token given its shape and its neighbours' labels."""
+    """Pseudo-likelihood: each known token given its shape and its known neighbours' labels."""
     field = prior()
-    g = build_graph(texts, [base_spans(t) for t in texts])
+    g = build_graph(*_with_repeats(texts))
     n = len(g.doc)
     if not n:
         return field
@@ -271,15 +343,17 @@ def learn(texts: list[str], steps: int = 300, rate: float = 0.5, l2: float = 1e-
     for i, s in enumerate(g.shape):
         x[i, s] = 1
     y = np.array(g.base)
-    one = np.eye(LABELS)[y]
     chain, skip = (np.array(e, np.int64).reshape(-1, 2) for e in (g.chain, g.skip))
+    sure = ~_unknown(y, skip)
+    chain, skip = (e[sure[e].all(axis=1)] for e in (chain, skip))
+    one = np.eye(LABELS)[y]
     start = prior()
     for _ in range(steps):
         s = x @ field.node
         for e, w in ((chain, field.chain), (skip, field.skip)):
             np.add.at(s, e[:, 1], w[y[e[:, 0]]])
             np.add.at(s, e[:, 0], w.T[y[e[:, 1]]])
-        d = one - _normal(s)
+        d = (one - _normal(s)) * sure[:, None]
         field.node += rate * (x.T @ d / n * 20 - l2 * (field.node - start.node))
         for e, w, w0 in ((chain, field.chain, start.chain), (skip, field.skip, start.skip)):
             if len(e):
@@ -345,7 +419,7 @@ def _label_batches(bc, redact: bool):
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
-    """The sample comes to the driver as tokens' surroundings only: at most MAX_TOKENS tokens a document."""
+    """The sample comes to the driver as the surroundings of its tokens."""
     prepare(docs.sparkSession)
     held = docs.select(F.xxhash64("text").alias("h"), "text").where(F.col("text").rlike("[0-9@]"))
     chosen = F.broadcast(smallest_hashes(held.select("h"), max_docs))  # at most max_docs numbers
@@ -358,13 +432,11 @@ def _surroundings(batches):
         out = []
         for t in b.column("text").to_pylist():
             pieces, at = [], -1
-            for n, m in enumerate(_TOKEN.finditer(t)):
-                if n == MAX_TOKENS:
-                    break
+            for m in _TOKEN.finditer(t):
                 a, e = max(m.start() - 20, at), min(m.end() + 20, len(t))
                 pieces.append(t[a:e] if a == at else "\n " + t[max(a, 0):e])
                 at = e
-            out.append("".join(pieces)[:200 * MAX_TOKENS])
+            out.append("".join(pieces))
         yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(out, pa.string())], names=["h", "text"])
 
 

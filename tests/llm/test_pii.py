@@ -4,6 +4,9 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
+import pytest
 
 from shelfwise.llm import pii
 
@@ -94,3 +97,46 @@ def test_message_passing_settles_on_loops():
     g = pii.Graph([0] * n, [0] * n, [1] * n, [[0, 1 + i % 20] for i in range(n)], [0] * n, [(i, i + 1) for i in range(n - 1)], [(i, i + 7) for i in range(n - 7)])
     p = f.marginals(g)
     assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1)
+
+
+@pytest.fixture(scope="module")
+def trained():
+    texts = sorted({t for t in ds.dataset("/root/testdata/sf0.1/documents.parquet").to_table(columns=["text"])["text"].to_pylist() if t and re.search("[0-9@]", t)})
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["h", "text"])
+    return pii.learn(next(pii._surroundings([whole])).column("text").to_pylist())
+
+
+FIRST = ["+1 ({}) {}-{}", "+1 {}-{}-{}", "+44 {} {} {}", "+1.{}.{}.{}"]
+AGAIN = ["{}-{}-{}", "{}.{}.{}", "{} {} {}", "{}{}{}", "({}) {}-{}", "{1}-{2}", "{1}.{2}", "{1} {2}"]
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_trained_weights_find_other_spellings_of_a_number(trained, before):
+    rng, found, every = random.Random(4), 0, 0
+    for first in FIRST:
+        for again in AGAIN:
+            for _ in range(10):
+                n = rng.randint(201, 989), rng.randint(201, 989), rng.randint(1000, 9999)
+                other = again.format(*n)
+                parts = [f"call {first.format(*n)} now", "filler words here " * rng.randint(5, 60), f"and again {other} they said"]
+                t = " ".join(parts[::-1] if before else parts)
+                (base, spans), = pii.label_texts(trained, [t])
+                assert set(base) <= set(spans)
+                a = t.index("again ") + 6
+                covered = {i for k, x, y in set(spans) - set(base) if k == 3 for i in range(x, y)}
+                found += all(i in covered for i in range(a, a + len(other)) if t[i].isdigit())
+                every += 1
+    assert found >= 0.9 * every
+
+
+def test_trained_weights_find_a_card_with_dots_and_leave_other_numbers(trained):
+    t = "paid by 4111 1111 1111 1111 today " + "filler words here " * 30 + "card 4111.1111.1111.1111 again, mail A.B@X.ORG or a.b@x.org"
+    (base, spans), = pii.label_texts(trained, [t])
+    assert {t[a:b] for _, a, b in set(spans) - set(base)} == {"4111.1111.1111.1111"}
+    rng, added = random.Random(5), 0
+    for _ in range(200):
+        numbers = [rng.choice(["{}-{}-{}", "{}.{}", "{} {} {}", "{}{}", "{1}-{2}", "v{}.{}", "20{1}-{0}"]).format(rng.randint(201, 989), rng.randint(201, 989), rng.randint(1000, 9999)) for _ in range(12)]
+        t = f"call +1 ({rng.randint(201, 989)}) 555-{rng.randint(1000, 9999)} or ten.four@host.example from 10.9.8.{rng.randint(1, 250)} and " + " words then ".join(numbers + numbers[:4])
+        (base, spans), = pii.label_texts(trained, [t])
+        added += len(set(spans) - set(base))
+    assert added == 0
