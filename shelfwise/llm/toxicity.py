@@ -7,8 +7,13 @@ overlap by half and cover the whole text. A document's logit is its best window'
 
 Only documents are labelled, so training alternates: windows of toxic documents are picked by the current
 model (first by the log-odds of their words), windows of other documents are all negative. The embeddings'
-first coordinate starts at those log-odds. Training runs on the driver over a bounded sample, the
-``max_rows`` labelled documents with the smallest id hash, of each at most ``max_words`` evenly spread words.
+first coordinate starts at those log-odds. The sample is the ``max_rows`` labelled documents with the smallest
+id hash. Spark tasks read its texts whole: they count the documents of each word (the ``VOCAB`` most telling and
+sums by trigram bucket reach the driver), then return the windows worth learning from, that is all of a text, or
+of texts with more than ``MAX_WINDOWS`` the strongest half that number and as many evenly spread ones. The
+network is trained on those on the driver. Its threshold is fitted on the best window of every whole sample
+text, again scored in tasks.
+
 Scoring covers every row and every window: tasks project each distinct word once (a table bounded by
 ``MAX_TABLE`` words) and run the recurrences over thousands of windows at a time.
 
@@ -26,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, prepare
+from .common import fresh, prepare, staged
 from .quality import learning_rows
 
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 CHAR_BUCKETS = 4096
-MAX_ROWS, MAX_WORDS, VOCAB = 10_000, 600, 30_000
+MAX_ROWS, MAX_WINDOWS, VOCAB = 10_000, 36, 30_000
 MAX_TABLE = 150_000
 CHUNK = 4096
 STRIP = ".,;:!?\"'()[]{}<>|#$%&*@^~`=+_-/\\"
@@ -60,11 +65,19 @@ def window_starts(n: int) -> range:
     return range(0, max(n - STRIDE, 1), STRIDE) if n else range(0)
 
 
-def spread(words: list[str], most: int) -> list[str]:
-    """The words, or evenly spread windows of them if they are more than ``most``."""
-    if len(words) <= most:
-        return words
-    return [x for b in np.linspace(0, len(words) - WINDOW, most // WINDOW).astype(int) for x in words[b:b + WINDOW]]
+def stems_of(text: str | None) -> list[str]:
+    return [w.strip(STRIP) for w in words_of(text)]
+
+
+def worth_learning(stems: list[str], odds: dict, most: int = MAX_WINDOWS) -> list[int]:
+    """Window starts: all, or of more than ``most`` those with the most telling words and evenly spread ones."""
+    starts = window_starts(len(stems))
+    if len(starts) <= most:
+        return list(starts)
+    half = np.maximum.reduceat(np.fromiter((odds.get(w, 0.0) for w in stems), float, len(stems)), np.arange(0, len(stems), STRIDE))
+    strong = np.argsort(-np.maximum(half[:-1], half[1:]), kind="stable")[:most // 2]
+    even = np.linspace(0, len(starts) - 1, most - most // 2).astype(int)
+    return [starts[i] for i in sorted({*strong.tolist(), *even.tolist()})]
 
 
 def sigmoid(x):
@@ -179,53 +192,80 @@ def _log_odds(n_pos, n_neg, pos, neg):
     return np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
 
 
-def train_network(texts: list[str], y: np.ndarray, max_words: int = MAX_WORDS, rounds: int = 5, steps: int = 80, batch: int = 256, seed: int = 7) -> Network | None:
-    """None if one of the two labels is missing."""
+@dataclass
+class Evidence:
+    """Documents of both labels, and how many of them hold each telling word and each trigram bucket (summed over words)."""
+
+    n_pos: int
+    n_neg: int
+    words: list  # (stem, pos, neg), most telling first
+    gram_pos: np.ndarray
+    gram_neg: np.ndarray
+
+    def odds(self) -> dict:
+        return {w: float(_log_odds(self.n_pos, self.n_neg, pos, neg)) for w, pos, neg in self.words}
+
+
+def evidence(texts: list[str], y: np.ndarray) -> Evidence:
+    """``gather_evidence`` for texts in memory."""
+    n_pos, counts = int(y.sum()), {}
+    for t, label in zip(texts, y):
+        for w in set(stems_of(t)):
+            counts.setdefault(w, [0, 0])[0 if label else 1] += 1
+    counts.pop("", None)
+    n_neg = len(y) - n_pos
+    telling = {w: abs(_log_odds(n_pos, n_neg, p, n)) * (p + n) ** 0.5 for w, (p, n) in counts.items() if p + n >= 3}
+    words = [(w, *counts[w]) for w in sorted(telling, key=lambda w: (-telling[w], w))[:VOCAB]]
+    return Evidence(n_pos, n_neg, words, *_gram_counts(list(counts), np.array(list(counts.values())).reshape(-1, 2)))
+
+
+def _gram_counts(stems: list[str], counts: np.ndarray):
+    if not stems:
+        return np.zeros(CHAR_BUCKETS), np.zeros(CHAR_BUCKETS)
+    flat, sizes = trigrams(stems)
+    return tuple(np.bincount(flat, np.repeat(counts[:, i], sizes), CHAR_BUCKETS) for i in (0, 1))
+
+
+def train_network(texts: list[str], y: np.ndarray, **kw) -> Network | None:
+    """``train`` for texts in memory; None if one of the two labels is missing."""
     if len(y) == 0 or y.min() == y.max():
         return None
+    known = evidence(texts, y)
+    odds = known.odds()
+    windows = [(i, w[b:b + WINDOW]) for i, w in enumerate(map(stems_of, texts)) for b in worth_learning(w, odds)]
+    net = fit_network(known, [w for _, w in windows], np.array([i for i, _ in windows], np.int64), y, **kw)
+    if net:
+        net.scale, net.shift = _calibrate(Scorer(net).logits(texts), y)
+    return net
+
+
+def fit_network(known: Evidence, windows: list[list[str]], doc_of: np.ndarray, y: np.ndarray, rounds: int = 5, steps: int = 80, batch: int = 256, seed: int = 7) -> Network | None:
+    """``windows``: stems; ``doc_of``: their documents, numbers of ``y``. None without windows of toxic documents."""
+    is_pos = y[doc_of] > 0
+    if not is_pos.any():
+        return None
     rng = np.random.default_rng(seed)
-    docs, table = [], {}  # documents as numbers of stems
-    pos, neg = {}, {}
-    for t, label in zip(texts, y):
-        w = spread(words_of(t), max_words)
-        docs.append(np.fromiter((table.setdefault(x.strip(STRIP), len(table)) for x in w), np.int32, len(w)))
-        into = pos if label else neg
-        for x in np.unique(docs[-1]).tolist():
-            into[x] = into.get(x, 0) + 1
-    listed = list(table)
-    pos, neg = ({listed[i]: n for i, n in c.items()} for c in (pos, neg))
-    n_pos, n_neg = int(y.sum()), int(len(y) - y.sum())
-    seen = {w: pos.get(w, 0) + neg.get(w, 0) for w in pos.keys() | neg.keys() if w}
-    telling = {w: abs(_log_odds(n_pos, n_neg, pos.get(w, 0), neg.get(w, 0))) * c ** 0.5 for w, c in seen.items() if c >= 3}
-    frequent = sorted(telling, key=lambda w: (-telling[w], w))[:VOCAB]
+    frequent = [w for w, _, _ in known.words]
     vocab = {w: i + 1 for i, w in enumerate(frequent)}
-    gram_pos, gram_neg = np.zeros(CHAR_BUCKETS), np.zeros(CHAR_BUCKETS)
-    stems = sorted(seen)
-    flat, sizes = trigrams(stems)
-    gram_pos += np.bincount(flat, np.repeat([pos.get(w, 0) for w in stems], sizes), CHAR_BUCKETS)
-    gram_neg += np.bincount(flat, np.repeat([neg.get(w, 0) for w in stems], sizes), CHAR_BUCKETS)
     make = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
     dim = WORD_DIM + CHAR_DIM
     p = {"W": make(len(vocab) + 1, WORD_DIM) * 0.3, "C": make(CHAR_BUCKETS, CHAR_DIM) * 0.3, "If": make(dim, 3 * HIDDEN), "Ib": make(dim, 3 * HIDDEN),
          "Uf": make(HIDDEN, 3 * HIDDEN), "Ub": make(HIDDEN, 3 * HIDDEN), "bf": np.zeros(3 * HIDDEN, np.float32), "bb": np.zeros(3 * HIDDEN, np.float32),
          "A": make(2 * HIDDEN, HIDDEN), "a": make(HIDDEN), "o": make(2 * HIDDEN), "c": np.float32(-1.0)}
-    odds = np.array([0.0] + [_log_odds(n_pos, n_neg, pos.get(w, 0), neg.get(w, 0)) for w in frequent])
+    odds = np.array([0.0, *known.odds().values()])
     p["W"][:, 0] = np.clip(odds, -2, 6) / 3
-    p["C"][:, 0] = np.clip(np.log((gram_pos + 1) / (n_pos + 1)) - np.log((gram_neg + 1) / (n_neg + 1)), -2, 6) / 3
+    p["C"][:, 0] = np.clip(np.log((known.gram_pos + 1) / (known.n_pos + 1)) - np.log((known.gram_neg + 1) / (known.n_neg + 1)), -2, 6) / 3
     net = Network(vocab, p)
+    table: dict = {}  # stems to numbers
+    at = np.full((len(windows), WINDOW), -1, np.int32)
+    for row, w in enumerate(windows):
+        at[row, :len(w)] = [table.setdefault(x, len(table)) for x in w]
+    listed = list(table)
     word_id = np.array([vocab.get(w, 0) for w in listed], np.int64)
     flat, sizes = trigrams(listed)
     grams = np.split(flat, np.cumsum(sizes)[:-1])
-    doc_of = np.repeat(np.arange(len(docs)), [len(window_starts(len(d))) for d in docs])
-    if not len(doc_of):
-        return None
-    at = np.full((len(doc_of), WINDOW), -1, np.int32)
-    for row, (i, b) in enumerate((i, b) for i, d in enumerate(docs) for b in window_starts(len(d))):
-        part = docs[i][b:b + WINDOW]
-        at[row, :len(part)] = part
     strength = np.where(at >= 0, odds[word_id][np.maximum(at, 0)], -9).max(axis=1)  # first pick: the most telling word
     moments: dict = {}
-    is_pos = y[doc_of] > 0
     step = 0
     for r in range(rounds):
         chosen = _best_windows(strength, doc_of, is_pos)
@@ -237,10 +277,6 @@ def train_network(texts: list[str], y: np.ndarray, max_words: int = MAX_WORDS, r
                                    rng.choice(hard, batch // 4) if len(hard) else chosen[:0]])
             _train_step(net, at[rows], is_pos[rows].astype(np.float32), word_id, grams, moments, step)
         strength = _all_logits(net, listed, at)
-    # calibrate the best window of a document against its label
-    best = np.full(len(docs), -20.0)
-    np.maximum.at(best, doc_of, strength)
-    net.scale, net.shift = _calibrate(best, y)
     return net
 
 
@@ -345,19 +381,75 @@ class Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", max_rows: int = MAX_ROWS):
-    """(network or None, fallback score). The sample's texts are cut to MAX_WORDS spread words each in the tasks' output."""
-    prepare(docs.sparkSession)
-    rows = learning_rows(docs, labels, label, usable, max_rows).mapInArrow(_stretches, "doc_id long, text string, label int").toPandas().sort_values("doc_id")
-    y = rows["label"].to_numpy(float)
-    net = train_network(rows["text"].tolist(), y)
-    return net, (float(y.mean()) if len(y) else 0.5)
+    """(network or None, fallback score)."""
+    spark = docs.sparkSession
+    prepare(spark)
+    sample = staged(learning_rows(docs, labels, label, usable, max_rows), "toxicity-sample")
+    y = sample.select("doc_id", "label").toPandas().set_index("doc_id")["label"].sort_index()  # at most max_rows numbers
+    prior = float(y.mean()) if len(y) else 0.5
+    if y.nunique() < 2:
+        return None, prior
+    known = gather_evidence(sample, int(y.sum()), int(len(y) - y.sum()))
+    picked = sample.mapInArrow(_worth_batches(spark.sparkContext.broadcast(known.odds())), "doc_id long, start int, stems string")
+    rows = picked.toPandas().sort_values(["doc_id", "start"])  # at most max_rows * MAX_WINDOWS windows
+    net = fit_network(known, [w.split(" ") for w in rows["stems"]], y.index.get_indexer(rows["doc_id"]), y.to_numpy(float))
+    if net:
+        del rows
+        best = sample.mapInArrow(_best_batches(spark.sparkContext.broadcast(net)), "doc_id long, best double").toPandas().set_index("doc_id")["best"]
+        net.scale, net.shift = _calibrate(best.reindex(y.index).to_numpy(), y.to_numpy(float))
+    return net, prior
+
+
+def gather_evidence(sample: DataFrame, n_pos: int, n_neg: int) -> Evidence:
+    """sample: text, label. Words are counted in Spark; at most VOCAB of them and the trigram buckets are collected."""
+    held = sample.mapInArrow(_word_batches, "stem string, pos long, neg long")
+    counts = staged(held.groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxicity-words")
+    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
+    often = counts.where(F.col("pos") + F.col("neg") >= 3)
+    words = often.orderBy(F.desc(F.abs(odds) * F.sqrt(F.col("pos") + F.col("neg"))), "stem").limit(VOCAB).collect()
+    grams = counts.mapInArrow(_gram_batches, "bucket int, pos double, neg double").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).orderBy("bucket").collect()
+    sums = np.zeros((2, CHAR_BUCKETS))
+    for r in grams:
+        sums[:, r.bucket] = r.pos, r.neg
+    return Evidence(n_pos, n_neg, [(r.stem, r.pos, r.neg) for r in words], *sums)
+
+
+def _word_batches(batches):
+    """Stems with the documents of each label that hold them, summed over a batch."""
+    for b in batches:
+        counts: dict = {}
+        for t, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
+            for w in set(stems_of(t)):
+                counts.setdefault(w, [0, 0])[0 if label else 1] += 1
+        counts.pop("", None)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))], names=["stem", "pos", "neg"])
 
 
-def _stretches(batches):
-    """Texts as at most MAX_WORDS words in evenly spread windows."""
+def _gram_batches(batches):
+    sums = np.zeros((2, CHAR_BUCKETS))
     for b in batches:
-        out = [" ".join(spread(words_of(t), MAX_WORDS)) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string()), b.column("label")], names=["doc_id", "text", "label"])
+        sums += _gram_counts(b.column("stem").to_pylist(), np.stack([b.column("pos").to_numpy(), b.column("neg").to_numpy()], 1))
+    at = np.flatnonzero(sums.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(c[at], pa.float64()) for c in sums)], names=["bucket", "pos", "neg"])
+
+
+def _worth_batches(bc):
+    def run(batches):
+        for b in batches:
+            rows = []
+            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                w = stems_of(t)
+                rows += [(i, a, " ".join(w[a:a + WINDOW])) for a in worth_learning(w, bc.value)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.string()))], names=["doc_id", "start", "stems"])
+    return run
+
+
+def _best_batches(bc):
+    def run(batches):
+        scorer = Scorer(bc.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scorer.logits(b.column("text").to_pylist()), pa.float64())], names=["doc_id", "best"])
+    return run
 
 
 def _score_batches(bc):

@@ -88,6 +88,66 @@ def test_network_gradients():
         assert abs((ends[0] - ends[1]) / 2e-3 - grad[k][at]) < 2e-3, k
 
 
+def plain_score(net, text):
+    """From text to score, word by word."""
+    words, p, h = (text or "").lower().split(), net.p, toxicity.HIDDEN
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        stem = word.strip(toxicity.STRIP)
+        marked = f"^{stem}$" if stem else "^ $"
+        rows = []
+        for a, b, c in zip(marked, marked[1:], marked[2:]):
+            x = (ord(a) * 0x9E3779B1 + ord(b) * 0x85EBCA6B + ord(c) * 0xC2B2AE35) % 2 ** 64
+            rows.append(p["C"][((x ^ x >> 15) * 0x2545F4914F6CDD1D % 2 ** 64 >> 40) % toxicity.CHAR_BUCKETS])
+        return np.concatenate([p["W"][net.vocab.get(stem, 0)], np.mean(rows, axis=0)])
+
+    def states(xs, d):
+        s, out = np.zeros(h), []
+        for x in xs:
+            g, u = x @ p["I" + d] + p["b" + d], p["U" + d]
+            z, r = sig(g[:h] + s @ u[:, :h]), sig(g[h:2 * h] + s @ u[:, h:2 * h])
+            s = (1 - z) * np.tanh(g[2 * h:] + r * (s @ u[:, 2 * h:])) + z * s
+            out.append(s)
+        return out
+
+    best, start = -20.0, 0
+    while start == 0 and words or start < len(words) - toxicity.STRIDE:
+        xs = [vector(w) for w in words[start:start + toxicity.WINDOW]]
+        both = np.concatenate([states(xs, "f"), states(xs[::-1], "b")[::-1]], axis=1)
+        e = np.exp(np.tanh(both @ p["A"]) @ p["a"])
+        best = max(best, float(e / e.sum() @ both @ p["o"] + p["c"]))
+        start += toxicity.STRIDE
+    return sig(net.scale * best + net.shift)
+
+
+def test_scores_equal_a_plain_version(spark, docs_of):
+    rng = np.random.default_rng(2)
+    vocabulary = [f"word{i}" for i in range(60)] + ["Étage,", "漢字", "!!", "don't", "x"]
+    texts = [None, "", " ", "..."] + [" ".join(rng.choice(vocabulary, n)) for n in (1, 2, 16, 17, 31, 32, 33, 48, 49, 150, 700)]
+    y = np.arange(len(texts)) % 2
+    net = toxicity.train_network(texts, y.astype(float), rounds=1, steps=4)
+    got = toxicity.score_documents(docs_of(list(enumerate(texts))), (net, 0.5)).collect()
+    assert np.allclose([r[-2] for r in sorted(got, key=lambda r: r.doc_id)], [plain_score(net, t) for t in texts], atol=1e-4)
+
+
+def test_training_reads_whole_texts(spark, docs_of):
+    # the only toxic words stand deep inside long texts, away from evenly spread windows
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(120):
+        words = rng.choice([f"w{k}" for k in range(300)], 6000).tolist()
+        if i % 2:
+            words[1000 + 31 * i:1000 + 31 * i] = ["vile", "insult", "here"]
+        rows.append((i, " ".join(words)))
+    docs, labels = docs_of(rows), spark.createDataFrame([(i, 0, i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    assert max(len(toxicity.worth_learning(toxicity.stems_of(t), {"vile": 5.0})) for _, t in rows) <= toxicity.MAX_WINDOWS
+    known, plain = toxicity.gather_evidence(docs.join(labels.withColumnRenamed("toxic", "label"), "doc_id"), 60, 60), toxicity.evidence([t for _, t in rows], np.arange(120) % 2)
+    assert sorted(known.words) == sorted(plain.words) and (known.gram_pos == plain.gram_pos).all() and (known.gram_neg == plain.gram_neg).all()
+    out = toxicity.score_documents(docs, toxicity.train(docs, labels, F.col("doc_id") < 80)).collect()
+    assert np.mean([r[-1] == r.doc_id % 2 for r in out if r.doc_id >= 80]) > 0.95
+
+
 def test_windows_cover_the_text():
     for n in range(0, 200):
         covered = {i for s in toxicity.window_starts(n) for i in range(s, min(s + toxicity.WINDOW, n))}
