@@ -7,8 +7,10 @@ lookup in the set, then verification against the exact words. A document is cont
 exist and make at least 5 % of its words.
 
 The set is broadcast only while the benchmark's texts hold at most ``broadcast_chars`` characters in all
-(counted by Spark first). Beyond that the windows of both sides are joined by hash over a shuffle and each
-document is scanned against the windows joined to it; results are the same.
+(counted by Spark first); a worker expands a character to about 104 bytes, so the bound of 2 million is about
+210 MB. Beyond that the windows of both sides are joined by hash over a shuffle, where only document windows leave
+their task that a bit table of the benchmark's window hashes (at most ``FILTER_BITS`` bits) holds, and each document
+is scanned against the windows joined to it; results are the same.
 
 Defined results: null or empty text has no words, no hits, is not contaminated; benchmark rows with null id
 or without words are ignored; repeated item rows count once; repeated documents are judged row by row;
@@ -32,6 +34,7 @@ _WORD = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 TABLE = bytes(b if b in _WORD else (b + 32 if 65 <= b <= 90 else 32) for b in range(256))
 PRIME = 0x9E3779B97F4A7C15
 CHUNK = 1 << 15
+FILTER_BITS = 1 << 26
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -173,18 +176,31 @@ def _item_rows(n: int):
     return run
 
 
-def _doc_rows(sizes: list[int]):
+def _bit_table(windows: DataFrame) -> np.ndarray:
+    """Bit table of the hashes: about 16 bits a window; Spark fills its words, at most FILTER_BITS / 64 of them are collected."""
+    bits = min(FILTER_BITS, 1 << max(10, (16 * windows.count()).bit_length()))
+    place = F.pmod("h", F.lit(bits))
+    words = windows.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(h, {bits}L) & 63 AS INT))")).alias("held")).toPandas()
+    table = np.zeros(bits // 64, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
+    return table.view(np.uint64)
+
+
+def _doc_rows(sizes: list[int], bc):
     def run(batches):
+        table = bc.value
         for b in batches:
             for k, t in zip(b.column("k").to_pylist(), b.column("text").to_pylist()):
                 d = words_of(t)
-                hs = list({_window_hash(b" ".join(d[i:i + s])) for s in sizes for i in range(len(d) - s + 1)})
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(hs), pa.int64()), pa.array(hs, pa.int64())], names=["k", "h"])
+                hs = np.array(list({_window_hash(b" ".join(d[i:i + s])) for s in sizes for i in range(len(d) - s + 1)}), np.int64)
+                at = hs & (len(table) * 64 - 1)
+                hs = hs[(table[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)) > 0]
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(hs), pa.binary()), pa.array(hs, pa.int64())], names=["k", "h"])
     return run
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, spans: bool = False,
-                   broadcast_chars: int = 32_000_000) -> DataFrame:
+                   broadcast_chars: int = 2_000_000) -> DataFrame:
     """``docs`` plus n_words, n_hit, n_items, items_sha256, contaminated; with ``spans`` hit words are cut from text."""
     spark = docs.sparkSession
     prepare(spark)
@@ -200,9 +216,10 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, spans: bo
     else:
         windows = staged(items.mapInArrow(_item_rows(n), "h long, item string, w binary, size int"), "bench-windows")
         sizes = sorted(r.size for r in windows.select("size").distinct().collect())  # at most n values
-        # documents with one text share one result, so the text's hash is the row key
-        keyed = base.withColumn("k", F.xxhash64("text"))
-        pairs = keyed.select("k", "text").dropDuplicates(["k"]).mapInArrow(_doc_rows(sizes), "k long, h long")
+        # documents with one text share one result, so the text's 128-bit hash is the row key
+        keyed = base.withColumn("k", F.unhex(F.md5("text")))
+        held = spark.sparkContext.broadcast(_bit_table(windows))
+        pairs = keyed.where(F.col("k").isNotNull()).select("k", "text").dropDuplicates(["k"]).mapInArrow(_doc_rows(sizes, held), "k binary, h long")
         near = pairs.join(windows, "h").groupBy("k").agg(F.collect_set(F.struct("w", "item")).alias("near"))
         base = keyed.join(near, "k", "left").drop("k")
         sets = _joined_sets
