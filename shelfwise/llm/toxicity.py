@@ -24,6 +24,7 @@ toxic label is known; repeated rows score alike; an empty table gives an empty r
 """
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,6 +81,20 @@ def worth_learning(stems: list[str], odds: dict, most: int = MAX_WINDOWS) -> lis
     return [starts[i] for i in sorted({*strong.tolist(), *even.tolist()})]
 
 
+def stretches(stems: list[str], odds: dict):
+    """(start, stems) of the windows worth learning from; overlapping ones are one stretch."""
+    begin = end = None
+    for a in worth_learning(stems, odds):
+        if end is not None and a == end + STRIDE:
+            end = a
+            continue
+        if end is not None:
+            yield begin, stems[begin:end + WINDOW]
+        begin = end = a
+    if end is not None:
+        yield begin, stems[begin:end + WINDOW]
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-x))
 
@@ -232,15 +247,25 @@ def train_network(texts: list[str], y: np.ndarray, **kw) -> Network | None:
         return None
     known = evidence(texts, y)
     odds = known.odds()
-    windows = [(i, w[b:b + WINDOW]) for i, w in enumerate(map(stems_of, texts)) for b in worth_learning(w, odds)]
-    net = fit_network(known, [w for _, w in windows], np.array([i for i, _ in windows], np.int64), y, **kw)
+    net = fit_network(known, ((i, w) for i, t in enumerate(texts) for _, w in stretches(stems_of(t), odds)), y, **kw)
     if net:
         net.scale, net.shift = _calibrate(Scorer(net).logits(texts), y)
     return net
 
 
-def fit_network(known: Evidence, windows: list[list[str]], doc_of: np.ndarray, y: np.ndarray, rounds: int = 5, steps: int = 80, batch: int = 256, seed: int = 7) -> Network | None:
-    """``windows``: stems; ``doc_of``: their documents, numbers of ``y``. None without windows of toxic documents."""
+def fit_network(known: Evidence, learned: Iterable[tuple[int, list[str]]], y: np.ndarray, rounds: int = 5, steps: int = 80, batch: int = 256, seed: int = 7) -> Network | None:
+    """``learned``: stretches of stems with the number of their document in ``y``, kept as numbers only. None without
+    windows of toxic documents."""
+    table: dict = {}  # stems to numbers
+    parts, doc_of = [], []
+    for i, stems in learned:
+        ids = np.full(len(stems) + WINDOW, -1, np.int32)
+        ids[:len(stems)] = [table.setdefault(x, len(table)) for x in stems]
+        starts = np.array(window_starts(len(stems)))
+        parts.append(ids[starts[:, None] + np.arange(WINDOW)])
+        doc_of += [i] * len(starts)
+    at, doc_of, listed = np.concatenate([np.zeros((0, WINDOW), np.int32), *parts]), np.array(doc_of, np.int64), list(table)
+    del parts, table
     is_pos = y[doc_of] > 0
     if not is_pos.any():
         return None
@@ -256,11 +281,6 @@ def fit_network(known: Evidence, windows: list[list[str]], doc_of: np.ndarray, y
     p["W"][:, 0] = np.clip(odds, -2, 6) / 3
     p["C"][:, 0] = np.clip(np.log((known.gram_pos + 1) / (known.n_pos + 1)) - np.log((known.gram_neg + 1) / (known.n_neg + 1)), -2, 6) / 3
     net = Network(vocab, p)
-    table: dict = {}  # stems to numbers
-    at = np.full((len(windows), WINDOW), -1, np.int32)
-    for row, w in enumerate(windows):
-        at[row, :len(w)] = [table.setdefault(x, len(table)) for x in w]
-    listed = list(table)
     word_id = np.array([vocab.get(w, 0) for w in listed], np.int64)
     flat, sizes = trigrams(listed)
     grams = np.split(flat, np.cumsum(sizes)[:-1])
@@ -391,10 +411,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
         return None, prior
     known = gather_evidence(sample, int(y.sum()), int(len(y) - y.sum()))
     picked = sample.mapInArrow(_worth_batches(spark.sparkContext.broadcast(known.odds())), "doc_id long, start int, stems string")
-    rows = picked.toPandas().sort_values(["doc_id", "start"])  # at most max_rows * MAX_WINDOWS windows
-    net = fit_network(known, [w.split(" ") for w in rows["stems"]], y.index.get_indexer(rows["doc_id"]), y.to_numpy(float))
+    number = {i: n for n, i in enumerate(y.index)}
+    rows = staged(picked, "toxicity-stretches").orderBy("doc_id", "start").toLocalIterator()  # at most max_rows * MAX_WINDOWS windows
+    net = fit_network(known, ((number[r.doc_id], r.stems.split(" ")) for r in rows), y.to_numpy(float))
     if net:
-        del rows
         best = sample.mapInArrow(_best_batches(spark.sparkContext.broadcast(net)), "doc_id long, best double").toPandas().set_index("doc_id")["best"]
         net.scale, net.shift = _calibrate(best.reindex(y.index).to_numpy(), y.to_numpy(float))
     return net, prior
@@ -439,7 +459,7 @@ def _worth_batches(bc):
             rows = []
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 w = stems_of(t)
-                rows += [(i, a, " ".join(w[a:a + WINDOW])) for a in worth_learning(w, bc.value)]
+                rows += [(i, a, " ".join(x)) for a, x in stretches(w, bc.value)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.string()))], names=["doc_id", "start", "stems"])
     return run
 
