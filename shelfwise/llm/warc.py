@@ -7,9 +7,13 @@ page_id; the others are revisit records without body that name it. Reading: gzip
 task reads a file's separator-delimited pieces in order and reassembles records by Content-Length, holding
 one record at a time; payload sizes and SHA-1 digests come from the bytes read.
 
-Index: each reading task emits its captures as locally sorted runs of bounded length. Runs are dealt by range
-of (url key, timestamp, page_id), so a hot URL or host splits over tasks, and every task merges the runs of
-its range with a loser tree; partitions in order form the global capture history.
+Index: each reading task emits its captures as locally sorted runs of ``RUN`` rows, which are written. Revisits
+get the size of their response, then the runs are dealt by range of (url key, timestamp, page_id, run), so a hot
+URL or host splits over tasks and rows equal in all of these still split by run; the number of ranges follows the
+number of captures. Inside a range Spark's spilling sort lays out runs as blocks of ``block`` rows, ordered by
+their first key: that is the order in which a merge needs them. A loser tree merges ``fan_in`` runs with one block
+of each in memory; more runs take more passes, each leaving ``fan_in`` times fewer, until one is left.
+Partitions in order form the global capture history, which is what ``archive`` returns.
 
 Defined results: null html is an empty payload; null url has an empty key; rows with one page_id are all
 written, and if they share the payload of the response all of them are responses; null page_id sorts below
@@ -18,6 +22,7 @@ all and is written without number; an empty table gives no captures; extra colum
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import uuid
 from urllib.parse import urlsplit
@@ -31,6 +36,10 @@ from .common import long_id, prepare, staged
 CRLF = b"\r\n"
 BREAK = b"\r\n\r\n"
 RUN = 4096
+BLOCK = 512
+FAN_IN = 32
+RANGE_ROWS = 1 << 17
+BLOCKS = "run long, no long, url_key string, ts string, page_id long, rows binary"
 INDEX = "url_key string, ts string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 
 
@@ -139,7 +148,7 @@ def _captures(batches):
         kind = head[b"warc-type"].decode()
         if kind == "response":
             own = (len(body), hashlib.sha1(body).hexdigest(), None)
-        else:  # the size is the response's, joined afterwards
+        else:  # the size is the response's, joined before the merge
             own = (None, head[b"warc-payload-digest"].decode().removeprefix("sha1:"), _number(head[b"warc-refers-to"]))
         run.append((url_key(url), head[b"warc-date"].decode(), _number(head[b"warc-record-id"]), url, kind, *own))
         if len(run) == RUN:
@@ -179,8 +188,18 @@ class LoserTree:
         self.losers[node] = lose
         return win
 
+    def open(self, i: int, rows) -> None:
+        """Gives the exhausted run ``i`` further rows."""
+        self.runs[i] = iter(rows)
+        self.keys[i] = self._next(i)
+        self.winner = self._build(1)
+
     def __iter__(self):
-        while self.k and self.rows[self.winner] is not None:
+        return self.until(None)
+
+    def until(self, last):
+        """The rows up to key ``last``, all without one."""
+        while self.k and self.rows[self.winner] is not None and (last is None or self.keys[self.winner][1] <= last):
             yield self.rows[self.winner]
             w = self.winner
             self.keys[w] = self._next(w)
@@ -192,43 +211,111 @@ class LoserTree:
             self.winner = w
 
 
-def _merge(batches):
-    runs: dict[str, list] = {}
-    schema = names = None
-    for b in batches:
-        names = [c for c in b.schema.names if c not in ("run", "seq")]
-        schema = pa.schema([b.schema.field(c) for c in names])
-        cols = [b.column(c).to_pylist() for c in names]
-        for r, s, row in zip(b.column("run").to_pylist(), b.column("seq").to_pylist(), zip(*cols)):
-            runs.setdefault(r, []).append((s, row))
-    merged = LoserTree([(row for _, row in sorted(rows, key=lambda x: x[0])) for rows in runs.values()], _order)
-    block = []
-    for row in merged:
-        block.append(row)
-        if len(block) == RUN:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block), schema)], schema=schema)
-            block = []
-    if block:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block), schema)], schema=schema)
+def _block(run: int, no: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """A row of BLOCKS: sorted rows of one run, named by the first key."""
+    first = [rows.column(c)[0].as_py() for c in ("url_key", "ts", "page_id")]
+    data = rows.serialize().to_pybytes()
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((run, no, *first, data), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()))],
+                                      names=["run", "no", "url_key", "ts", "page_id", "rows"])
+
+
+def _index_schema() -> pa.Schema:
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    return pa.schema([(c, kinds[t]) for c, t in (f.split() for f in INDEX.split(", "))])
+
+
+def _batches(rows, size: int):
+    """Record batches of ``size`` index rows."""
+    schema, rows = _index_schema(), iter(rows)
+    while some := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+
+def _cut_blocks(size: int):
+    """Blocks of the runs of a partition sorted by (run, seq); runs are numbered from 0 in that order."""
+    def run(batches):
+        schema = _index_schema()
+        rows = (r for b in batches for r in zip(b.column("run").to_pylist(), *(b.column(c).to_pylist() for c in schema.names)))
+        for number, (_, of_run) in enumerate(itertools.groupby(rows, lambda r: r[0])):
+            for no, block in enumerate(_batches((r[1:] for r in of_run), size)):
+                yield _block(number, no, block)
+    return run
+
+
+def _merged(blocks, fan_in: int):
+    """Rows of the runs whose ``blocks`` come in the order of their first keys, one block of each run in memory."""
+    schema, tree = _index_schema(), LoserTree([()] * fan_in, _order)
+    for run, rows in blocks:
+        batch = pa.ipc.read_record_batch(pa.py_buffer(rows), schema)
+        fresh_rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+        # all that is still to come sorts at or after this block, so the run's block before is used up by then
+        yield from tree.until(_order(fresh_rows[0]))
+        tree.open(run % fan_in, fresh_rows)
+    yield from tree
+
+
+def _merge_pass(fan_in: int, size: int):
+    """Merges each group of ``fan_in`` neighbouring runs of a partition into one."""
+    def run(batches):
+        rows = (r for b in batches for r in zip(b.column("run").to_pylist(), b.column("rows").to_pylist()))
+        for group, blocks in itertools.groupby(rows, lambda r: r[0] // fan_in):
+            for no, block in enumerate(_batches(_merged(blocks, fan_in), size)):
+                yield _block(group, no, block)
+    return run
+
+
+def _last_pass(fan_in: int, size: int):
+    def run(batches):
+        rows = (r for b in batches for r in zip(b.column("run").to_pylist(), b.column("rows").to_pylist()))
+        yield from _batches(_merged(rows, fan_in), size)
+    return run
+
+
+def read_runs(spark, path: str) -> DataFrame:
+    """Captures of the archives in ``path`` as written sorted runs; revisits without size."""
+    raw = spark.read.option("lineSep", "\r\n\r\n").text(path).select(F.encode("value", "UTF-8").alias("value"))
+    return staged(raw.mapInArrow(_captures, INDEX + ", run string, seq int"), "capture-runs")
+
+
+def fill_sizes(runs: DataFrame) -> DataFrame:
+    """Revisits get the payload size of the response they name."""
+    size = (runs.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
+            .agg(F.max("payload_bytes").alias("full")))
+    known = runs.where("record_type = 'response'")
+    filled = runs.where("record_type = 'revisit'").join(size, ["refers_to", "payload_digest"], "left")
+    filled = filled.select(*[F.col("full").alias(c) if c == "payload_bytes" else F.col(c) for c in runs.columns])
+    return staged(known.union(filled), "capture-sizes")
+
+
+def merge_passes(runs: int, fan_in: int) -> int:
+    """Passes before the last one, which merges what then are at most ``fan_in`` runs."""
+    passes = 0
+    while runs > fan_in:
+        runs, passes = -(-runs // fan_in), passes + 1
+    return passes
+
+
+def merge_runs(runs: DataFrame, fan_in: int = FAN_IN, block: int = BLOCK, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The written ``runs`` merged: globally ordered by (url_key, ts, page_id) over the partitions."""
+    n, most = runs.agg(F.count("*"), F.count(F.when(F.col("seq") == 0, 1))).first()
+    ranges = max(1, -(-n // range_rows))
+    dealt = runs.repartitionByRange(ranges, "url_key", "ts", "page_id", "run", "seq").sortWithinPartitions("run", "seq")
+    blocks = dealt.mapInArrow(_cut_blocks(block), BLOCKS)
+    order = ["url_key", "ts", "page_id", "run", "no"]
+    for _ in range(merge_passes(most, fan_in)):
+        by_group = blocks.sortWithinPartitions(F.floor(F.col("run") / fan_in), *order)
+        blocks = by_group.mapInArrow(_merge_pass(fan_in, block), BLOCKS)
+    return blocks.sortWithinPartitions(*order).mapInArrow(_last_pass(fan_in, RUN), INDEX)
 
 
 def read_index(spark, path: str) -> DataFrame:
     """Captures of the archives in ``path``, globally ordered by (url_key, ts, page_id) over the partitions."""
-    raw = spark.read.option("lineSep", "\r\n\r\n").text(path).select(F.encode("value", "UTF-8").alias("value"))
-    runs = staged(raw.mapInArrow(_captures, INDEX + ", run string, seq int"), "capture-runs")
-    dealt = runs.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "url_key", "ts", "page_id")
-    return dealt.mapInArrow(_merge, INDEX)
+    return merge_runs(fill_sizes(read_runs(spark, path)))
 
 
 def archive(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """Writes ``pages`` as WARC, reads them back and returns the merged capture index with sizes of revisits filled in."""
+    """Writes ``pages`` as WARC, reads them back and returns the capture history in global order."""
     spark = pages.sparkSession
     path = f"{prepare(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(plan_records(pages, min_bytes), path)
-    index = staged(read_index(spark, path), "capture-index")
-    size = (index.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
-            .agg(F.max("payload_bytes").alias("full")))
-    filled = index.where("record_type = 'revisit'").join(size, ["refers_to", "payload_digest"], "left")
-    columns = [c.split()[0] for c in INDEX.split(", ")]
-    filled = filled.select(*[F.col("full").alias(c) if c == "payload_bytes" else F.col(c) for c in columns])
-    return index.where("record_type = 'response'").select(*columns).union(filled)
+    return read_index(spark, path)

@@ -44,6 +44,43 @@ def test_index_is_globally_ordered(spark, scratch_dir):
     assert len(rows) == len(pages()) and rows == sorted(rows, key=lambda r: (r[0].encode(), *r[1:]))
 
 
+def test_many_passes_with_tiny_blocks(spark, scratch_dir, monkeypatch):
+    monkeypatch.setattr(warc, "RUN", 3)
+    df = spark.createDataFrame(pages(), "page_id long, url string, html string").repartition(4)
+    path = f"{scratch_dir}/warc-passes"
+    warc.write_warc(warc.plan_records(df), path)
+    runs = warc.staged(warc.fill_sizes(warc.read_runs(spark, path)), "runs")
+    # runs of three rows, whichever worker wrote them
+    runs = runs.selectExpr("*", "floor(seq / 3) as part").selectExpr(*[c for c in runs.columns if c not in ("run", "seq")], "concat(run, '-', part) as run", "cast(seq % 3 as int) as seq")
+    assert runs.where("seq = 0").count() >= 50 and warc.merge_passes(50, 2) == 5
+    for fan_in, block, range_rows in ((2, 1, 1000), (3, 2, 40)):
+        got = [tuple(r) for r in warc.merge_runs(runs, fan_in, block, range_rows).collect()]
+        keys = [warc._order(r) for r in got]
+        assert keys == sorted(keys)
+        assert sorted(got, key=str) == sorted([tuple(r)[:8] for r in runs.select(*[c.split()[0] for c in warc.INDEX.split(", ")]).collect()], key=str)
+
+
+def test_archive_is_globally_ordered_with_sizes(spark):
+    out = warc.archive(spark.createDataFrame(pages(), "page_id long, url string, html string").repartition(5)).collect()
+    keys = [warc._order(r) for r in out]
+    assert keys == sorted(keys) and {r.record_type for r in out} == {"response", "revisit"}
+    assert all(r.payload_bytes is not None for r in out)
+
+
+def test_merge_of_blocks_in_order_of_first_keys():
+    rng = random.Random(9)
+    row = lambda i: (f"k{i:05d}", "t", i, "u", "response", 1, "d", None)
+    runs = [sorted(rng.choices(range(400), k=rng.randint(1, 300))) for _ in range(6)]
+    blocks = [(r, no, b) for r, ids in enumerate(runs) for no, b in enumerate(warc._batches(map(row, ids), 8))]
+    blocks.sort(key=lambda x: (x[2].column(0)[0].as_py(), x[0], x[1]))
+    merged = warc._merged(((r, b.serialize().to_pybytes()) for r, _, b in blocks), 6)
+    assert [r[2] for r in merged] == sorted(i for ids in runs for i in ids)
+
+
+def test_merge_passes():
+    assert [warc.merge_passes(n, 4) for n in (0, 1, 4, 5, 16, 17, 64, 65)] == [0, 0, 0, 1, 1, 2, 2, 3]
+
+
 def test_loser_tree_merges():
     rng = random.Random(8)
     for k in range(0, 12):
