@@ -61,3 +61,44 @@ def test_bloom_pair_misses_no_repeat():
 def test_filter_broadcast_is_bounded(spark, docs_of):
     docs = docs_of([(i, f"line {i} " + "z" * 50) for i in range(500)]).select(F.col("doc_id"), "text")
     assert sum(map(len, lines.twice_seen(docs, 40, 1 << 16).values())) <= (1 << 16) // 8
+
+
+def test_many_segments_and_any_bound_stay_exact(docs_of, monkeypatch):
+    rows = [(i, f"a line that is unique to document {i:03d} {i:03d}\nthe very same line in all of the documents\n"
+             + f"one of the seven lines that some documents share {i % 7}") for i in range(90)]
+    want = brute(rows)
+    assert sum(r[2] for r in want) == 89 + 90 - 7
+    for bits in (6, 9):
+        monkeypatch.setattr(lines, "segment_plan", lambda n: (bits, 1 << 10))
+        for bound in (1 << 10, 1 << 28):
+            assert run(docs_of(rows), filter_bits=bound) == want
+
+
+def test_plan_follows_the_number_of_lines():
+    assert lines.segment_plan(0) == (6, 1 << 10)
+    for n in (10 ** 6, 10 ** 8, 10 ** 10, 10 ** 12):
+        segment_bits, bits = lines.segment_plan(n)
+        per = n / (1 << segment_bits)
+        assert per <= lines.SEGMENT_KEYS and bits >= 8 * per and bits <= 1 << 24
+
+
+def test_folded_filter_keeps_its_hashes():
+    h = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    p = lines.BloomPair(1 << 16)
+    p.add(h, h[:50])
+    small = lines.fold_sparse(p.twice)
+    assert 64 <= len(small) < 1 << 12 and small.mean() < .25
+    assert all(small[s][:50].all() for s in lines._slots(h, len(small)))
+    assert np.logical_and.reduce([small[s] for s in lines._slots(h[50:], len(small))]).mean() < .05
+    assert len(lines.fold_sparse(lines.BloomPair(1 << 10).twice)) == 0
+
+
+def test_suspects_are_found_across_segments():
+    h = np.arange(1, 3000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seg, filters = lines._segments_of(h, 6), dict.fromkeys(range(64), b"")
+    for s in range(0, 64, 2):
+        p = lines.BloomPair(1 << 12)
+        p.add(h[seg == s], h[:900][seg[:900] == s])
+        filters[s] = lines._packed(lines.fold_sparse(p.twice))
+    got = lines._suspected(lines.side_by_side(filters), h)
+    assert got[:900][seg[:900] % 2 == 0].all() and not got[seg % 2 == 1].any() and got[900:].mean() < .05
