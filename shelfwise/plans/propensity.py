@@ -8,13 +8,17 @@ L2-regularised logistic regression whose optimum equals scikit-learn's default
 """
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+import uuid
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 NUMERIC = ["is_cohort_f", "total_units", "total_revenue", "capsule_units"]
 
 
@@ -26,7 +30,10 @@ def with_target(scorecard: DataFrame, region: str) -> DataFrame:
 
 
 def fit_propensity(data: DataFrame, max_iter: int = 1000):
-    """L2 + L3: tier one-hot (first level dropped) + numerics -> logistic regression."""
+    """L2 + L3: tier one-hot (first level dropped) + numerics -> logistic regression.
+
+    The model is written to the shared folder and read back: a fitted one carries its training summary, and with it the
+    session, into every task that scores, which fails once anything in the session has used an ``Observation``."""
     n = data.count()
     d = data.withColumn("is_cohort_f", F.col("is_cohort").cast("double"))
     stages = [
@@ -36,7 +43,10 @@ def fit_propensity(data: DataFrame, max_iter: int = 1000):
         LogisticRegression(featuresCol="features", labelCol="is_high_frequency", regParam=1.0 / max(n, 1),
                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-10),
     ]
-    return Pipeline(stages=stages).fit(d.withColumn("is_high_frequency", F.col("is_high_frequency").cast("double")))
+    model = Pipeline(stages=stages).fit(d.withColumn("is_high_frequency", F.col("is_high_frequency").cast("double")))
+    path = f"{ensure_checkpoint_dir(data.sparkSession).rstrip('/')}/propensity-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def fit_gradient(data: DataFrame, model) -> DataFrame:

@@ -1,5 +1,6 @@
 """Propensity (L1-L4): MLlib's fit equals a Newton solution of the same L2 objective."""
 import numpy as np
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelfwise.plans import propensity as pr
@@ -53,3 +54,17 @@ def test_logistic_matches_newton(spark):
     assert any(abs(r.gradient) > 1e-3 for r in early)
     top = pr.rank_clients(data, model, 37).collect()
     assert len(top) == 37 and all(a.propensity >= b.propensity for a, b in zip(top, top[1:]))
+
+
+def test_model_scores_after_an_observation(spark):
+    """An Observation anywhere in the session must not break the scoring tasks."""
+    rows = [(i, "R", ["Gold", "Silver"][i % 2], i % 3 == 0, i % 7, float(i % 11), i % 5, i % 4) for i in range(40)]
+    df = spark.createDataFrame(rows, "customer_id long, home_region string, loyalty_tier string, is_cohort boolean, "
+                                     "total_units long, total_revenue double, capsule_units long, n_orders long")
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get["n"] == 3
+    data = pr.with_target(df, "R")
+    model = pr.fit_propensity(data)
+    assert pr.rank_clients(data, model, 5).count() == 5
+    assert {r.n_rows for r in pr.fit_gradient(data, model).collect()} == {40}
