@@ -11,10 +11,11 @@ from shelfwise.operators import engine as eng
 from shelfwise.operators import sampling
 from shelfwise.operators.broadcast import checked_broadcast
 from shelfwise.operators.numbering import number_rows
-from shelfwise.plans import all_queries
+from shelfwise.plans import all_queries, marts
 from shelfwise.plans.q_marts import gold
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.fixture import Fixture
+from shelfwise.sources.tables import write_table
 
 from conftest import SF_SMALL
 
@@ -53,6 +54,40 @@ def test_roll_ups_do_not_read_the_fanned_out_exposure(spark):
     assert folded.agg(F.sum("n_terms")).first()[0] == fan.count() > folded.count()
 
 
+def test_open_delays_join_only_lines_that_ship_later(spark):
+    """Lines shipped before the as-of date are left out before the join with the orders, and no open delay is lost."""
+    fx = Fixture(spark, SF_SMALL)
+    assert sorted(gold(fx).delays.collect(), key=str) == sorted(marts.open_delays(fx.po_lines, fx.sc.as_of_date).collect(), key=str)
+    joined = fx.po_lines_ahead._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+    assert "cast(l_shipdate" in joined
+
+
+def test_cohort_sums_orders_before_the_join(spark):
+    rows = [(1, 2, 100, "C-1"), (1, 3, 50, "D-1"), (2, 4, None, None), (3, 9, 10, "C-2")]
+    sales = spark.createDataFrame(rows, "l_orderkey long, units int, revenue_cents long, style_id string")
+    orders = spark.createDataFrame([(1, 7), (1, 7), (2, 8), (3, None)], "o_orderkey long, customer_id long")
+    customers = spark.createDataFrame([(7, "R", "Gold", "X"), (8, "R", "Gold", None), (9, "R", "None", None)],
+                                      "customer_id long, home_region string, loyalty_tier string, acquisition_campaign_id string")
+    card = marts.customer_cohort_scorecard(sales, orders, customers, "X", "C-")
+    got = {r.customer_id: (r.is_cohort, r.n_orders, r.total_units, r.total_revenue, r.capsule_units, r.is_repeat_purchaser)
+           for r in card.collect()}
+    assert got == {7: (True, 4, 10, 3.0, 4, True), 8: (False, 1, 4, 0.0, 0, False), 9: (False, 0, 0, 0.0, 0, False)}
+    assert "Aggregate [l_orderkey" in card._jdf.queryExecution().optimizedPlan().toString().split("Join Inner", 1)[1]
+
+
+def test_layers_shuffle_stored_columns_only(spark, tmp_path):
+    fx = Fixture(spark, SF_SMALL)
+    names = sorted(fx.sales.columns)
+    assert sorted(fx.sales_by_week.columns) == sorted(set(names) - {"l_suppkey", "p_retailprice"})
+    assert sorted(fx.sales_by_week.select(*sorted(fx.sales_by_week.columns)).collect(), key=str) \
+        == sorted(fx.sales.select(*sorted(fx.sales_by_week.columns)).collect(), key=str)
+    below = fx.sales_by_week._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions", 1)[1]
+    assert not any(c in below for c in ("order_id", "gross_revenue", "unit_price AS", "location_type AS"))
+    plain = spark.range(8).selectExpr("id", "id % 2 AS week_id").repartition(3)
+    write_table(plain, str(tmp_path / "dealt"), ["week_id"], dealt=True)
+    assert spark.read.parquet(str(tmp_path / "dealt")).count() == 8
+
+
 def test_changed_sources_are_derived_anew(spark, tmp_path):
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
         shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")  # not its read-only mode
