@@ -55,3 +55,15 @@ def test_ladder_and_stock_status(spark):
     assert got == [0.0, 0.0, 0.2, 0.2, 0.4]
     s = spark.createDataFrame([(0,), (4,), (5,)], "o int").select(X.stock_status("o").alias("s")).collect()
     assert [r.s for r in s] == ["STOCKOUT", "WATCH", "HEALTHY"]
+
+
+def test_whole_is_round_and_cast(spark):
+    import random
+    r = random.Random(5)
+    values = [0.49999999999999994, 0.5, 1.5, 2.5, -0.5, -1.5, -0.49999999999999994, 4503599627370495.5, 9007199254740993.0, 0.0, -0.0, None]
+    values += [r.randrange(-10**7, 10**7) / 100 * 100 for _ in range(300)] + [r.uniform(-100, 100) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(F.round("x").cast("long").alias("a"), X.whole("x").alias("b"), F.col("x")).collect()
+    assert all(g.a == g.b for g in got), [g for g in got if g.a != g.b]
+    small = df.where(F.abs("x") < 1e9).select(F.round("x").cast("int").alias("a"), X.whole("x", "int").alias("b"))
+    assert dict(small.dtypes) == {"a": "int", "b": "int"} and all(g.a == g.b for g in small.collect())

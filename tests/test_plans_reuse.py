@@ -48,6 +48,36 @@ def test_stored_facts_are_read_without_an_exchange(spark):
     assert "hashpartitioning(location_id" not in _executed(eng.run_engine(fx.weekly, fx.dim_style))
 
 
+def test_engine_is_written_without_an_exchange_in_any_session(spark):
+    """A session with Spark's own default for co-partitioning: the dense rows still stay where the listing lies."""
+    name, plans = "spark.sql.requireAllClusterKeysForCoPartition", []
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        fx = Fixture(spark, SF_SMALL)
+
+        def build():
+            df = eng.run_engine(fx.weekly, fx.dim_style)
+            plans.append(_executed(df))
+            return df
+        fx.once("engine_in_any_session", build, eng.LISTING_KEYS, ["week_id"])
+        assert "hashpartitioning(location_id" not in plans[0]
+        assert spark.conf.get(name) == "true"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_base_lines_store_no_text_that_follows_from_other_columns(spark):
+    fx = Fixture(spark, SF_SMALL)
+    stored = fx._sales_base()
+    assert {f.name for f in stored.schema if f.dataType.simpleString() == "string"} \
+        == {"l_returnflag", "location_id", "region_code", "style_id", "category"}
+    part = fx.part_sku.select("p_partkey", "sku_id", "size", F.col("style_id").alias("s"), F.col("category").alias("c"))
+    both = fx.sales_base.select("l_partkey", "sku_id", "size", "style_id", "category").exceptAll(
+        fx.table("lineitem").select("l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_partkey", "sku_id", "size", "s", "c"))
+    assert both.count() == 0 < fx.sales_base.count()
+
+
 def test_roll_ups_do_not_read_the_fanned_out_exposure(spark):
     g = gold(Fixture(spark, SF_SMALL))
     fan, folded = g.m5, g.exposed
