@@ -14,8 +14,9 @@ of texts with more than ``MAX_WINDOWS`` the strongest half that number and as ma
 network is trained on those on the driver. Its threshold is fitted on the best window of every whole sample
 text, again scored in tasks.
 
-Scoring covers every row and every window: tasks project each distinct word once (a table bounded by
-``MAX_TABLE`` words) and run the recurrences over thousands of windows at a time.
+Scoring covers every row and every window: tasks split a batch of texts into words once, number the distinct stems
+of a stretch of words in Arrow, project each of them once (a table bounded by ``MAX_TABLE`` stems) and run the
+recurrences over thousands of windows at a time.
 
 Defined results: null, empty or wordless text has no window and gets the score of the model's bias on an empty
 document; a null doc_id is scored and never used for learning; disagreeing labels count by majority (ties: 1);
@@ -26,9 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,11 +111,18 @@ class Network:
 
     def inputs(self, stems: list[str]) -> np.ndarray:
         """Row per stem: word embedding (row 0 for unknown words) and mean trigram embedding."""
-        ids = np.fromiter((self.vocab.get(w, 0) for w in stems), np.int64, len(stems))
+        ids = np.fromiter(map(self.vocab.get, stems, repeat(0)), np.int64, len(stems))
         flat, sizes = trigrams(stems)
         chars = np.add.reduceat(self.p["C"][flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
         return np.concatenate([self.p["W"][ids], chars], axis=1).astype(np.float32)
 
+    def table(self, stems: list[str]) -> np.ndarray:
+        """Gates of stems, CHUNK at a time."""
+        gates = np.empty((len(stems), 6 * HIDDEN), np.float32)
+        for i in range(0, len(stems), CHUNK):
+            gates[i:i + CHUNK] = self.project(self.inputs(stems[i:i + CHUNK]))
+        return gates
+
     def project(self, x: np.ndarray) -> np.ndarray:
         """Input part of all gates of both directions: 6 x HIDDEN per word."""
         return np.concatenate([x @ self.p["If"] + self.p["bf"], x @ self.p["Ib"] + self.p["bb"]], axis=1)
@@ -120,17 +130,34 @@ class Network:
     def windows(self, gates: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Logits of windows: ``at`` holds rows of ``gates`` (WINDOW per window, -1 after the end)."""
         n, t = at.shape
-        mask = (at >= 0).T[:, :, None].astype(np.float32)
-        g = gates[np.maximum(at, 0).T]
+        mask = (at >= 0).T
+        ones, whole = mask[:, :, None].astype(np.float32), mask.all(axis=1)
+        g = gates.take(np.maximum(at, 0).T, axis=0)
         h = np.empty((t, n, 2 * HIDDEN), np.float32)
-        for side, (U, cols) in enumerate((("Uf", slice(0, 3 * HIDDEN)), ("Ub", slice(3 * HIDDEN, 6 * HIDDEN)))):
+        for side, U in enumerate(("Uf", "Ub")):
             s = np.zeros((n, HIDDEN), np.float32)
-            rec = self.p[U]
-            for k in range(t) if side == 0 else range(t - 1, -1, -1):
-                s = s + mask[k] * (_gru(g[k, :, cols], s, rec)[0] - s)
+            first, rec = 3 * HIDDEN * side, self.p[U]
+            for k in range(t) if side == 0 else range(t - 1, -1, -1):  # as _gru, in place
+                zr = s @ rec[:, :2 * HIDDEN]
+                zr += g[k, :, first:first + 2 * HIDDEN]
+                np.negative(zr, out=zr)
+                np.exp(zr, out=zr)
+                zr += 1
+                np.divide(1, zr, out=zr)
+                c = s @ rec[:, 2 * HIDDEN:]
+                c *= zr[:, HIDDEN:]
+                c += g[k, :, first + 2 * HIDDEN:first + 3 * HIDDEN]
+                np.tanh(c, out=c)
+                step = s - c
+                step *= zr[:, :HIDDEN]
+                step += c
+                step -= s
+                if not whole[k]:
+                    step *= ones[k]
+                s += step
                 h[k, :, side * HIDDEN:(side + 1) * HIDDEN] = s
         e = np.tanh(h @ self.p["A"]) @ self.p["a"]
-        e = np.where(mask[:, :, 0] > 0, e, -1e9)
+        e = np.where(mask, e, -1e9)
         w = np.exp(e - e.max(axis=0))
         w /= w.sum(axis=0)
         return (w[:, :, None] * h).sum(axis=0) @ self.p["o"] + self.p["c"]
@@ -348,58 +375,53 @@ def _calibrate(best, y, rounds: int = 400):
 
 
 class Scorer:
-    """Scores batches of texts; keeps the gate projections of up to MAX_TABLE distinct words."""
+    """Scores batches of texts; projects the distinct stems of a stretch of words at a time, at most MAX_TABLE."""
 
     def __init__(self, net: Network):
         self.net = net
-        self.gates = np.empty((MAX_TABLE, 6 * HIDDEN), np.float32)
-        self._clear()
-
-    def _clear(self):
-        self.rows, self.stems = {}, {}  # word and stem to row of gates
-
-    def _ids(self, texts):
-        docs = [words_of(t) for t in texts]
-        new = set().union(*docs).difference(self.rows)
-        if len(self.rows) + len(new) > 4 * MAX_TABLE or len(self.stems) + len(new) > MAX_TABLE:
-            self._clear()
-            new = set().union(*docs)
-        if len(new) > MAX_TABLE:
-            return None
-        stem_of = {w: w.strip(STRIP) for w in new}
-        unseen = [x for x in set(stem_of.values()) if x not in self.stems]
-        for i in range(0, len(unseen), CHUNK):
-            part, used = unseen[i:i + CHUNK], len(self.stems)
-            self.gates[used:used + len(part)] = self.net.project(self.net.inputs(part))
-            self.stems.update(zip(part, range(used, used + len(part))))
-        self.rows.update((w, self.stems[x]) for w, x in stem_of.items())
-        get = self.rows.__getitem__
-        return [np.fromiter(map(get, d), np.int64, len(d)) for d in docs]
 
     def logits(self, texts: list) -> np.ndarray:
         """Logit of the best window of each text; -20 without words."""
-        ids = self._ids(texts)
-        if ids is None:  # more distinct words than the table holds: fewer texts at a time, or stretches of one
-            if len(texts) > 1:
-                half = len(texts) // 2
-                return np.concatenate([self.logits(texts[:half]), self.logits(texts[half:])])
-            w = words_of(texts[0])
-            cut = len(w) // 2 // STRIDE * STRIDE
-            return np.maximum(self.logits([" ".join(w[:cut + STRIDE])]), self.logits([" ".join(w[cut:])]))
-        best = np.full(len(texts), -20.0)
-        flat = np.concatenate([*ids, np.full(WINDOW, -1)])
-        begin = np.cumsum([0, *map(len, ids)])
+        words, begin = split_words(texts)
         starts = [np.arange(b, e - STRIDE if e - b > STRIDE else b + 1, STRIDE) if e > b else np.zeros(0, np.int64) for b, e in zip(begin, begin[1:])]
         owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
         starts = np.concatenate([np.zeros(0, np.int64), *starts]).astype(np.int64)
-        for i in range(0, len(starts), CHUNK):
-            s, o = starts[i:i + CHUNK], owner[i:i + CHUNK]
-            pos = s[:, None] + np.arange(WINDOW)
-            at = np.where(pos < begin[o + 1][:, None], flat[pos], -1)
-            np.maximum.at(best, o, self.net.windows(self.gates, at))
+        best = np.full(len(texts), -20.0)
+        i, most = 0, 4 * MAX_TABLE
+        while i < len(starts):
+            first = starts[i]
+            j = max(int(np.searchsorted(starts, first + most - WINDOW, "right")), i + 1)
+            ids, stems = stem_ids(words.slice(first, starts[j - 1] + WINDOW - first))
+            if len(stems) > MAX_TABLE and j > i + 1:  # more than the table holds: fewer words at a time
+                most //= 2
+                continue
+            gates = self.net.table(stems)
+            ids = np.concatenate([ids, np.full(WINDOW, -1)])
+            for k in range(i, j, CHUNK):
+                s, o = starts[k:min(k + CHUNK, j)], owner[k:min(k + CHUNK, j)]
+                pos = s[:, None] + np.arange(WINDOW)
+                at = np.where(pos < begin[o + 1][:, None], ids[pos - first], -1)
+                np.maximum.at(best, o, self.net.windows(gates, at))
+            i = j
         return best
 
 
+def split_words(texts: list) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all texts, one after the other, and where each text begins and the last ends."""
+    parts = pc.utf8_split_whitespace(pa.array([(t or "").lower() for t in texts], pa.large_string()))
+    words, ends = parts.flatten(), parts.offsets.to_numpy()
+    real = pc.not_equal(words, "")  # there is an empty one beside white space at an end
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real), before[ends - ends[0]].astype(np.int64)
+
+
+def stem_ids(words: pa.Array) -> tuple[np.ndarray, list[str]]:
+    """Number of each word's stem and the distinct stems."""
+    distinct = words.dictionary_encode()
+    stems = pc.utf8_trim(distinct.dictionary, characters=STRIP).dictionary_encode()
+    return stems.indices.to_numpy()[distinct.indices.to_numpy()], stems.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", max_rows: int = MAX_ROWS):
     """(network or None, fallback score)."""
     spark = docs.sparkSession

@@ -162,6 +162,33 @@ def test_small_word_table_gives_the_same_scores(monkeypatch):
     assert np.allclose(toxicity.Scorer(net).logits(texts), want, atol=1e-4)
 
 
+def test_texts_are_split_once_whatever_the_table_holds(monkeypatch):
+    split = []
+
+    class Text(str):
+        def lower(self):
+            split.append(self[:9])
+            return str(self).lower()
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(40)]
+    net = toxicity.train_network(texts, np.arange(40) % 2, rounds=1, steps=3)
+    want = np.concatenate([toxicity.Scorer(net).logits([t]) for t in texts])
+    monkeypatch.setattr(toxicity, "MAX_TABLE", 250)
+    assert np.allclose(toxicity.Scorer(net).logits([Text(t) for t in texts]), want, atol=1e-4)
+    assert len(split) == len(texts)
+
+
+def test_words_and_stems_in_arrow_equal_the_plain_ones():
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [None, "", " ", "\n\t", "a", " Lead and trail ", "İstanbul ΣΑΣ ß", "...", "(it's)  \"so\"—", "nul\x00l \u200b zero", "x".join(spaces), *(f"{s}One{s}{s}two.{s}" for s in spaces)]
+    words, begin = toxicity.split_words(texts)
+    ids, stems = toxicity.stem_ids(words)
+    assert len(set(stems)) == len(stems)
+    for t, a, b in zip(texts, begin, begin[1:]):
+        assert words[a:b].to_pylist() == toxicity.words_of(t) and [stems[i] for i in ids[a:b]] == toxicity.stems_of(t)
+    assert len(toxicity.split_words([])[0]) == 0 and toxicity.split_words([])[1].tolist() == [0]
+
+
 def test_statistics_are_finite():
     for t in (None, "", " ", "\n\n", "a", "é" * 10, "x" * 300000):
         s = quality.statistics(t)
